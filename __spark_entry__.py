@@ -31,7 +31,7 @@ from weftline.plans import block_sums, chain_metrics, count_bin_enrich
 from weftline.sources import blocks_of_rows, index_words, random_posts, read_table, spread
 
 SEED = 42
-GREP_PATTERN = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}|[Ll]icense"
+GREP_PATTERN = r"[A-Za-z0-9._%+-]@[A-Za-z0-9.-]+\.[A-Za-z]{2,}|[Ll]icense"
 HOT_WORD_CHARS = 8
 BLOCK = 4
 
@@ -263,7 +263,7 @@ def _multiline_sum(spark, sf):
 def _random_data_generator(spark, sf):
     rows = read_table(spark, sf, "orders").select(F.col("o_orderkey").alias("row"))
     words = index_words(_tokens(_documents(spark, sf), "text"))
-    return random_posts(spread(rows, "row"), words, SEED)
+    return random_posts(rows, words, SEED)
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -348,12 +348,12 @@ _SQL_RANDOM = f"""
   size as (select count(*) as v from words),
   posts as (
     select o_orderkey as row, md5('{SEED}:' || o_orderkey || ':a') as a,
-      md5('{SEED}:' || o_orderkey || ':b') as b,
-      {' || '.join(f"md5('{SEED}:' || o_orderkey || ':w{i}')" for i in range(8))} as digits
+      md5('{SEED}:' || o_orderkey || ':b') as b
     from orders),
   slots as (
-    select row, i, {_sql_hex('digits', 'i * 8 + 1', 8)} % v as idx
-    from (select row, digits, unnest(range(1 + {_sql_hex('b', '25', 8)} % 30)) as i from posts) s
+    select row, i, {_sql_hex("md5('" + str(SEED) + ":' || row || ':w' || (i // 4))",
+                             'i % 4 * 8 + 1', 8)} % v as idx
+    from (select row, unnest(range(1 + {_sql_hex('b', '25', 8)} % 30)) as i from posts) s
     cross join size),
   texts as (
     select row, string_agg(word, ' ' order by i) || ' ' as text

@@ -1,0 +1,106 @@
+import re
+
+import pytest
+from conftest import rows
+
+from weftline.functions.tokens import REGEX_SPACE
+from weftline.sources import (
+    index_words,
+    parse_docs,
+    parse_entities,
+    parse_pairs,
+    parse_profiles,
+    random_posts,
+    render_post,
+    row_numbers,
+    spread,
+)
+from weftline.sources.synthetic import ID_RANGE, POST_ID_RANGE, SCORE_RANGE, USER_ID_RANGE
+
+
+def test_pairs(lines):
+    assert rows(parse_pairs(lines("17 42", "1 -2 3"))) == [(1, -2), (17, 42)]
+    tabbed = lines("1\t2", "3 4")
+    assert rows(parse_pairs(tabbed, "dropmalformed")) == [(3, 4)]
+    assert rows(parse_pairs(tabbed, separator=REGEX_SPACE)) == [(1, 2), (3, 4)]
+
+
+def test_docs_take_the_second_field_only(lines):
+    df = lines("87: f m", "5:x:y", "6::z")
+    assert rows(parse_docs(df)) == [(5, "x", "5:x:y"), (6, "", "6::z"), (87, " f m", "87: f m")]
+
+
+def test_entities_and_profiles(lines):
+    assert rows(parse_entities(lines("9 user-data-631"))) == [(9, "9 user-data-631")]
+    df = lines("19 firstName: a reputation: 63", "7")
+    assert rows(parse_profiles(df)) == [("19", "63"), ("7", "7")]
+
+
+@pytest.mark.parametrize(
+    "parse, bad",
+    [
+        (parse_pairs, "5x 1"), (parse_pairs, "5"), (parse_pairs, " 5 1"), (parse_pairs, ""),
+        (parse_pairs, "99999999999 1"), (parse_docs, "87:"), (parse_docs, "x: a"),
+        (parse_entities, " 5 a"), (parse_entities, ""), (parse_profiles, ""),
+    ],
+)
+def test_malformed_lines(lines, parse, bad):
+    good = "1: 1" if parse is parse_docs else "1 1"
+    assert parse(lines(bad, good), "dropmalformed").count() == 1
+    with pytest.raises(Exception, match="malformed line"):
+        parse(lines(bad)).collect()
+
+
+def test_unknown_mode(lines):
+    with pytest.raises(ValueError):
+        parse_docs(lines("1: a"), "permissive")
+
+
+def test_spread_widens_only_narrow_scans(spark):
+    narrow = spread(spark.range(0, 100, 1, 1), "id")
+    assert narrow.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    wide = spark.range(0, 100, 1, 64)
+    assert spread(wide, "id") is wide
+
+
+def test_word_numbers_are_dense(spark, lines):
+    words = lines(*[f"w{i}" for i in range(500)] * 2).withColumnRenamed("value", "token")
+    got = index_words(words).orderBy("idx").collect()
+    assert [r["idx"] for r in got] == list(range(500)) and len({r["word"] for r in got}) == 500
+
+
+@pytest.fixture
+def words(spark):
+    return spark.createDataFrame([(i, f"w{i}") for i in range(20)], "idx bigint, word string")
+
+
+def test_posts(spark, words):
+    got = random_posts(row_numbers(spark, 8, 50), words, 1).collect()
+    assert sorted(r["row"] for r in got) == list(range(400))
+    for r in got:
+        assert 0 <= r["id"] < ID_RANGE and 0 <= r["post_id"] < POST_ID_RANGE
+        assert 0 <= r["score"] < SCORE_RANGE and 0 <= r["user_id"] < USER_ID_RANGE
+        assert re.fullmatch(r"(w\d+ ){1,30}", r["text"])
+        assert re.fullmatch(r"20(0[89]|1\d|2[0-4])-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{3}", r["creation_date"])
+    lengths = {len(r["text"].split()) for r in got}
+    assert lengths == set(range(1, 31))
+
+
+def test_posts_do_not_depend_on_tasks_or_join(spark, words, monkeypatch):
+    one = rows(random_posts(row_numbers(spark, 1, 60), words))
+    assert one == rows(random_posts(row_numbers(spark, 6, 10), words))
+    monkeypatch.setattr("weftline.sources.synthetic.MAX_BROADCAST_BYTES", 0)
+    assert one == rows(random_posts(row_numbers(spark, 3, 20), words))
+    assert one != rows(random_posts(row_numbers(spark, 3, 20), words, 7))
+
+
+def test_posts_need_words(spark, words):
+    with pytest.raises(ValueError):
+        random_posts(row_numbers(spark), words.limit(0))
+
+
+def test_rendered_post(spark, words):
+    line = random_posts(row_numbers(spark, 1, 1), words).select(render_post()).first()[0]
+    assert re.fullmatch(
+        r'<row Id="\d+" PostId="\d+" Score="\d+" Text="(w\d+ )+" CreationDate="[-0-9T:.]+"'
+        r' UserId="\d+" />', line)

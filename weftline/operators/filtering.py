@@ -71,24 +71,26 @@ def top_n(
     Equal ``order_by`` values of a key are settled by the larger payload. A first
     pass over the key column alone finds a key that at least ``n`` distinct keys
     reach: the n-th largest of the maxima per hash bucket. The second pass reads
-    from there on only, so hardly any row is shuffled.
+    from there on only, a filter that reaches the scan, so hardly any row is
+    shuffled.
     """
     if n < 1:
         raise ValueError("n must be at least 1")
-    buckets = max(_TOP_BUCKETS, 16 * n)
-    maxima = (
-        df.groupBy(F.pmod(F.xxhash64(key), F.lit(buckets)).alias("bucket"))
-        .agg(F.max(key).alias("k"))
-        .where(F.col("k").isNotNull())
-        .orderBy(F.desc("k"))
+    bucket = F.pmod(F.xxhash64(key), F.lit(max(_TOP_BUCKETS, 16 * n)))
+    top_buckets = (
+        df.where(F.col(key).isNotNull())
+        .groupBy(bucket.alias("bucket"))
+        .agg(F.max(key).alias("high"), F.min(key).alias("low"))
+        .orderBy(F.desc("high"))
         .limit(n)
     )
-    floor = maxima.agg(F.when(F.count("*") == n, F.min("k"))).scalar()
-    # With fewer than n filled buckets there is no floor and every key stays.
-    reached = F.coalesce(F.col(key) >= floor, F.lit(True)) & F.col(key).isNotNull()
+    # With fewer than n filled buckets, all keys stay.
+    floor = top_buckets.agg(
+        F.when(F.count("*") == n, F.min("high")).otherwise(F.min("low"))
+    ).scalar()
     last = F.max_by(payload, F.struct(order_by, payload))
     return (
-        df.where(reached)
+        df.where(F.col(key) >= floor)
         .groupBy(key)
         .agg(last.alias(payload))
         .orderBy(F.desc(key))

@@ -72,27 +72,32 @@ def median_std_histogram(
     if not isinstance(hist.schema[value].dataType, (T.ByteType, T.ShortType, T.IntegerType)):
         raise TypeError(f"{value} must be a 32-bit integer column")
 
+    # The range is declared free of NULLs, so that the join below adds no filter
+    # to one use of the histogram only and both share its shuffle.
     merged = hist.groupBy(key, value).agg(F.sum(count).alias("c")).withColumn(
-        "range", F.shiftright(value, _HALF_BITS)
+        "range", F.coalesce(F.shiftright(value, _HALF_BITS), F.lit(0))
     )
     base = F.col("range").cast("double") * _HALF
     offset = F.col(value).cast("bigint") - F.col("range").cast("bigint") * _HALF
-    c = F.col("c").cast("decimal(20,0)")
+    square = offset * offset
+    # A square has 32 bits. Summed in halves, no sum can outgrow 64 bits below
+    # 10^14 rows, and n * sum(x^2) - sum(x)^2 is exact in decimals after that.
     exact = "decimal(38,0)"
-    # n * sum(x^2) - sum(x)^2 has no rounding in decimals; x is below 2^16.
-    spread = F.col("n").cast(exact) * F.col("s2") - F.col("s1") * F.col("s1")
+    squares = F.col("hi").cast(exact) * _HALF + F.col("lo")
+    spread = F.col("n").cast(exact) * squares - F.col("s").cast(exact) * F.col("s")
     ranges = (
         merged.groupBy(key, "range")
         .agg(
             F.sum("c").alias("n"),
-            F.sum(c * offset.cast("decimal(5,0)")).cast(exact).alias("s1"),
-            F.sum(c * (offset * offset).cast("decimal(10,0)")).cast(exact).alias("s2"),
+            F.sum(F.col("c") * offset).alias("s"),
+            F.sum(F.col("c") * F.shiftright(square, _HALF_BITS)).alias("hi"),
+            F.sum(F.col("c") * square.bitwiseAND(_HALF - 1)).alias("lo"),
         )
         .select(
             key,
             "range",
             "n",
-            (base + F.col("s1").cast("double") / F.col("n")).alias("mean"),
+            (base + F.col("s") / F.col("n")).alias("mean"),
             (spread.cast("double") / F.col("n")).alias("m2"),
         )
     )
@@ -111,7 +116,11 @@ def median_std_histogram(
         .withColumn("rank_hi", F.expr("total div 2 + 1"))
         .where("before < rank_hi and upto >= rank_lo")
         .select(
-            key, "range", "before", "rank_lo", "rank_hi",
+            F.col(key).alias("picked_key"),
+            F.col("range").alias("picked_range"),
+            "before",
+            "rank_lo",
+            "rank_hi",
             F.sqrt(F.try_divide(F.col("key_m2"), F.col("total") - 1)).alias("std"),
         )
     )
@@ -122,7 +131,11 @@ def median_std_histogram(
         .rowsBetween(W.unboundedPreceding, W.currentRow)
     )
     middle = (
-        merged.join(picked, [key, "range"])
+        merged.join(
+            picked,
+            F.col(key).eqNullSafe(F.col("picked_key"))
+            & (F.col("range") == F.col("picked_range")),
+        )
         .withColumn("upto", F.col("before") + F.sum("c").over(within))
         .where("upto - c < rank_hi and upto >= rank_lo")
     )

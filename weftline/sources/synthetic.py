@@ -10,9 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from weftline.sizing import broadcast_if_small, measured_bytes
-
-INLINE_WORDS_BYTES = 8 << 20
+from weftline.sizing import MAX_BROADCAST_BYTES, measured_size
 
 # The ranges of the fields and the number of words of a post.
 ID_RANGE = 1_000_000_000
@@ -35,9 +33,8 @@ def index_words(words: DataFrame, word: str = "token") -> DataFrame:
     Numbers run on over 4096 hash buckets, each numbered by itself, so the list
     can be of any length.
     """
-    bucketed = words.select(
-        F.col(word).alias("word"), F.substring(F.md5(word), 1, 3).alias("bucket")
-    ).distinct()
+    distinct = words.select(F.col(word).alias("word")).distinct()
+    bucketed = distinct.withColumn("bucket", F.substring(F.md5("word"), 1, 3))
     earlier = W.orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     bases = bucketed.groupBy("bucket").agg(F.count("*").alias("n")).select(
         "bucket", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base")
@@ -51,31 +48,21 @@ def index_words(words: DataFrame, word: str = "token") -> DataFrame:
     )
 
 
-def _digest(seed: int, field: str) -> Column:
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.col("row").cast("string"), F.lit(f":{field}")))
+def _digest(seed: int, field: str, part: Column | None = None) -> Column:
+    """32 hex digits for a field, or for each numbered part of it."""
+    name = [F.lit(f":{field}")] + ([] if part is None else [part.cast("string")])
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.col("row").cast("string"), *name))
 
 
 def _number(digits: Column, start: int | Column, length: int) -> Column:
-    part = digits.substr(start, length) if isinstance(start, int) else F.substr(
-        digits, start, F.lit(length)
-    )
-    return F.conv(part, 16, 10).cast("bigint")
+    first = F.lit(start) if isinstance(start, int) else start
+    return F.conv(F.substr(digits, first, F.lit(length)), 16, 10).cast("bigint")
 
 
 def _word_count(seed: int) -> Column:
     return (F.lit(1) + _number(_digest(seed, "b"), 25, 8) % MAX_WORDS).cast("int")
 
 
-def _word_digits(seed: int) -> Column:
-    """Eight hex digits for each of the possible words."""
-    blocks = -(-MAX_WORDS // 4)
-    return F.concat(*[_digest(seed, f"w{i}") for i in range(blocks)])
-
-
-def _word_index(digits: Column, i: Column, words: Column) -> Column:
-    return _number(digits, i * 8 + 1, 8) % words
-
-
 def _clock(ms: Column) -> Column:
     def pad(value: Column, width: int) -> Column:
         return F.lpad(value.cast("string"), width, "0")
@@ -91,43 +78,35 @@ def _clock(ms: Column) -> Column:
     )
 
 
-def random_posts(
-    rows: DataFrame,
-    words: DataFrame,
-    seed: int = 42,
-    *,
-    inline_bytes: int = INLINE_WORDS_BYTES,
-) -> DataFrame:
+def random_posts(rows: DataFrame, words: DataFrame, seed: int = 42) -> DataFrame:
     """One random post per distinct ``row`` number, with words of ``idx, word``.
 
     Columns ``row, id, post_id, score, text, creation_date, user_id``. Every word
-    of the text is followed by a blank. A word list within ``inline_bytes`` is
-    one array value at hand in every task, and no row is shuffled; a longer list
-    is joined by word number.
+    of the text is followed by a blank. Only the row numbers are shuffled: they
+    are partitioned first, and the words of a row are then drawn, looked up and
+    put together in one task, unless the word list is too long to broadcast.
     """
-    base = rows.select(F.col("row").cast("bigint").alias("row"))
-    if measured_bytes(words) <= inline_bytes:
-        listed = F.array_sort(F.collect_list(F.struct("idx", "word"))).getField("word")
-        array = words.agg(listed.alias("words")).scalar()
-        size = F.size(array)
-        texts = base.select("row", _word_digits(seed).alias("digits"), _word_count(seed).alias("n"))
-        chosen = F.transform(
-            F.sequence(F.lit(0), F.col("n") - 1),
-            lambda i: F.get(array, _word_index(F.col("digits"), i, size).cast("int")),
-        )
-        texts = texts.select("row", F.concat(F.array_join(chosen, " "), F.lit(" ")).alias("text"))
-    else:
-        size = words.agg(F.count("*")).scalar()
-        slots = base.select(
-            "row",
-            _word_digits(seed).alias("digits"),
-            F.explode(F.sequence(F.lit(0), _word_count(seed) - 1)).alias("i"),
-        ).select("row", "i", _word_index(F.col("digits"), F.col("i"), size).alias("idx"))
-        joined = slots.join(broadcast_if_small(words), "idx")
-        ordered = F.array_sort(F.collect_list(F.struct("i", "word"))).getField("word")
-        texts = joined.groupBy("row").agg(
-            F.concat(F.array_join(ordered, " "), F.lit(" ")).alias("text")
-        )
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    tasks = max(rows.rdd.getNumPartitions(), cores)
+    base = rows.select(F.col("row").cast("bigint").alias("row")).repartition(tasks, "row")
+    size, size_bytes = measured_size(words)
+    if size == 0:
+        raise ValueError("the word list is empty")
+    lookup = F.broadcast(words) if size_bytes <= MAX_BROADCAST_BYTES else words
+    # A digest serves four words. The coalesce tells the join that no index is
+    # NULL, else a filter for that would hash everything a second time.
+    i = F.col("i")
+    digits = _digest(seed, "w", F.shiftright(i, 2))
+    idx = F.coalesce(_number(digits, i.bitwiseAND(3) * 8 + 1, 8) % size, F.lit(0))
+    slots = base.select(
+        "row", F.explode(F.sequence(F.lit(0), _word_count(seed) - 1)).alias("i")
+    ).select("row", "i", idx.alias("idx"))
+    ordered = F.array_sort(F.collect_list(F.struct("i", "word"))).getField("word")
+    texts = (
+        slots.join(lookup, "idx")
+        .groupBy("row")
+        .agg(F.concat(F.array_join(ordered, " "), F.lit(" ")).alias("text"))
+    )
     a, b = F.col("a"), F.col("b")
     return texts.select(
         "row", "text", _digest(seed, "a").alias("a"), _digest(seed, "b").alias("b")
