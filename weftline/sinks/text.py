@@ -17,11 +17,16 @@ def write_lines(df: DataFrame, path: str, *columns: str, mode: str = "overwrite"
 def write_sorted_lines(
     df: DataFrame, path: str, sort_by: str, *columns: str, mode: str = "overwrite"
 ) -> None:
-    """As :func:`write_lines`, the files in order of ``sort_by`` over all of them."""
+    """As :func:`write_lines`, the files in order of ``sort_by`` over all of them.
+
+    Rows equal in ``sort_by`` are ordered by the other columns, and copies by the
+    task they come from, so that no group of equal rows has to fit one file.
+    """
     columns = columns or tuple(df.columns)
-    line = tab_line(*columns)
-    ordered = df.orderBy(sort_by).select(line.alias("value"))
-    ordered.write.mode(mode).text(path)
+    rest = [c for c in columns if c != sort_by]
+    lines = df.withColumn("task", F.spark_partition_id())
+    ordered = lines.orderBy(sort_by, *rest, "task")
+    ordered.select(tab_line(*columns).alias("value")).write.mode(mode).text(path)
 
 
 def write_binned(

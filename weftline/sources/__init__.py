@@ -1,4 +1,10 @@
-from weftline.sources.lines import blocks_of_rows, n_line_records, number_lines, read_lines
+from weftline.sources.lines import (
+    blocks_of_rows,
+    n_line_records,
+    number_lines,
+    read_lines,
+    read_ordered_lines,
+)
 from weftline.sources.parsers import (
     parse_docs,
     parse_entities,
@@ -12,5 +18,6 @@ from weftline.sources.tables import read_table, spread
 __all__ = [
     "blocks_of_rows", "index_words", "n_line_records", "number_lines", "parse_docs",
     "parse_entities", "parse_pairs", "parse_profiles", "parse_words", "random_posts",
-    "read_lines", "read_table", "render_post", "row_numbers", "spread",
+    "read_lines", "read_ordered_lines", "read_table", "render_post", "row_numbers",
+    "spread",
 ]

@@ -8,7 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from weftline.sizing import broadcast_if_small
+from weftline.sizing import MAX_BROADCAST_BYTES
+
+
+_BYTES_PER_SPLIT_ROW = 512
+_MIN_SPLITS = "spark.sql.files.minPartitionNum"
 
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -16,6 +20,25 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return spark.read.text(paths)
 
 
+def read_ordered_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Lines with a ``position`` that sorts them by file and place in the file."""
+    position = F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block_start"),
+        F.monotonically_increasing_id().alias("mid"),
+    )
+    return spark.read.text(paths).select("value", position.alias("position"))
+
+
+def _pin_splits(spark: SparkSession) -> None:
+    """Keep the cut of files into splits from following the number of executors.
+
+    Line numbers come from two scans, which have to cut the files equally.
+    """
+    if spark.conf.get(_MIN_SPLITS, None) is None:
+        spark.conf.set(_MIN_SPLITS, str(spark.sparkContext.defaultParallelism))
+
+
 def number_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Lines with ``file``, ``line_no`` (0-based in the file) and ``value``.
 
@@ -23,26 +46,36 @@ def number_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     file are summed up over its splits, and a line's number is that base plus
     its position in the split. No file goes through a single task.
     """
+    _pin_splits(spark)
     lines = spark.read.text(paths).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block_start"),
+        F.col("_metadata.file_block_length").alias("block_length"),
         F.monotonically_increasing_id().alias("mid"),
         "value",
     )
+    split = ["file", "block_start", "block_length"]
     earlier = (
         W.partitionBy("file")
         .orderBy("block_start")
         .rowsBetween(W.unboundedPreceding, -1)
     )
     splits = (
-        lines.groupBy("file", "block_start")
+        lines.groupBy(*split)
         .agg(F.count("*").alias("n"), F.min("mid").alias("first_mid"))
         .withColumn("base", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
         .drop("n")
     )
-    numbered = lines.join(broadcast_if_small(splits), ["file", "block_start"])
+    # One row per split; how many there can be is known without reading.
+    most = lines.rdd.getNumPartitions() + len(lines.inputFiles())
+    if most * _BYTES_PER_SPLIT_ROW <= MAX_BROADCAST_BYTES:
+        splits = F.broadcast(splits)
     line_no = F.col("base") + F.col("mid") - F.col("first_mid")
-    return numbered.select("file", line_no.alias("line_no"), "value")
+    # A line without its split would mean that the two scans differ.
+    lost = F.raise_error(F.concat(F.lit("no line count for a split of "), F.col("file")))
+    return lines.join(splits, split, "left").select(
+        "file", F.coalesce(line_no, lost.cast("bigint")).alias("line_no"), "value"
+    )
 
 
 def blocks_of_rows(

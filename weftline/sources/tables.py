@@ -10,13 +10,13 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Widen a scan that has fewer tasks than the cluster has cores.
+    """Widen a scan that has far fewer tasks than the cluster has cores.
 
     A file of one row group is one task however large the work on its rows is.
-    Inputs with enough splits pass through without a shuffle. ``keys`` should
+    Inputs that keep half the cores busy pass through without a shuffle. ``keys`` should
     be unique per row, so that no key can make one partition large.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    if 2 * df.rdd.getNumPartitions() > cores:
         return df
     return df.repartition(cores, *keys)
