@@ -19,6 +19,7 @@ from weftline.operators import (
     keyed_join,
     median_std,
     median_std_histogram,
+    merge_averages,
     min_max_count,
     posting_lists,
     postings,
@@ -28,7 +29,17 @@ from weftline.operators import (
     word_count,
 )
 from weftline.plans import block_sums, chain_metrics, count_bin_enrich
-from weftline.sources import blocks_of_rows, index_words, random_posts, read_table, spread
+from weftline.sources import (
+    blocks_of_rows,
+    index_words,
+    parse_docs,
+    parse_entities,
+    parse_pairs,
+    parse_profiles,
+    random_posts,
+    read_table,
+    spread,
+)
 
 SEED = 42
 GREP_PATTERN = r"[A-Za-z0-9._%+-]@[A-Za-z0-9.-]+\.[A-Za-z]{2,}|[Ll]icense"
@@ -51,6 +62,33 @@ def _tokens(df: DataFrame, text: str) -> DataFrame:
     return tokens.where("token <> ''").distinct()
 
 
+# --- line formats -----------------------------------------------------------
+
+
+def _parse_pairs(spark, sf):
+    line = F.concat_ws(" ", "l_suppkey", F.col("l_quantity").cast("int"))
+    return parse_pairs(read_table(spark, sf, "lineitem").select(line.alias("value")))
+
+
+def _parse_docs(spark, sf):
+    """A URL has colons of its own: the body ends at the second one."""
+    line = F.concat(F.col("page_id").cast("string"), F.lit(": "), F.col("url"))
+    return parse_docs(read_table(spark, sf, "pages").select(line.alias("value")))
+
+
+def _parse_entities(spark, sf):
+    line = F.concat_ws(" ", "o_custkey", "o_orderkey", "o_orderpriority")
+    return parse_entities(read_table(spark, sf, "orders").select(line.alias("value")))
+
+
+def _parse_profiles(spark, sf):
+    line = F.concat_ws(
+        " ", "c_custkey", F.lit("firstName:"), "c_name",
+        F.lit("reputation:"), F.col("c_acctbal").cast("int"),
+    )
+    return parse_profiles(read_table(spark, sf, "customer").select(line.alias("value")))
+
+
 # --- counts and summaries ---------------------------------------------------
 
 
@@ -84,6 +122,17 @@ def _avg_count(spark, sf):
     return out.withColumn("average", F.round("average", 6))
 
 
+def _avg_count_merged(spark, sf):
+    quantities = read_table(spark, sf, "lineitem").select(
+        F.struct("l_suppkey", "l_returnflag").alias("part"),
+        F.col("l_quantity").cast("int").alias("freq"),
+    )
+    parts = avg_count(quantities, "part").select(
+        F.col("part.l_suppkey").alias("id"), "cnt", "average"
+    )
+    return merge_averages(parts).withColumn("average", F.round("average", 6))
+
+
 def _median_std(spark, sf):
     out = median_std(_quantities(spark, sf))
     return out.withColumn("std", F.round("std", 6))
@@ -273,11 +322,16 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "parse_pairs": _parse_pairs,
+        "parse_docs": _parse_docs,
+        "parse_entities": _parse_entities,
+        "parse_profiles": _parse_profiles,
         "word_count": _word_count,
         "chain_word_count": _chain_word_count,
         "min_max_count": _min_max_count,
         "min_max_lines": _min_max_lines,
         "avg_count": _avg_count,
+        "avg_count_merged": _avg_count_merged,
         "median_std": _median_std,
         "median_std_histogram": _median_std_histogram,
         "inverted_index": _inverted_index,
@@ -371,6 +425,21 @@ _SQL_RANDOM = f"""
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "parse_pairs": """
+          select cast(l_suppkey as int) as id, cast(trunc(l_quantity) as int) as freq
+          from lineitem""",
+        "parse_docs": """
+          select cast(page_id as int) as id, ' ' || split_part(url, ':', 1) as body,
+            page_id || ': ' || url as value
+          from pages""",
+        "parse_entities": """
+          select cast(o_custkey as int) as id,
+            concat_ws(' ', o_custkey, o_orderkey, o_orderpriority) as value
+          from orders""",
+        "parse_profiles": """
+          select cast(c_custkey as varchar) as user_id,
+            cast(cast(trunc(c_acctbal) as int) as varchar) as attribute
+          from customer""",
         "word_count": f"""
           select token, count(*) as cnt from (
             select unnest(case when text = '' then [''] when body = '' then []::varchar[]
@@ -390,6 +459,9 @@ def oracle_sql() -> dict[str, str]:
         "avg_count": f"""
           select id, count(*) as cnt, round(avg(freq), 6) as average
           from ({_SQL_QUANTITIES}) t group by id""",
+        "avg_count_merged": f"""
+          select id, count(*) as cnt, round(avg(freq), 6) as average
+          from ({_SQL_QUANTITIES}) t group by id""",
         "median_std": f"""
           select id, cast(median(freq) as double) as median, round(stddev_samp(freq), 6) as std
           from ({_SQL_QUANTITIES}) t group by id""",
