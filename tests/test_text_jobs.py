@@ -102,6 +102,17 @@ def test_malformed_lines_stop_or_drop(run, folder):
     assert run(jobs.min_max_count, "bad", mode="dropmalformed") == ["3\tMin: 4 Max: 4 Count: 1"]
 
 
+def test_only_needed_fields_count(run, folder):
+    (folder / "loose").write_text("5\n5:a\n")
+    assert run(jobs.distinct, "loose") == ["5"]
+    (folder / "named").write_text("x: m\ny: n\n")
+    assert run(jobs.hotlist_filter, "hot", "named") == ["x: m"]
+    (folder / "tabs").write_text("1: a\tb  \tc\n")
+    assert sorted(run(jobs.inverted_index, "tabs")) == ["a\tb\t: 1", "c\t: 1"]
+    (folder / "tabbed").write_text("1\t2\n1 4\n")
+    assert run(jobs.avg_count, "tabbed") == ["1\t2.0\t3.0"]
+
+
 def test_output_replaces_the_last_one(run):
     run(jobs.word_count, "docs")
     assert len(run(jobs.distinct, "docs")) == 3

@@ -1,3 +1,3 @@
-from weftline.functions import render, tokens
+from weftline.functions import blocks, render, tokens
 
-__all__ = ["render", "tokens"]
+__all__ = ["blocks", "render", "tokens"]

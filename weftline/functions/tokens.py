@@ -32,14 +32,23 @@ def split_non_empty(text: Column) -> Column:
 
 
 def split_trimmed(text: Column) -> Column:
-    """Split on whitespace, with control characters trimmed off every token.
+    """Split on whitespace, with control characters trimmed off every token."""
+    return _trimmed(text, r"\s+", r"[\x00-\x08\x0e-\x1f]")
 
-    The per-token trim runs only on texts that hold such controls at all.
+
+def split_blanks(text: Column) -> Column:
+    """Split on blanks only; other controls are trimmed off the ends of a token.
+
+    Adjacent blanks give empty tokens.
     """
-    tokens = F.split(text, r"\s+")
-    has_controls = text.rlike(r"[\x00-\x08\x0e-\x1f]")
+    return _trimmed(text, " ", r"[\x00-\x1f]")
+
+
+def _trimmed(text: Column, pattern: str, controls: str) -> Column:
+    """The tokens; the trim of each runs only on texts that hold controls at all."""
+    tokens = F.split(text, pattern)
     return F.when(
-        has_controls, F.transform(tokens, lambda t: F.trim(t, F.lit(TRIM_CHARS)))
+        text.rlike(controls), F.transform(tokens, lambda t: F.trim(t, F.lit(TRIM_CHARS)))
     ).otherwise(tokens)
 
 

@@ -2,22 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weftline.functions.blocks import block_number
 from weftline.functions.tokens import split_trimmed
 
 CHUNK_DOCS = 1000
 
 
-def postings(df: DataFrame, doc_id: str = "id", text: str = "body") -> DataFrame:
-    """``token, doc_id, tf``: one row per token and document.
+def postings(
+    df: DataFrame,
+    doc_id: str = "id",
+    text: str = "body",
+    split: Callable[[Column], Column] = split_trimmed,
+) -> DataFrame:
+    """``token, doc_id, tf``: one row per token of ``split`` and document.
 
     The table form of the index: the rows of a frequent token stay spread over
     the tasks. Occurrences are counted before the shuffle.
     """
     tokens = df.select(
-        F.col(doc_id).alias("doc_id"), F.explode(split_trimmed(F.col(text))).alias("token")
+        F.col(doc_id).alias("doc_id"), F.explode(split(F.col(text))).alias("token")
     )
     return (
         tokens.where(F.col("token") != "")
@@ -33,9 +41,6 @@ def posting_lists(index: DataFrame, chunk_docs: int = CHUNK_DOCS) -> DataFrame:
     is in every document has many lists and none grows with the collection. All
     lists of a token, in chunk order, are its full list.
     """
-    if chunk_docs < 1:
-        raise ValueError("chunk_docs must be at least 1")
-    chunk = F.floor(F.col("doc_id") / chunk_docs).cast("bigint")
     entry = F.struct("doc_id", "tf")
     repeated = F.flatten(
         F.transform(
@@ -44,7 +49,7 @@ def posting_lists(index: DataFrame, chunk_docs: int = CHUNK_DOCS) -> DataFrame:
         )
     )
     return (
-        index.groupBy("token", chunk.alias("chunk"))
+        index.groupBy("token", block_number("doc_id", chunk_docs).alias("chunk"))
         .agg(F.collect_list(entry).alias("entries"))
         .select("token", "chunk", repeated.alias("doc_ids"))
     )

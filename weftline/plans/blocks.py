@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weftline.functions.blocks import block_number
 from weftline.functions.tokens import REGEX_SPACE, split_fields
 from weftline.sources.parsers import strict_int
 
@@ -24,9 +25,7 @@ def block_sums(
     df: DataFrame, n: int, *, order: str, value: Column, within: Sequence[str] = ()
 ) -> DataFrame:
     """``first_line, total`` per block of ``n`` rows numbered densely by ``order``."""
-    if n < 1:
-        raise ValueError("n must be at least 1")
-    block = F.floor(F.col(order) / n).cast("bigint")
+    block = block_number(order, n)
     return (
         df.select(*within, F.col(order).alias("o"), value.alias("v"), block.alias("block"))
         .groupBy(*within, "block")

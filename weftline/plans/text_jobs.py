@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from weftline import operators as op
 from weftline import sinks
 from weftline.functions import render
+from weftline.functions.tokens import REGEX_SPACE, split_blanks
 from weftline.plans.blocks import block_sums, first_two_sum
 from weftline.plans.chaining import count_bin_enrich
 from weftline.sources import (
@@ -50,7 +51,7 @@ def min_max_count(spark: SparkSession, source: str, out: str, mode: str = FAIL)
 
 
 def avg_count(spark: SparkSession, source: str, out: str, mode: str = FAIL) -> None:
-    pairs = parse_pairs(read_lines(spark, source), mode)
+    pairs = parse_pairs(read_lines(spark, source), mode, REGEX_SPACE)
     _write_rendered(op.avg_count(pairs), "id", render.count_average(), out)
 
 
@@ -63,7 +64,7 @@ def inverted_index(
     spark: SparkSession, source: str, out: str, chunk_docs: int = 1000, mode: str = FAIL
 ) -> None:
     """``token \\t : id id id``, one line per token and chunk of ids."""
-    index = op.postings(parse_docs(read_lines(spark, source), mode))
+    index = op.postings(parse_docs(read_lines(spark, source), mode), split=split_blanks)
     _write_rendered(op.posting_lists(index, chunk_docs), "token", render.id_list(), out)
 
 
@@ -74,7 +75,8 @@ def top_ten(spark: SparkSession, source: str, out: str, n: int = 10, mode: str =
 
 
 def distinct(spark: SparkSession, source: str, out: str, mode: str = FAIL) -> None:
-    sinks.write_lines(op.distinct_keys(parse_docs(read_lines(spark, source), mode)), out)
+    ids = parse_docs(read_lines(spark, source), mode, fields=["id"])
+    sinks.write_lines(op.distinct_keys(ids), out)
 
 
 def distributed_grep(spark: SparkSession, source: str, out: str, pattern: str) -> None:
@@ -86,7 +88,7 @@ def hotlist_filter(
 ) -> None:
     """The lines of which the body has a word of the hot list, in order."""
     lines = number_lines(spark, source)
-    docs = parse_docs(lines, mode, keep=["file", "line_no"])
+    docs = parse_docs(lines, mode, keep=["file", "line_no"], fields=["body"])
     words = parse_words(read_lines(spark, hotlist))
     kept = op.hotlist_filter(docs, words, key=["file", "line_no"])
     sinks.write_sorted_lines(kept.select("value"), out, "value")

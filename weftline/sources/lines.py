@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from weftline.functions.blocks import block_number
 from weftline.sizing import MAX_BROADCAST_BYTES
 
 
@@ -87,11 +88,8 @@ def blocks_of_rows(
     a record is the ``order`` value of its first row; a short last block is kept.
     A group never holds more than ``n`` rows.
     """
-    if n < 1:
-        raise ValueError("n must be at least 1")
-    block = F.floor(F.col(order) / n).cast("bigint")
     return (
-        df.groupBy(*within, block.alias("block"))
+        df.groupBy(*within, block_number(order, n).alias("block"))
         .agg(
             F.min(order).alias("first_line"),
             F.array_sort(

@@ -54,18 +54,22 @@ def parse_pairs(
 
 
 def parse_docs(
-    df: DataFrame, mode: str = "failfast", keep: Sequence[str] = ()
+    df: DataFrame,
+    mode: str = "failfast",
+    keep: Sequence[str] = (),
+    fields: Sequence[str] = ("id", "body"),
 ) -> DataFrame:
     """``id:body`` lines to ``id INT, body STRING`` and the line.
 
-    The body is the text between the first and the second colon, unchanged.
+    The body is the text between the first and the second colon, unchanged. Of
+    the two, only the ``fields`` asked for have to be there.
     """
-    fields = split_fields(F.col("value"), ":")
+    parts = split_fields(F.col("value"), ":")
     columns = {
-        "id": strict_int(F.get(fields, F.lit(0))),
-        "body": F.get(fields, F.lit(1)),
+        "id": strict_int(F.get(parts, F.lit(0))),
+        "body": F.get(parts, F.lit(1)),
     }
-    return _checked(df, columns, mode, keep)
+    return _checked(df, {name: columns[name] for name in fields}, mode, keep)
 
 
 def parse_entities(
