@@ -3,6 +3,7 @@ import re
 import pytest
 from conftest import rows
 
+from weftline.checkpoints import computed_once
 from weftline.functions.tokens import REGEX_SPACE
 from weftline.sources import (
     index_words,
@@ -69,6 +70,14 @@ def test_word_numbers_are_dense(spark, lines):
     assert [r["idx"] for r in got] == list(range(500)) and len({r["word"] for r in got}) == 500
 
 
+def test_checkpoint_folder(spark):
+    once = computed_once(spark.range(5))
+    assert rows(once) == [(i,) for i in range(5)]
+    folder = spark.sparkContext.getCheckpointDir()
+    computed_once(spark.range(5))
+    assert spark.sparkContext.getCheckpointDir() == folder
+
+
 @pytest.fixture
 def words(spark):
     return spark.createDataFrame([(i, f"w{i}") for i in range(20)], "idx bigint, word string")

@@ -49,6 +49,12 @@ def test_split_fields_drops_trailing_empty(lines, text, expected):
     assert lines(text).select(split_fields(F.col("value"), ":").alias("t")).first()["t"] == expected
 
 
+@pytest.mark.parametrize("sep", list(" :.|^\\\t"))
+def test_split_fields_takes_any_separator(lines, sep):
+    df = lines(sep.join(["a", "b", "", "c", ""]))
+    assert df.select(split_fields(F.col("value"), sep).alias("t")).first()["t"] == ["a", "b", "", "c"]
+
+
 def test_word_count_sample(lines):
     counts = dict(rows(word_count(lines(*SAMPLE))))
     assert len(counts) == 70

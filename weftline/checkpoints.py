@@ -1,0 +1,26 @@
+"""Results that are computed once and read more than once."""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import DataFrame
+
+_FOLDER = "spark.checkpoint.dir"
+
+
+def computed_once(df: DataFrame) -> DataFrame:
+    """``df`` as a checkpoint in the folder that the cluster names.
+
+    A local session without such a folder gets a temporary one. On a cluster
+    without one, ``df`` stays as it is and is computed at every use.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = df.sparkSession.conf.get(_FOLDER, None)
+        if folder is None and context.master.startswith("local"):
+            folder = tempfile.mkdtemp(prefix="weftline-")
+        if folder is None:
+            return df
+        context.setCheckpointDir(folder)
+    return df.checkpoint()

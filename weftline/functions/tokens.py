@@ -52,7 +52,17 @@ def _trimmed(text: Column, pattern: str, controls: str) -> Column:
     ).otherwise(tokens)
 
 
-def split_fields(text: Column, separator: str) -> Column:
-    """Split on one separator character, without trailing empty fields."""
-    pattern = "[" + separator.replace("\\", "\\\\") + "]"
-    return F.split(F.rtrim(text, F.lit(separator)), pattern)
+# Fixed value: the characters with a meaning of their own in a regular expression.
+_REGEX_CHARS = ".$|()[{^?*+\\"
+
+
+def split_fields(text: Column, separators: str) -> Column:
+    """Split on any one separator character, without trailing empty fields.
+
+    A single plain character takes Java's split without a regular expression.
+    """
+    if len(separators) == 1 and separators not in _REGEX_CHARS:
+        pattern = separators
+    else:
+        pattern = "[" + separators.replace("\\", "\\\\").replace("^", "\\^") + "]"
+    return F.split(F.rtrim(text, F.lit(separators)), pattern)
