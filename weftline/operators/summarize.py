@@ -74,11 +74,14 @@ def median_std_histogram(
 
     # The range is declared free of NULLs, so that the join below adds no filter
     # to one use of the histogram only and both share its shuffle.
-    merged = hist.groupBy(key, value).agg(F.sum(count).alias("c")).withColumn(
-        "range", F.coalesce(F.shiftright(value, _HALF_BITS), F.lit(0))
+    merged = (
+        hist.select(F.col(key).alias("k"), F.col(value).alias("v"), F.col(count).alias("cnt"))
+        .groupBy("k", "v")
+        .agg(F.sum("cnt").alias("c"))
+        .withColumn("range", F.coalesce(F.shiftright("v", _HALF_BITS), F.lit(0)))
     )
     base = F.col("range").cast("double") * _HALF
-    offset = F.col(value).cast("bigint") - F.col("range").cast("bigint") * _HALF
+    offset = F.col("v").cast("bigint") - F.col("range").cast("bigint") * _HALF
     square = offset * offset
     # A square has 32 bits. Summed in halves, no sum can outgrow 64 bits below
     # 10^14 rows, and n * sum(x^2) - sum(x)^2 is exact in decimals after that.
@@ -86,7 +89,7 @@ def median_std_histogram(
     squares = F.col("hi").cast(exact) * _HALF + F.col("lo")
     spread = F.col("n").cast(exact) * squares - F.col("s").cast(exact) * F.col("s")
     ranges = (
-        merged.groupBy(key, "range")
+        merged.groupBy("k", "range")
         .agg(
             F.sum("c").alias("n"),
             F.sum(F.col("c") * offset).alias("s"),
@@ -94,7 +97,7 @@ def median_std_histogram(
             F.sum(F.col("c") * square.bitwiseAND(_HALF - 1)).alias("lo"),
         )
         .select(
-            key,
+            "k",
             "range",
             "n",
             (base + F.col("s") / F.col("n")).alias("mean"),
@@ -102,7 +105,7 @@ def median_std_histogram(
         )
     )
 
-    per_key = W.partitionBy(key)
+    per_key = W.partitionBy("k")
     so_far = per_key.orderBy("range").rowsBetween(W.unboundedPreceding, W.currentRow)
     total = F.sum("n").over(per_key)
     around = F.col("mean") - F.col("key_mean")
@@ -116,7 +119,7 @@ def median_std_histogram(
         .withColumn("rank_hi", F.expr("total div 2 + 1"))
         .where("before < rank_hi and upto >= rank_lo")
         .select(
-            F.col(key).alias("picked_key"),
+            F.col("k").alias("picked_key"),
             F.col("range").alias("picked_range"),
             "before",
             "rank_lo",
@@ -126,20 +129,20 @@ def median_std_histogram(
     )
 
     within = (
-        W.partitionBy(key, "range")
-        .orderBy(value)
+        W.partitionBy("k", "range")
+        .orderBy("v")
         .rowsBetween(W.unboundedPreceding, W.currentRow)
     )
     middle = (
         merged.join(
             picked,
-            F.col(key).eqNullSafe(F.col("picked_key"))
+            F.col("k").eqNullSafe(F.col("picked_key"))
             & (F.col("range") == F.col("picked_range")),
         )
         .withColumn("upto", F.col("before") + F.sum("c").over(within))
         .where("upto - c < rank_hi and upto >= rank_lo")
     )
-    low, high = F.min(value).cast("double"), F.max(value).cast("double")
-    return middle.groupBy(key).agg(
+    low, high = F.min("v").cast("double"), F.max("v").cast("double")
+    return middle.groupBy(F.col("k").alias(key)).agg(
         ((low + high) / 2).alias("median"), F.max("std").alias("std")
     )

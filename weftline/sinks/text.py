@@ -24,8 +24,7 @@ def write_sorted_lines(
     """
     columns = columns or tuple(df.columns)
     rest = [c for c in columns if c != sort_by]
-    lines = df.withColumn("task", F.spark_partition_id())
-    ordered = lines.orderBy(sort_by, *rest, "task")
+    ordered = df.orderBy(sort_by, *rest, F.spark_partition_id())
     ordered.select(tab_line(*columns).alias("value")).write.mode(mode).text(path)
 
 
