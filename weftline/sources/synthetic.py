@@ -89,8 +89,13 @@ def random_posts(rows: DataFrame, words: DataFrame, seed: int = 42) -> DataFrame
     are partitioned first, and the words of a row are then drawn, looked up and
     put together in one task, unless the word list is too long to broadcast.
     """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    tasks = max(rows.rdd.getNumPartitions(), cores)
+    spark = rows.sparkSession
+    # As many tasks as a shuffle would have; row numbers alone are too small for
+    # their size to tell how much work hangs on them.
+    tasks = max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")),
+        spark.sparkContext.defaultParallelism,
+    )
     base = rows.select(F.col("row").cast("bigint").alias("row")).repartition(tasks, "row")
     size, size_bytes = measured_size(words)
     if size == 0:
