@@ -97,6 +97,14 @@ def test_line_numbers(spark, text_files):
     assert got == want
 
 
+def test_line_numbers_by_shuffle(spark, text_files, monkeypatch):
+    broadcast = rows(number_lines(spark, str(text_files)))
+    monkeypatch.setattr("weftline.sources.lines.MAX_BROADCAST_BYTES", -1)
+    shuffled = number_lines(spark, str(text_files))
+    assert "broadcast" not in shuffled._jdf.queryExecution().logical().toString()
+    assert rows(shuffled) == broadcast and len(broadcast) == 110
+
+
 @pytest.mark.parametrize("split", ["134217728", "97", "13"])
 def test_n_line_records_for_any_split(spark, text_files, split):
     spark.conf.set("spark.sql.files.maxPartitionBytes", split)

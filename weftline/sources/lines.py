@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from weftline.functions.blocks import block_number
 from weftline.sizing import MAX_BROADCAST_BYTES
 
-
 _BYTES_PER_SPLIT_ROW = 512
 _MIN_SPLITS = "spark.sql.files.minPartitionNum"
 
