@@ -41,6 +41,14 @@ from weftline.sources import (
     spread,
 )
 
+try:  # the corpus operators can be left out as a whole
+    import corpus_pipeline
+    from weftline.llm import queries as llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "weftline.llm"):
+        raise
+    corpus_pipeline = llm = None
+
 SEED = 42
 GREP_PATTERN = r"[A-Za-z0-9._%+-]@[A-Za-z0-9.-]+\.[A-Za-z]{2,}|[Ll]icense"
 HOT_WORD_CHARS = 8
@@ -356,7 +364,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "n_line_records": _n_line_records,
         "multiline_sum": _multiline_sum,
         "random_data_generator": _random_data_generator,
-    }
+    } | _llm_queries()
+
+
+def _llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return llm.queries() | {"pipeline": corpus_pipeline.run} if llm else {}
 
 
 # --- SQL oracles ------------------------------------------------------------------
@@ -552,4 +564,4 @@ def oracle_sql() -> dict[str, str]:
             cast(sum(user_id + cast(trunc(value) as int)) as bigint) as total
           from events group by event_id // {BLOCK}""",
         "random_data_generator": _SQL_RANDOM,
-    }
+    } | (llm.oracle_sql() if llm else {})
