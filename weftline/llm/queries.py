@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weftline.llm import mixing
+from weftline.llm import mixing, multiset_hash, url_rules
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -17,8 +17,18 @@ def _mixing(spark, sf):
     return mixing.mix(_table(spark, sf, "documents")).drop("copies")
 
 
+def _multiset_hash(spark, sf):
+    return multiset_hash.fingerprints(_table(spark, sf, "documents"))
+
+
+def _url_rules(spark, sf):
+    return url_rules.judge(_table(spark, sf, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op5_multiset_hash": _multiset_hash,
+        "op9_url_rules": _url_rules,
         "op10_mixing": _mixing,
     }
 
