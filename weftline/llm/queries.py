@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from weftline.llm import mixing, multiset_hash, url_rules
+from weftline.llm import mixing, multiset_hash, topk, url_rules
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -21,6 +22,10 @@ def _multiset_hash(spark, sf):
     return multiset_hash.fingerprints(_table(spark, sf, "documents"))
 
 
+def _topk(spark, sf):
+    return topk.top_k(_table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def _url_rules(spark, sf):
     return url_rules.judge(_table(spark, sf, "pages"))
 
@@ -28,6 +33,7 @@ def _url_rules(spark, sf):
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op5_multiset_hash": _multiset_hash,
+        "op7_topk": _topk,
         "op9_url_rules": _url_rules,
         "op10_mixing": _mixing,
     }
@@ -35,5 +41,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op7_topk": topk.oracle_sql(),
         "op10_mixing": mixing.oracle_sql(),
     }
