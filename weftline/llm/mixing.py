@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from weftline.llm.common import saved
+
 #: What ends a word, as in the contract of the size.
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)
@@ -102,14 +104,12 @@ def _size_class() -> Column:
 
 def _ranked(rows: DataFrame, keys: list[str]) -> DataFrame:
     """``rows`` with ``rank``, their place from 0 within the source."""
-    total = rows.agg(F.count("*").alias("n")).select(
-        F.expr(f"cast(n div {BUCKET_ROWS} + 1 as bigint)").alias("buckets")
-    )
+    buckets = rows.count() // BUCKET_ROWS + 1
     identity = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("-")) for k in keys])
-    rows = rows.crossJoin(F.broadcast(total)).select(
+    rows = rows.select(
         *rows.columns,
         _size_class().alias("size_class"),
-        (_hash(F.concat(F.lit(SEED), identity)) % F.col("buckets")).alias("bucket"),
+        (_hash(F.concat(F.lit(SEED), identity)) % buckets).alias("bucket"),
     )
     cell = ["source", "size_class", "bucket"]
     place = Window.partitionBy(*cell).orderBy("size", *[F.col(k).asc_nulls_last() for k in keys])
@@ -145,7 +145,11 @@ def _ranked(rows: DataFrame, keys: list[str]) -> DataFrame:
 def sample_copies(
     rows: DataFrame, keys: list[str], weights=WEIGHTS, cap: int = CAP
 ) -> DataFrame:
-    """Rows of (keys, source, size) with source_size, target and ``copies``."""
+    """Rows of (keys, source, size) with source_size, target and ``copies``.
+
+    The narrow rows are written once, so that texts are read once.
+    """
+    rows = saved(rows)
     targets = source_targets(rows.select("source", "size"), weights, cap).withColumnRenamed(
         "source", "t_source"
     )
