@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import mixing, multiset_hash, topk, url_rules
+from weftline.llm import mixing, multiset_hash, token_files, topk, url_rules
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -22,6 +23,11 @@ def _multiset_hash(spark, sf):
     return multiset_hash.fingerprints(_table(spark, sf, "documents"))
 
 
+def _token_files(spark, sf):
+    documents = _table(spark, sf, "documents")
+    return token_files.token_files(spark, documents, public_tokenizers.path("word_bpe_49k.json"))
+
+
 def _topk(spark, sf):
     return topk.top_k(_table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -32,6 +38,7 @@ def _url_rules(spark, sf):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_token_files": _token_files,
         "op5_multiset_hash": _multiset_hash,
         "op7_topk": _topk,
         "op9_url_rules": _url_rules,
