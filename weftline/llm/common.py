@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import math
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +30,19 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def ready(spark: SparkSession) -> SparkSession:
+    """Lets Python workers import this package from where the driver has it.
+
+    On a cluster without that path the package comes with ``--py-files``.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [known, root]))
+    return spark
+
+
 def saved(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared folder; cuts lineage, survives lost executors."""
     context = df.sparkSession.sparkContext

@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.llm import mixing, multiset_hash, token_files, topk, url_rules
+from weftline.llm.common import ready
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return ready(spark).read.parquet(f"{sf}/{name}.parquet")
 
 
 def _mixing(spark, sf):

@@ -214,14 +214,14 @@ def write_token_files(
         out.write(ranks.tobytes())
     ordered = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
     written = ordered.mapInArrow(
-        _writing(path, folder, ranks, end_id), "part int, name string, documents long, ids long"
+        _writing(path, folder, ranks, end_id), "part long, name string, documents long, ids long"
     ).collect()
     files, start = [], 0
     for r in sorted(written, key=lambda r: r["part"]):
         files.append((*r, start))
         start += r["ids"]
     return spark.createDataFrame(
-        files, "part int, name string, documents long, ids long, start long"
+        files, "part long, name string, documents long, ids long, start long"
     )
 
 
