@@ -8,7 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import mixing, multiset_hash, token_files, topk, url_rules
+from weftline.llm import (
+    mixing,
+    multiset_hash,
+    quality,
+    suffix_pieces,
+    token_files,
+    topk,
+    url_rules,
+)
 from weftline.llm.common import ready
 
 
@@ -29,6 +37,16 @@ def _token_files(spark, sf):
     return token_files.token_files(spark, documents, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def _quality(spark, sf):
+    return quality.scored(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
+def _suffix_pieces(spark, sf):
+    documents = _table(spark, sf, "documents")
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return suffix_pieces.encoded_and_decoded(documents, model)
+
+
 def _topk(spark, sf):
     return topk.top_k(_table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -40,7 +58,9 @@ def _url_rules(spark, sf):
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_token_files": _token_files,
+        "op3_quality": _quality,
         "op5_multiset_hash": _multiset_hash,
+        "op6_suffix_pieces": _suffix_pieces,
         "op7_topk": _topk,
         "op9_url_rules": _url_rules,
         "op10_mixing": _mixing,
