@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from weftline.llm import (
     mixing,
     multiset_hash,
+    pii,
     quality,
     suffix_pieces,
     token_files,
@@ -41,6 +42,10 @@ def _quality(spark, sf):
     return quality.scored(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
 
 
+def _pii(spark, sf):
+    return pii.found(_table(spark, sf, "documents"))
+
+
 def _suffix_pieces(spark, sf):
     documents = _table(spark, sf, "documents")
     model = public_tokenizers.path("piece_bpe_32k.model")
@@ -59,6 +64,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_token_files": _token_files,
         "op3_quality": _quality,
+        "op4_pii": _pii,
         "op5_multiset_hash": _multiset_hash,
         "op6_suffix_pieces": _suffix_pieces,
         "op7_topk": _topk,
