@@ -16,6 +16,7 @@ from weftline.llm import (
     suffix_pieces,
     token_files,
     topk,
+    toxicity,
     url_rules,
 )
 from weftline.llm.common import ready
@@ -46,6 +47,10 @@ def _pii(spark, sf):
     return pii.found(_table(spark, sf, "documents"))
 
 
+def _toxicity(spark, sf):
+    return toxicity.scored(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
 def _suffix_pieces(spark, sf):
     documents = _table(spark, sf, "documents")
     model = public_tokenizers.path("piece_bpe_32k.model")
@@ -62,6 +67,7 @@ def _url_rules(spark, sf):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_toxicity": _toxicity,
         "op2_token_files": _token_files,
         "op3_quality": _quality,
         "op4_pii": _pii,
