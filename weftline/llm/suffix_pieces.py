@@ -36,11 +36,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.llm.word_ids import WordIds, chunks, ranges_of
+from weftline.llm.word_ids import WORDS_CHUNK, WordIds, ranges_of, slices
 
 SPACE = "▁"
 _CUT = re.compile(f"{SPACE}+[^{SPACE}]*")
@@ -203,12 +204,22 @@ def _whole(cut: str) -> str:
     return cut if cut.startswith(SPACE) else SPACE + cut
 
 
-def _cuts(text: str) -> list[str]:
-    if not text:
-        return []
-    if SPACE in text or "  " in text or text[0] == " ":
-        return _CUT.findall(SPACE + text.replace(" ", SPACE))
-    return text.split(" ")
+def _cuts(texts: pa.Array) -> pa.ListArray:
+    """Cuts of each text. Words after one space come without their ``▁``."""
+    odd = pc.or_(
+        pc.or_(pc.match_substring(texts, SPACE), pc.match_substring(texts, "  ")),
+        pc.or_(pc.starts_with(texts, " "), pc.equal(texts, "")),
+    )
+    words = pc.split_pattern(texts, " ")
+    at = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
+    if not len(at):
+        return words
+    found = [
+        _CUT.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts.take(at).to_pylist()
+    ]
+    rows = np.arange(len(texts))
+    rows[at] = len(texts) + np.arange(len(at))
+    return pa.concat_arrays([words, pa.array(found, words.type)]).take(pa.array(rows))
 
 
 class Decoder:
@@ -237,8 +248,8 @@ def _ids_column(ids: np.ndarray, sizes: np.ndarray) -> pa.Array:
 def _encoding(path: str, text: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, words = _model(path)
-        for batch, texts in chunks(batches, text):
-            ids, sizes = words([_cuts(t) for t in texts])
+        for batch, texts in slices(batches, text, WORDS_CHUNK):
+            ids, sizes = words(_cuts(texts))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, _ids_column(ids, sizes)], [*batch.schema.names, "ids"]
             )

@@ -15,7 +15,8 @@ data bytes in four 32-bit ranks, and a rank gives its id.
 Documents are in ascending id order within and across files (null ids first, ties by
 text): one range shuffle by id and a sort per task. A task streams its blocks, writes to a
 name of its own attempt and moves the file to its final name at the end, so a task that
-is lost or run twice leaves one whole file. What comes to the driver: one count per id of
+is lost or run twice leaves one whole file. Until all ids are counted the files are
+drafts, with the ids themselves under zstd. What comes to the driver: one count per id of
 the vocabulary, and one row per file.
 
 Null texts read as empty; an empty text holds the end id alone. Repeated rows are
@@ -27,22 +28,24 @@ from __future__ import annotations
 
 import os
 import struct
+import unicodedata
 import zlib
 from collections.abc import Callable, Iterator
 from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm.common import new_folder, text_of
-from weftline.llm.word_ids import WordIds, chunks
+from weftline.llm.common import new_folder, saved, text_of
+from weftline.llm.word_ids import WORDS_CHUNK, WordIds, slices
 
 END_ID = 2
-_MAGIC = b"WTI1"
+_MAGIC, _DRAFT = b"WTI1", b"WTD1"
 _HEAD = struct.Struct("<4sQQQQ")
 _DOCUMENT = np.dtype([("is_null", "u1"), ("doc_id", "<i8"), ("n", "<u8")])
 _RANKS = "ranks.u32"
@@ -81,70 +84,62 @@ def _tokenizer_words(path: str) -> WordIds:
     """The worker's memory of words for a tokenizer file; tasks of a worker share it."""
     if path not in _words:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(path)
-
-        def encode(words: list[str]) -> list[list[int]]:
-            """Also cuts final punctuation from plain words, which repeats their letters less."""
-            cut = [_cut(w) for w in words]
-            known: dict[str, list[int]] = {}
-            parts = sorted({p for pair in cut for p in pair if p})
-            for p, e in zip(
-                parts, tokenizer.encode_batch_fast(parts, add_special_tokens=False), strict=True
-            ):
-                known[p] = e.ids
-            known[""] = []
-            return [known[a] + known[b] for a, b in cut]
-
-        _words[path] = WordIds(encode)
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+        whole, bare = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        # For words that normalising and cutting leave as they are.
+        bare.normalizer = normalizers.Sequence([])
+        bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+
+        def encode(parts: list[str]) -> list[list[int]]:
+            plain = [_plain(p) for p in parts]
+            found = {}
+            for flag, tokenizer in ((True, bare), (False, whole)):
+                some = [p for p, f in zip(parts, plain, strict=True) if f == flag]
+                ids = tokenizer.encode_batch_fast(some, add_special_tokens=False)
+                found.update(zip(some, (e.ids for e in ids), strict=True))
+            return [found[p] for p in parts]
+
+        _words[path] = WordIds(encode, _halves)
     return _words[path]
 
 
-def _cut(word: str) -> tuple[str, str]:
-    """A word of letters and its final punctuation, which this tokenizer never joins."""
-    body = word.rstrip(_TAIL)
-    if body != word and body.isascii() and body.isalpha():
-        return body.lower(), word[len(body):]
-    return (word.lower() if word.isascii() and word.isalpha() else word), ""
-
-
-def _words_of(text: str) -> list[str]:
-    """White space at which the tokenizer cuts too; what other there is stays in the words."""
-    return text.replace("\n", " ").split(" ")
+def _plain(part: str) -> bool:
+    """Lower-case Latin letters only, each one character."""
+    return part.isalpha() and (
+        part.isascii()
+        or max(part) < "\u0250" and part.lower() == part
+        and unicodedata.is_normalized("NFC", part)
+    )
 
 
-def _encoded(batches, path: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    words = _tokenizer_words(path)
-    for batch, texts in chunks(batches):
-        ids, lengths = words([_words_of(t) for t in texts])
-        yield batch, ids, lengths
+def _halves(words: list[str]) -> list[list[str]]:
+    """Words of letters and their final punctuation, which this tokenizer never joins."""
+    bodies = [w.rstrip(_TAIL) for w in words]
+    ends = [""] * len(words)
+    for i, (w, b) in enumerate(zip(words, bodies, strict=True)):
+        if len(b) != len(w):
+            if b.isalpha() and max(b) < "\u0250":
+                ends[i] = w[len(b):]
+            else:
+                bodies[i] = w
+    return [bodies, ends]
 
 
-def _counting(path: str) -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << 16, np.int64)
-        for _, ids, _ in _encoded(batches, path):
-            found = np.bincount(ids, minlength=len(counts))
-            found[: len(counts)] += counts
-            counts = found
-        ids = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_pydict({"id": ids.astype(np.int64), "n": counts[ids]})
+def _words_of(texts: pa.Array) -> pa.ListArray:
+    """Cut at white space at which the tokenizer cuts too; what other there is stays.
 
-    return run
+    A-Z are lower-cased, as the tokenizer does, but for texts that may name a special token.
+    """
+    special = pc.match_substring(texts, "<|")
+    lower = pc.if_else(special, texts, pc.ascii_lower(texts))
+    return pc.split_pattern(pc.replace_substring(lower, "\n", " "), " ")
 
 
-def ranked_ids(documents: DataFrame, path: str, end_id: int = END_ID) -> np.ndarray:
-    """The ids that occur, most frequent first; equal counts by id. ``end_id`` counts per row."""
-    counts = (
-        documents.select(text_of("text").alias("text"))
-        .mapInArrow(_counting(path), "id long, n long")
-        .groupBy("id")
-        .agg(F.sum("n").alias("n"))
-    )
-    found = {r["id"]: r["n"] for r in counts.collect()}
-    found[end_id] = found.get(end_id, 0) + documents.count()
-    return np.array(sorted(found, key=lambda i: (-found[i], i)), "<u4")
+def _encoded(batches, path: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    words = _tokenizer_words(path)
+    for batch, texts in slices(batches, size=WORDS_CHUNK):
+        yield batch, *words(_words_of(texts))
 
 
 def _store(folder: str) -> tuple[pafs.FileSystem, str]:
@@ -155,14 +150,26 @@ def _store(folder: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(folder)
 
 
-def _block(doc_ids: pa.Array, ids: np.ndarray, lengths: np.ndarray, places: np.ndarray) -> bytes:
+def _header(doc_ids: pa.Array, lengths: np.ndarray) -> bytes:
     documents = np.zeros(len(lengths), _DOCUMENT)
     documents["is_null"] = doc_ids.is_null().to_numpy(zero_copy_only=False)
     documents["doc_id"] = doc_ids.fill_null(0).to_numpy(zero_copy_only=False)
     documents["n"] = lengths
-    control, data = pack(places[ids])
-    head = _HEAD.pack(_MAGIC, len(lengths), len(ids), len(control), len(data))
-    return b"".join((head, documents.tobytes(), control, data))
+    return documents.tobytes()
+
+
+def _draft_block(doc_ids: pa.Array, ids: np.ndarray, lengths: np.ndarray) -> bytes:
+    """A block before ranks are known: ids as they are, compressed."""
+    raw = pa.compress(ids.astype("<u4").tobytes(), codec="zstd", asbytes=True)
+    head = _HEAD.pack(_DRAFT, len(lengths), len(ids), len(raw), 0)
+    return b"".join((head, _header(doc_ids, lengths), raw))
+
+
+def _block(documents: bytes, ranks: np.ndarray) -> bytes:
+    control, data = pack(ranks)
+    n = len(documents) // _DOCUMENT.itemsize
+    head = _HEAD.pack(_MAGIC, n, len(ranks), len(control), len(data))
+    return b"".join((head, documents, control, data))
 
 
 def _with_end(ids: np.ndarray, lengths: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
@@ -170,80 +177,141 @@ def _with_end(ids: np.ndarray, lengths: np.ndarray, end_id: int) -> tuple[np.nda
     return np.insert(ids, np.cumsum(lengths), end_id), lengths + 1
 
 
-def _writing(path: str, folder: str, ranks: np.ndarray, end_id: int) -> Callable:
+def _name(part: int) -> str:
+    return f"part-{part:06d}.wti"
+
+
+def _attempt(base: str, part: int) -> str:
+    """A name that no other task, and no other attempt of this one, writes to."""
+    return f"{base}/.{_name(part)}.{TaskContext.get().taskAttemptId()}"
+
+
+_DRAFTED = "part long, documents long, id long, n long"
+
+
+def _drafting(path: str, folder: str, end_id: int) -> Callable:
+    """Writes the draft of a partition; returns a row for it and one per id in it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        context = TaskContext.get()
-        part = context.partitionId()
+        part = TaskContext.get().partitionId()
         store, base = _store(folder)
-        places = np.zeros(int(ranks.max(initial=0)) + 1, np.int64)
-        places[ranks] = np.arange(len(ranks))
-        name = f"part-{part:06d}.wti"
-        attempt = f"{base}/.{name}.{context.taskAttemptId()}"
-        documents = total = 0
+        counts = np.zeros(1 << 16, np.int64)
+        documents = 0
         out = None
         for batch, ids, lengths in _encoded(batches, path):
             ids, lengths = _with_end(ids, lengths, end_id)
-            out = out or store.open_output_stream(attempt)
-            out.write(_block(batch.column("doc_id"), ids, lengths, places))
+            found = np.bincount(ids, minlength=len(counts))
+            found[: len(counts)] += counts
+            counts = found
+            out = out or store.open_output_stream(_attempt(base, part))
+            out.write(_draft_block(batch.column("doc_id"), ids, lengths))
             documents += len(lengths)
-            total += len(ids)
         if out is not None:
             out.close()
-            store.move(attempt, f"{base}/{name}")
-            yield pa.RecordBatch.from_pylist(
-                [{"part": part, "name": name, "documents": documents, "ids": total}]
+            store.move(_attempt(base, part), f"{base}/{_name(part)}.draft")
+            ids = np.flatnonzero(counts)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.full(len(ids) + 1, part, np.int64)),
+                    pa.array([documents, *[0] * len(ids)], pa.int64()),
+                    pa.array([None, *ids.tolist()], pa.int64()),
+                    pa.array([int(counts.sum()), *counts[ids].tolist()], pa.int64()),
+                ],
+                ["part", "documents", "id", "n"],
             )
 
     return run
 
 
+def _ranking(folder: str) -> Callable:
+    """Writes the file of each draft and deletes the draft.
+
+    If an earlier attempt got so far, the file is there and whole.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = _store(folder)
+        table = _rank_table(store, base)
+        places = np.zeros(int(table.max(initial=0)) + 1, np.uint32)
+        places[table] = np.arange(len(table))
+        for batch in batches:
+            for part in batch.column("part").to_pylist():
+                final, draft = f"{base}/{_name(part)}", f"{base}/{_name(part)}.draft"
+                if store.get_file_info(final).type == pafs.FileType.NotFound:
+                    with (
+                        store.open_input_stream(draft) as stream,
+                        store.open_output_stream(_attempt(base, part)) as out,
+                    ):
+                        for rows, ids in _blocks(stream):
+                            out.write(_block(rows.tobytes(), places[ids]))
+                    store.move(_attempt(base, part), final)
+                if store.get_file_info(draft).type != pafs.FileType.NotFound:
+                    store.delete_file(draft)
+            yield batch
+
+    return run
+
+
+def _spread(rows: DataFrame, key: str) -> DataFrame:
+    """One small row per file, dealt to as many tasks as there are shuffle partitions."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def write_token_files(
     documents: DataFrame, path: str, folder: str, end_id: int = END_ID, parts: int | None = None
 ) -> DataFrame:
     """Writes the ids of (doc_id, text) rows; returns (part, name, documents, ids, start).
 
-    ``start`` is the number of ids in the files before.
+    ``start`` is the number of ids in the files before. Texts are tokenized once: drafts
+    hold the ids in order, ranks come from the counts of all drafts, and each draft is
+    then written with ranks.
     """
     spark = documents.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = documents.select("doc_id", text_of("text").alias("text"))
-    ranks = ranked_ids(rows, path, end_id)
     store, base = _store(folder)
     store.create_dir(base, recursive=True)
-    with store.open_output_stream(f"{base}/{_RANKS}") as out:
-        out.write(ranks.tobytes())
     ordered = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
-    written = ordered.mapInArrow(
-        _writing(path, folder, ranks, end_id), "part long, name string, documents long, ids long"
-    ).collect()
+    drafted = saved(ordered.mapInArrow(_drafting(path, folder, end_id), _DRAFTED))
+    counts = drafted.where("id is not null").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    ranks = sorted(counts, key=lambda r: (-r["n"], r["id"]))
+    with store.open_output_stream(f"{base}/{_RANKS}") as out:
+        out.write(np.array([r["id"] for r in ranks], "<u4").tobytes())
+    found = drafted.where("id is null").orderBy("part").collect()
     files, start = [], 0
-    for r in sorted(written, key=lambda r: r["part"]):
-        files.append((*r, start))
-        start += r["ids"]
-    return spark.createDataFrame(
+    for r in found:
+        files.append((r["part"], _name(r["part"]), r["documents"], r["n"], start))
+        start += r["n"]
+    table = spark.createDataFrame(
         files, "part long, name string, documents long, ids long, start long"
     )
+    _spread(table.select("part"), "part").mapInArrow(_ranking(folder), "part long").count()
+    return table
+
+
+def _rank_table(store: pafs.FileSystem, base: str) -> np.ndarray:
+    with store.open_input_stream(f"{base}/{_RANKS}") as stream:
+        return np.frombuffer(stream.read(), "<u4")
 
 
 def _blocks(stream) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Documents and numbers of each block: ranks, or ids in a draft."""
     while head := stream.read(_HEAD.size):
         magic, documents, ids, control, data = _HEAD.unpack(head)
-        if magic != _MAGIC:
-            raise ValueError("not a block of token ids")
         rows = np.frombuffer(stream.read(documents * _DOCUMENT.itemsize), _DOCUMENT)
-        numbers = unpack(
-            np.frombuffer(stream.read(control), np.uint8),
-            np.frombuffer(stream.read(data), np.uint8),
-            ids,
-        )
-        yield rows, numbers
+        first = stream.read(control)
+        if magic == _DRAFT:
+            raw = pa.decompress(first, 4 * ids, codec="zstd", asbytes=True) if ids else b""
+            yield rows, np.frombuffer(raw, "<u4")
+        elif magic == _MAGIC:
+            second = np.frombuffer(stream.read(data), np.uint8)
+            yield rows, unpack(np.frombuffer(first, np.uint8), second, ids)
+        else:
+            raise ValueError("not a block of token ids")
 
 
 def _reading(folder: str, with_ids: bool) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = _store(folder)
-        with store.open_input_stream(f"{base}/{_RANKS}") as stream:
-            table = np.frombuffer(stream.read(), "<u4")
+        table = _rank_table(store, base)
         for batch in batches:
             for row in batch.to_pylist():
                 start = row["start"]
@@ -277,10 +345,9 @@ def _documents(documents, ids, lengths, start: int, with_ids: bool) -> pa.Record
 
 def read_token_files(files: DataFrame, folder: str, with_ids: bool = False) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32), and the ids themselves if asked for."""
-    parts = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long"
     schema += ", ids array<int>" * with_ids
-    spread = files.select("name", "start").repartition(parts, "name")
+    spread = _spread(files.select("name", "start"), "name")
     return spread.mapInArrow(_reading(folder, with_ids), schema)
 
 

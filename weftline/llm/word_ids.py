@@ -1,8 +1,9 @@
 """Ids of whole texts from the ids of their words, each word encoded once a worker.
 
 A tokenizer whose pieces never cross a cut encodes a text as its cut parts, one after the
-other. ``WordIds`` keeps the ids of parts it has met in one flat array and encodes only new
-ones, in one call a batch. The memory is bounded: beyond ``limit`` parts it starts anew.
+other. Arrow finds the different words of a chunk of texts; ``WordIds`` keeps the ids of
+parts it has met in one flat array and encodes only new ones, in one call a chunk. The
+memory is bounded: beyond ``limit`` parts it starts anew.
 """
 
 from __future__ import annotations
@@ -13,10 +14,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Characters of text that a task works on at once; a longer text is worked on alone.
+#: Bytes of text that a task works on at once; a longer text is worked on alone.
 CHUNK_CHARS = 1 << 20
+WORDS_CHUNK = 8 << 20
 #: Parts that a worker remembers, at about 200 bytes each.
-MEMORY_PARTS = 600_000
+MEMORY_PARTS = 900_000
 
 
 def ranges_of(lengths: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -27,12 +29,15 @@ def ranges_of(lengths: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 class WordIds:
+    """``parts`` cuts each of the different words in a fixed number of parts."""
+
     def __init__(
         self,
         encode: Callable[[list[str]], Sequence[Sequence[int]]],
+        parts: Callable[[list[str]], list[list[str]]] = lambda words: [words],
         limit: int = MEMORY_PARTS,
     ):
-        self.encode, self.limit = encode, limit
+        self.encode, self.parts, self.limit = encode, parts, limit
         self._forget()
 
     def _forget(self) -> None:
@@ -49,33 +54,50 @@ class WordIds:
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
         self.flat = np.concatenate([self.flat, ids])
 
-    def __call__(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts, given as parts, and the number of ids of each."""
+    def _of_different(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words, joined, and how many each has."""
         if len(self.numbers) > self.limit:
             self._forget()
-        parts = [p for text in texts for p in text]
-        fresh = list(set(parts).difference(self.numbers))
+        cut = self.parts(words)
+        fresh = sorted(set().union(*cut).difference(self.numbers))
         if fresh:
-            fresh.sort()
             self._learn(fresh)
-        each = np.fromiter(map(self.numbers.__getitem__, parts), np.int64, len(parts))
-        lengths = self.starts[each + 1] - self.starts[each]
-        ids = self.flat[ranges_of(lengths, self.starts[each])]
+        numbers = np.stack([
+            np.fromiter(map(self.numbers.__getitem__, c), np.int64, len(c)) for c in cut
+        ], axis=1)
+        starts = self.starts[numbers]
+        lengths = self.starts[numbers + 1] - starts
+        return self.flat[ranges_of(lengths.ravel(), starts.ravel())], lengths.sum(1)
+
+    def __call__(self, words: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts, given as lists of words, and the number of ids of each."""
+        coded = words.flatten().dictionary_encode()
+        ids, sizes = self._of_different(coded.dictionary.to_pylist())
+        each = coded.indices.to_numpy(zero_copy_only=False)
+        starts = np.cumsum(sizes) - sizes
+        lengths = sizes[each]
         ends = np.concatenate([[0], np.cumsum(lengths)])
-        last = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))
-        return ids, np.diff(ends[last], prepend=0)
+        last = np.cumsum(words.value_lengths().to_numpy(zero_copy_only=False))
+        return ids[ranges_of(lengths, starts[each])], np.diff(ends[last], prepend=0)
 
 
-def chunks(
-    batches: Iterator[pa.RecordBatch], text: str = "text"
-) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Slices of the batches of about ``CHUNK_CHARS`` each, with their texts (null: empty)."""
+def slices(
+    batches: Iterator[pa.RecordBatch], text: str = "text", size: int = CHUNK_CHARS
+) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """Slices of the batches of about ``size`` bytes each, with their texts (null: empty)."""
     for batch in batches:
         column = batch.column(batch.schema.get_field_index(text))
         sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
-        part = (np.cumsum(sizes) - sizes) // CHUNK_CHARS
+        part = (np.cumsum(sizes, dtype=np.int64) - sizes) // size
         edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
         for a, b in zip(edges, edges[1:], strict=False):
             if a < b:
-                texts = [t or "" for t in column.slice(a, b - a).to_pylist()]
-                yield batch.slice(a, b - a), texts
+                yield batch.slice(a, b - a), pc.fill_null(column.slice(a, b - a), "")
+
+
+def chunks(
+    batches: Iterator[pa.RecordBatch], text: str = "text", size: int = CHUNK_CHARS
+) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """As ``slices``, the texts as a list."""
+    for batch, texts in slices(batches, text, size):
+        yield batch, texts.to_pylist()
