@@ -2,8 +2,9 @@
 
 A text becomes its pieces as follows. Spaces turn into ``▁`` and one is put before the
 text. No piece holds a ``▁`` after another character, so the text is cut before each run
-of ``▁`` and equal cuts have equal ids; a worker works out each cut once. The new cuts
-of a batch are joined to one text, and then:
+of ``▁`` and equal cuts have equal ids; a worker works out each cut once. Signs at the end
+of a word of letters are a cut of their own if no piece holds one after a letter. The
+new cuts of a batch are joined to one text, and then:
 
 1. the suffixes of the text, as deep as the longest piece, are sorted;
 2. every piece of the vocabulary is found by binary search: its first and last suffix
@@ -31,6 +32,7 @@ columns do not matter to the ids.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Callable, Iterator
 
@@ -38,7 +40,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weftline.llm.word_ids import WORDS_CHUNK, WordIds, ranges_of, slices
@@ -48,8 +49,13 @@ _CUT = re.compile(f"{SPACE}+[^{SPACE}]*")
 _BYTE = re.compile("<0x([0-9A-F]{2})>")
 #: Characters of new cuts that are indexed at once.
 INDEX_CHARS = 1 << 18
-#: Pairs of pieces that a worker remembers.
-_MEMORY_PAIRS = 2_000_000
+#: Pairs of pieces that a worker remembers, at nine bytes each.
+_PAIR_SLOTS = 1 << 22
+_MIX = 0x9E3779B97F4A7C15 - (1 << 64)
+_UNKNOWN, _UNREACHED = -1, -2
+#: Signs that end many words, and a mark for them that no text holds.
+_SIGNS = ".,!?;:%&*$#|)\"'"
+_END = "\ud800"
 
 
 class Pieces:
@@ -82,19 +88,39 @@ class Pieces:
         self.sorted_ids = np.array([self.number[t] for t in found])
         self.sorted = np.array(found, f"U{self.longest}")
         self.lengths = np.array([len(t) for t in found])
-        self._together: dict[tuple[int, int], bool] = {}
-
-    def together(self, left: int, right: int) -> bool:
-        """Whether the two pieces' text is encoded as just these two. -1: in no piece."""
-        if left < 0 or right < 0:
-            return True
-        known = self._together.get((left, right))
-        if known is None:
-            if len(self._together) > _MEMORY_PAIRS:
-                self._together.clear()
-            known = self._merged(self.text[left] + self.text[right]) == [left, right]
-            self._together[left, right] = known
-        return known
+        self.signs = "".join(
+            c for c in _SIGNS if not any(
+                b == c and a.isalpha() for t in self.number for a, b in zip(t, t[1:], strict=False)
+            )
+        )
+        self._pairs = np.full(_PAIR_SLOTS, -1, np.int64)
+        self._fit = np.zeros(_PAIR_SLOTS, bool)
+
+    def together(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Whether each two pieces' text is encoded as just these two. Negative: in no piece.
+
+        Answers are kept in slots by a hash of the pair; a slot holds the last pair asked.
+        """
+        fit = np.ones(len(left), bool)
+        asked = np.flatnonzero((left >= 0) & (right >= 0))
+        pairs = left[asked] << 32 | right[asked]
+        slots = (pairs * _MIX >> 20) & (_PAIR_SLOTS - 1)
+        known = self._pairs[slots] == pairs
+        fit[asked] = self._fit[slots]
+        if not known.all():
+            new, which = np.unique(pairs[~known], return_inverse=True)
+            found = np.fromiter(map(self._fits, new.tolist()), bool, len(new))
+            places = (new * _MIX >> 20) & (_PAIR_SLOTS - 1)
+            self._pairs[places] = new
+            # Pairs of one batch may share a slot: the slot tells which pair it holds.
+            last = self._pairs[places] == new
+            self._fit[places[last]] = found[last]
+            fit[asked[~known]] = found[which]
+        return fit
+
+    def _fits(self, pair: int) -> bool:
+        left, right = pair >> 32, pair & 0xFFFFFFFF
+        return self._merged(self.text[left] + self.text[right]) == [left, right]
 
     def _merged(self, text: str) -> list[int]:
         """Merges the best-scored neighbours, the first of equals, until none is a piece."""
@@ -129,57 +155,87 @@ class Pieces:
         starts, pieces = starts[by_place], pieces[by_place]
         return starts, starts + lengths[by_place], pieces
 
-    def encode(self, cuts: list[str]) -> list[list[int]]:
-        """Ids of each cut; the cuts are indexed together."""
-        found: list[list[int]] = []
-        group: list[str] = []
+    def encode(self, cuts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the cuts, joined, and how many each has; cuts are indexed together.
+
+        Cuts of like length are relaxed together.
+        """
+        order = sorted(range(len(cuts)), key=lambda i: len(cuts[i]))
+        groups: list[list[str]] = [[]]
         size = 0
-        for cut in cuts:
-            if group and size + len(cut) > INDEX_CHARS:
-                found += self._encode(group)
-                group, size = [], 0
-            group.append(cut)
-            size += len(cut) + 1
-        return found + (self._encode(group) if group else [])
-
-    def _encode(self, cuts: list[str]) -> list[list[int]]:
+        for i in order:
+            if groups[-1] and size + len(cuts[i]) > INDEX_CHARS:
+                groups.append([])
+                size = 0
+            groups[-1].append(cuts[i])
+            size += len(cuts[i]) + 1
+        found = [self._encode(g) for g in groups if g]
+        ids = np.concatenate([f[0] for f in found]) if found else np.empty(0, np.int32)
+        lengths = np.zeros(len(cuts), np.int64)
+        if found:
+            lengths[order] = np.concatenate([f[1] for f in found])
+        starts = np.zeros(len(cuts), np.int64)
+        starts[order] = np.cumsum(lengths[order]) - lengths[order]
+        return ids[ranges_of(lengths, starts)], lengths
+
+    def _encode(self, cuts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         # No piece holds a NUL, so no edge leaves a cut.
         text = "\0".join(cuts)
+        sizes = np.fromiter(map(len, cuts), np.int64, len(cuts))
+        bases = np.cumsum(sizes + 1) - sizes - 1
+        inside = np.ones(len(text) + 1, bool)
+        inside[bases + sizes] = False
         starts, ends, pieces = self.edges(text)
-        heads = np.searchsorted(starts, np.arange(len(text) + 1)).tolist()
-        ends, pieces = ends.tolist(), pieces.tolist()
-        together = self.together
-        out = []
-        base = 0
-        for cut in cuts:
-            stop = base + len(cut)
-            state = [None] * (len(cut) + 1)
-            came = [0] * (len(cut) + 1)
-            state[0] = -1
-            for at in range(base, stop):
-                left = state[at - base]
-                if left is None:
-                    continue
-                alone = True
-                for e in range(heads[at], heads[at + 1]):
-                    end = ends[e] - base
-                    alone = alone and end != at - base + 1
-                    if state[end] is None and together(left, pieces[e]):
-                        state[end], came[end] = pieces[e], at - base
-                if alone:
-                    state[at - base + 1], came[at - base + 1] = -1, at - base
-            ids: list[int] = []
-            at = len(cut)
-            while at:
-                before = came[at]
-                if state[at] >= 0:
-                    ids.append(state[at])
-                else:
-                    ids += [self.of_byte[b] for b in reversed(cut[before:at].encode())]
-                at = before
-            out.append(ids[::-1])
-            base = stop + 1
-        return out
+        # Characters that are no piece are edges too.
+        alone = inside.copy()
+        alone[starts[ends == starts + 1]] = False
+        alone = np.flatnonzero(alone)
+        starts = np.concatenate([starts, alone])
+        ends = np.concatenate([ends, alone + 1])
+        pieces = np.concatenate([pieces, np.full(len(alone), _UNKNOWN)])
+        depth = starts - np.repeat(bases, sizes + 1)[starts]
+        order = np.argsort(depth, kind="stable")
+        starts, ends, pieces = starts[order], ends[order], pieces[order]
+        steps = np.searchsorted(depth[order], np.arange(int(sizes.max(initial=0)) + 1))
+        state = np.full(len(text) + 1, _UNREACHED)
+        came = np.zeros(len(text) + 1, np.int64)
+        state[bases] = _UNKNOWN
+        for a, b in zip(steps, steps[1:], strict=False):
+            left = state[starts[a:b]]
+            live = a + np.flatnonzero(left != _UNREACHED)
+            live = live[self.together(state[starts[live]], pieces[live])]
+            state[ends[live]] = pieces[live]
+            came[ends[live]] = starts[live]
+        return self._traced(text, bases, sizes, state, came)
+
+    def _traced(self, text, bases, sizes, state, came) -> tuple[np.ndarray, np.ndarray]:
+        """Follows the relaxed edges back from the end of each cut."""
+        at, owner = bases + sizes, np.arange(len(bases))
+        places, owners, found = [], [], []
+        while True:
+            live = at > bases[owner]
+            at, owner = at[live], owner[live]
+            if not len(at):
+                break
+            found.append(state[at])
+            at = came[at]
+            places.append(at)
+            owners.append(owner)
+        if not found:
+            return np.empty(0, np.int32), np.zeros(len(bases), np.int64)
+        places, owners, found = map(np.concatenate, (places, owners, found))
+        order = np.argsort(places, kind="stable")
+        places, owners, found = places[order], owners[order], found[order]
+        unknown = np.flatnonzero(found == _UNKNOWN)
+        if len(unknown):
+            raw = [text[i].encode() for i in places[unknown].tolist()]
+            width = np.ones(len(found), np.int64)
+            width[unknown] = [len(r) for r in raw]
+            first = np.cumsum(width) - width
+            found, owners = np.repeat(found, width), np.repeat(owners, width)
+            for i, r in zip(first[unknown].tolist(), raw, strict=True):
+                found[i:i + len(r)] = [self.of_byte[b] for b in r]
+        return found.astype(np.int32), np.bincount(owners, minlength=len(bases))
 
 
 def _raised(pieces: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -195,12 +251,29 @@ def _model(path: str) -> tuple[Pieces, WordIds]:
     """The worker's model and its memory of cuts, shared by the tasks of a worker."""
     if path not in _models:
         pieces = Pieces(path)
-        _models[path] = pieces, WordIds(lambda cuts: pieces.encode([_whole(c) for c in cuts]))
+
+        def halves(words: list[str]) -> list[list[str]]:
+            bodies = [w.rstrip(pieces.signs) for w in words]
+            ends = [_END] * len(words)
+            for i, (w, b) in enumerate(zip(words, bodies, strict=True)):
+                if len(b) != len(w):
+                    if b and b[-1].isalpha():
+                        ends[i] = _END + w[len(b):]
+                    else:
+                        bodies[i] = w
+            return [bodies, ends]
+
+        def encode(cuts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            return pieces.encode([_whole(c) for c in cuts])
+
+        _models[path] = pieces, WordIds(encode, halves)
     return _models[path]
 
 
 def _whole(cut: str) -> str:
     """A cut with its ``▁``; those of words after one space are kept without it."""
+    if cut.startswith(_END):
+        return cut[1:]
     return cut if cut.startswith(SPACE) else SPACE + cut
 
 
@@ -286,14 +359,31 @@ def decoded(df: DataFrame, path: str, ids: str = "ids", to: str = "decoded") ->
     return df.mapInArrow(_decoding(path, ids, to), schema)
 
 
+def _both_ways(path: str) -> Callable:
+    """Ids, and the digest of the text that decoding them gives back."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces, words = _model(path)
+        decode = Decoder(pieces)
+        for batch, texts in slices(batches, "text", WORDS_CHUNK):
+            ids, sizes = words(_cuts(texts))
+            back = pa.array(decode(ids, sizes), texts.type)
+            digests = [hashlib.sha256(t.as_buffer()).hexdigest() for t in back]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(batch.schema.get_field_index("doc_id")),
+                    _ids_column(ids, sizes),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(digests),
+                    pc.equal(back, texts),
+                ],
+                ["doc_id", "ids", "n_tokens", "decoded_sha256", "same"],
+            )
+
+    return run
+
+
 def encoded_and_decoded(documents: DataFrame, path: str) -> DataFrame:
     """doc_id, ids, n_tokens, decoded_sha256 and whether the text came back, per document."""
-    rows = documents.select("doc_id", "text")
-    back = decoded(encoded(rows, path), path)
-    return back.select(
-        "doc_id",
-        "ids",
-        F.size("ids").cast("bigint").alias("n_tokens"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("same"),
-    )
+    of = documents.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {of}, ids array<int>, n_tokens long, decoded_sha256 string, same boolean"
+    return documents.select("doc_id", "text").mapInArrow(_both_ways(path), schema)

@@ -91,14 +91,16 @@ def _tokenizer_words(path: str) -> WordIds:
         bare.normalizer = normalizers.Sequence([])
         bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
 
-        def encode(parts: list[str]) -> list[list[int]]:
+        def encode(parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
             plain = [_plain(p) for p in parts]
             found = {}
             for flag, tokenizer in ((True, bare), (False, whole)):
                 some = [p for p, f in zip(parts, plain, strict=True) if f == flag]
                 ids = tokenizer.encode_batch_fast(some, add_special_tokens=False)
                 found.update(zip(some, (e.ids for e in ids), strict=True))
-            return [found[p] for p in parts]
+            lengths = np.fromiter((len(found[p]) for p in parts), np.int64, len(parts))
+            flat = (i for p in parts for i in found[p])
+            return np.fromiter(flat, np.int32, int(lengths.sum())), lengths
 
         _words[path] = WordIds(encode, _halves)
     return _words[path]

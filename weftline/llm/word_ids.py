@@ -8,7 +8,7 @@ memory is bounded: beyond ``limit`` parts it starts anew.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -16,9 +16,9 @@ import pyarrow.compute as pc
 
 #: Bytes of text that a task works on at once; a longer text is worked on alone.
 CHUNK_CHARS = 1 << 20
-WORDS_CHUNK = 8 << 20
+WORDS_CHUNK = 4 << 20
 #: Parts that a worker remembers, at about 200 bytes each.
-MEMORY_PARTS = 900_000
+MEMORY_PARTS = 700_000
 
 
 def ranges_of(lengths: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -29,11 +29,14 @@ def ranges_of(lengths: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 class WordIds:
-    """``parts`` cuts each of the different words in a fixed number of parts."""
+    """``encode`` gives the joined ids of parts and how many each has.
+
+    ``parts`` cuts each of the different words in a fixed number of parts.
+    """
 
     def __init__(
         self,
-        encode: Callable[[list[str]], Sequence[Sequence[int]]],
+        encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]],
         parts: Callable[[list[str]], list[list[str]]] = lambda words: [words],
         limit: int = MEMORY_PARTS,
     ):
@@ -46,13 +49,11 @@ class WordIds:
         self.flat = np.empty(0, np.int32)
 
     def _learn(self, parts: list[str]) -> None:
-        found = self.encode(parts)
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        ids = np.fromiter((i for ids in found for i in ids), np.int32, int(lengths.sum()))
+        ids, lengths = self.encode(parts)
         known = len(self.numbers)
         self.numbers.update(zip(parts, range(known, known + len(parts)), strict=True))
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
-        self.flat = np.concatenate([self.flat, ids])
+        self.flat = np.concatenate([self.flat, ids.astype(np.int32)])
 
     def _of_different(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words, joined, and how many each has."""
