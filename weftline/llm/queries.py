@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from weftline.llm import (
     mixing,
     multiset_hash,
+    order_minhash,
     pii,
     quality,
     suffix_pieces,
@@ -51,6 +52,10 @@ def _toxicity(spark, sf):
     return toxicity.scored(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
 
 
+def _order_minhash(spark, sf):
+    return order_minhash.near_duplicates(_table(spark, sf, "documents"))
+
+
 def _suffix_pieces(spark, sf):
     documents = _table(spark, sf, "documents")
     model = public_tokenizers.path("piece_bpe_32k.model")
@@ -74,6 +79,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_multiset_hash": _multiset_hash,
         "op6_suffix_pieces": _suffix_pieces,
         "op7_topk": _topk,
+        "op8_order_minhash": _order_minhash,
         "op9_url_rules": _url_rules,
         "op10_mixing": _mixing,
     }
