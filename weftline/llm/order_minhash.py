@@ -29,6 +29,7 @@ through ``deduplicated``.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 
@@ -42,6 +43,7 @@ from weftline.llm.word_ids import chunks
 
 WORDS = 5
 SIMILARITY = 0.8
+_ROUNDING = 1e-9
 SKETCHES = 64
 #: Buckets of up to so many texts give all pairs.
 ALL_PAIRS = 16
@@ -152,7 +154,7 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Whether lengths allow the similarity."""
-    return np.minimum(a, b) >= SIMILARITY * np.maximum(a, b)
+    return np.minimum(a, b) >= SIMILARITY * np.maximum(a, b) - _ROUNDING
 
 
 def bucket_pairs(ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -165,7 +167,7 @@ def bucket_pairs(ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.nda
         heads, at = [], 0
         while at < n:
             heads.append(at)
-            at = int(np.searchsorted(sizes, sizes[at] / SIMILARITY, "right"))
+            at = int(np.searchsorted(sizes, sizes[at] / SIMILARITY + _ROUNDING, "right"))
         bounds = np.array([*heads, n])
         middle = np.repeat((bounds[:-1] + bounds[1:] - 1) // 2, np.diff(bounds))
         every = np.arange(n)
@@ -251,7 +253,7 @@ def common_words(a: list[str], b: list[str], least: int) -> int:
 def linked(a: list[str], b: list[str]) -> bool:
     """Whether the alignment pairs enough words of the longer text."""
     longer = max(len(a), len(b))
-    least = -int(-SIMILARITY * longer // 1)
+    least = math.ceil(SIMILARITY * longer - _ROUNDING)
     if min(len(a), len(b)) < least:
         return False
     if sum((Counter(a) & Counter(b)).values()) < least:
