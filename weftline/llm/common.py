@@ -8,6 +8,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,6 +67,21 @@ def text_of(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores after it until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def replaced_column(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatch:
+    """The batch with ``values`` as its last column, in place of one of that name."""
+    kept = [n for n in batch.schema.names if n != name]
+    columns = [batch.column(batch.schema.get_field_index(n)) for n in kept]
+    return pa.RecordBatch.from_arrays([*columns, values], [*kept, name])
+
+
 def cut_points(df: DataFrame, key: str, parts: int) -> list:
     """Ascending distinct values that cut ``key`` into at most ``parts`` ranges.
 

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.llm.common import broadcast_if_few, saved, text_of
+from weftline.llm.common import broadcast_if_few, free_name, saved, text_of
 from weftline.llm.word_ids import chunks
 
 #: The kinds in their order, as in the contract.
@@ -288,8 +288,10 @@ def _columns(batch: pa.RecordBatch, names: list[str]) -> list[pa.Array]:
     return [batch.column(batch.schema.get_field_index(n)) for n in names]
 
 
-def _all_spans(batch: pa.RecordBatch, texts: list[str]) -> Iterator[tuple[list, list]]:
-    terms = batch.column(batch.schema.get_field_index("pii_terms")).to_pylist()
+def _all_spans(
+    batch: pa.RecordBatch, texts: list[str], terms: str
+) -> Iterator[tuple[list, list]]:
+    terms = batch.column(batch.schema.get_field_index(terms)).to_pylist()
     for text, telling in zip(texts, terms, strict=True):
         base = base_spans(text)
         extra = term_spans(text, set(telling or ()), base)
@@ -300,7 +302,7 @@ def _all_spans(batch: pa.RecordBatch, texts: list[str]) -> Iterator[tuple[list,
 def _counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch, texts in chunks(batches):
         rows = []
-        for base, spans in _all_spans(batch, texts):
+        for base, spans in _all_spans(batch, texts, "terms"):
             kinds = [kind for _, _, kind in base]
             digest = hashlib.sha256(rendered(base).encode()).hexdigest()
             rows.append((*map(kinds.count, KINDS), digest, rendered(spans)))
@@ -313,42 +315,38 @@ def _counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _with_terms(df: DataFrame, telling: DataFrame, key: Column) -> DataFrame:
-    """``df`` with ``pii_terms``, the telling terms of each row's text."""
-    kept = df.columns
+def _with_terms(df: DataFrame, telling: DataFrame, text: str, to: str) -> DataFrame:
+    """``df`` with ``to``, the telling terms of each row's text."""
+    key = free_name(df, "text_key")
     few = broadcast_if_few(
-        saved(telling).select(F.col("text_key").alias("pii_key"), F.col("terms").alias("pii_terms"))
-    )
-    return df.join(few, key == F.col("pii_key"), "left").select(
-        *[df[c] for c in kept], "pii_terms"
+        saved(telling).select(F.col("text_key").alias(key), F.col("terms").alias(to))
     )
+    return df.join(few, F.xxhash64(text_of(text)) == F.col(key), "left").drop(key)
 
 
 def found(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, counts of base spans, their digest, and all spans of every document."""
     telling = disclosing_terms(documents, text)
     rows = documents.select(
-        F.col(doc_id).alias("doc_id"),
-        F.xxhash64(text_of(text)).alias("text_key"),
-        _suspects(text).alias("text"),
+        F.col(doc_id).alias("doc_id"), _suspects(text).alias("text")
     )
-    rows = _with_terms(rows, telling, rows["text_key"]).drop("text_key")
+    rows = _with_terms(rows, telling, "text", "terms")
     counts = ", ".join(f"n_{k} long" for k in KINDS)
     schema = f"doc_id {documents.schema[doc_id].dataType.simpleString()}, {counts}"
     return rows.mapInArrow(_counting, f"{schema}, base_sha256 string, spans string")
 
 
-def _replacing(text: str) -> Callable:
+def _replacing(text: str, terms: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in chunks(batches, text):
             nulls = _columns(batch, [text])[0].is_null().to_pylist()
             out = [
                 None if null else replaced(t, spans) if spans else t
                 for null, t, (_, spans) in zip(
-                    nulls, texts, _all_spans(batch, texts), strict=True
+                    nulls, texts, _all_spans(batch, texts, terms), strict=True
                 )
             ]
-            names = [n for n in batch.schema.names if n != "pii_terms"]
+            names = [n for n in batch.schema.names if n != terms]
             columns = _columns(batch, names)
             columns[names.index(text)] = pa.array(out, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names)
@@ -359,5 +357,6 @@ def _replacing(text: str) -> Callable:
 def sanitised(documents: DataFrame, text: str = "text") -> DataFrame:
     """The documents with each span generalised to its kind; same columns and rows."""
     telling = disclosing_terms(documents, text)
-    rows = _with_terms(documents, telling, F.xxhash64(text_of(text)))
-    return rows.mapInArrow(_replacing(text), T.StructType(list(documents.schema)))
+    terms = free_name(documents, "terms")
+    rows = _with_terms(documents, telling, text, terms)
+    return rows.mapInArrow(_replacing(text, terms), T.StructType(list(documents.schema)))

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.llm.common import text_of
+from weftline.llm.common import free_name, replaced_column, text_of
 from weftline.llm.word_ids import chunks
 
 MAX_POSITIVES = 8_000
@@ -223,19 +223,17 @@ def trained(
 
 
 def with_score(
-    documents: DataFrame, scorer: Scorer | None, prior: float, text: str = "text"
+    documents: DataFrame, scorer: Scorer | None, prior: float, text: str = "text",
+    to: str = "quality_score",
 ) -> DataFrame:
-    """``documents`` and the column ``quality_score``."""
-    if "quality_score" in documents.columns:
-        raise ValueError("the input has a column quality_score already")
-    schema = T.StructType([*documents.schema, T.StructField("quality_score", T.DoubleType())])
+    """``documents`` with the score in ``to``, which replaces a column of that name."""
+    kept = [f for f in documents.schema if f.name != to]
+    schema = T.StructType([*kept, T.StructField(to, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in chunks(batches, text):
             scores = scorer.score(features(texts)) if scorer else np.full(len(texts), prior)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(scores)], [*batch.schema.names, "quality_score"]
-            )
+            yield replaced_column(batch, to, pa.array(scores, pa.float64()))
 
     return documents.mapInArrow(run, schema)
 
@@ -264,5 +262,6 @@ def scored(documents: DataFrame, labels: DataFrame) -> DataFrame:
 def kept(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the classifier does not reject; same columns."""
     scorer, prior = trained(documents, labels, _training)
-    out = with_score(documents, scorer, prior)
-    return out.where(F.col("quality_score") >= THRESHOLD).drop("quality_score")
+    name = free_name(documents, "quality_score")
+    out = with_score(documents, scorer, prior, to=name)
+    return out.where(F.col(name) >= THRESHOLD).drop(name)

@@ -42,6 +42,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from weftline.llm.common import replaced_column
 from weftline.llm.word_ids import WORDS_CHUNK, WordIds, ranges_of, slices
 
 SPACE = "▁"
@@ -318,24 +319,25 @@ def _ids_column(ids: np.ndarray, sizes: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.astype(np.int32)))
 
 
-def _encoding(path: str, text: str) -> Callable:
+def _encoding(path: str, text: str, to: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, words = _model(path)
         for batch, texts in slices(batches, text, WORDS_CHUNK):
             ids, sizes = words(_cuts(texts))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, _ids_column(ids, sizes)], [*batch.schema.names, "ids"]
-            )
+            yield replaced_column(batch, to, _ids_column(ids, sizes))
 
     return run
 
 
-def encoded(df: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """``df`` with the column ``ids`` (array of int) for the column ``text``."""
-    if "ids" in df.columns:
-        raise ValueError("the input has a column ids already")
-    schema = T.StructType([*df.schema, T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    return df.mapInArrow(_encoding(path, text), schema)
+def _with_column(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
+    kept = [f for f in df.schema if f.name != name]
+    return T.StructType([*kept, T.StructField(name, kind)])
+
+
+def encoded(df: DataFrame, path: str, text: str = "text", to: str = "ids") -> DataFrame:
+    """``df`` with the ids of the column ``text`` in ``to``, which replaces one of that name."""
+    schema = _with_column(df, to, T.ArrayType(T.IntegerType()))
+    return df.mapInArrow(_encoding(path, text, to), schema)
 
 
 def _decoding(path: str, ids: str, to: str) -> Callable:
@@ -345,17 +347,14 @@ def _decoding(path: str, ids: str, to: str) -> Callable:
             column = batch.column(batch.schema.get_field_index(ids))
             sizes = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
             flat = column.flatten().to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(decode(flat, sizes), pa.string())],
-                [*batch.schema.names, to],
-            )
+            yield replaced_column(batch, to, pa.array(decode(flat, sizes), pa.string()))
 
     return run
 
 
 def decoded(df: DataFrame, path: str, ids: str = "ids", to: str = "decoded") -> DataFrame:
-    """``df`` with the column ``to``, the text of the column ``ids``."""
-    schema = T.StructType([*df.schema, T.StructField(to, T.StringType())])
+    """``df`` with the text of the ids in ``to``, which replaces a column of that name."""
+    schema = _with_column(df, to, T.StringType())
     return df.mapInArrow(_decoding(path, ids, to), schema)
 
 

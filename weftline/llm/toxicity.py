@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.llm.common import text_of
+from weftline.llm.common import replaced_column, text_of
 from weftline.llm.word_ids import MEMORY_PARTS, chunks
 
 MAX_TOXIC = 4_000
@@ -421,19 +421,18 @@ def trained(
     return Model(costs, features, weights, base)
 
 
-def with_score(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``documents`` and the column ``toxic_score``."""
-    if "toxic_score" in documents.columns:
-        raise ValueError("the input has a column toxic_score already")
-    schema = T.StructType([*documents.schema, T.StructField("toxic_score", T.DoubleType())])
+def with_score(
+    documents: DataFrame, model: Model, text: str = "text", to: str = "toxic_score"
+) -> DataFrame:
+    """``documents`` with the score in ``to``, which replaces a column of that name."""
+    kept = [f for f in documents.schema if f.name != to]
+    schema = T.StructType([*kept, T.StructField(to, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(model.costs, model.features)
         for batch, texts in chunks(batches, text):
             scores = pa.array([model.score(reader, t) for t in texts], pa.float64())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, scores], [*batch.schema.names, "toxic_score"]
-            )
+            yield replaced_column(batch, to, scores)
 
     return documents.mapInArrow(run, schema)
 
