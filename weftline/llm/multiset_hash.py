@@ -174,9 +174,10 @@ def with_next(df: DataFrame, key: str, text: str, carried: list[str]) -> DataFra
     )
     filled = sorted(tops)
     # The range above gets the top of this one as its last row; the lowest, the largest key.
-    goes_to = dict(zip(filled, [*filled[1:], filled[0]], strict=True))
-    top = F.array(*[F.lit(tops.get(i)) for i in range(len(cuts) + 1)])
-    target = F.array(*[F.lit(goes_to.get(i)) for i in range(len(cuts) + 1)])
+    goes_to = dict(zip(filled, [*filled[1:], *filled[:1]], strict=True))
+    ranges = range(len(cuts) + 1)
+    top = F.array(*[F.lit(tops.get(i)).cast("bigint") for i in ranges])
+    target = F.array(*[F.lit(goes_to.get(i)).cast("int") for i in ranges])
     ranged = keyed.withColumn("range", number)
     own = F.struct(F.col("range").alias("range"), F.lit(False).alias("guest"))
     guest = F.struct(

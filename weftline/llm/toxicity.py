@@ -26,18 +26,18 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
-import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weftline.llm.common import replaced_column, text_of
-from weftline.llm.word_ids import MEMORY_PARTS, chunks
+from weftline.llm.word_ids import MEMORY_PARTS, WORDS_CHUNK, chunks, ranges_of, slices
 
 MAX_TOXIC = 4_000
 MAX_CLEAN = 8_000
@@ -46,7 +46,6 @@ THRESHOLD = 0.3
 #: A feature needs this log-likelihood ratio and this many toxic documents.
 MIN_RATIO, MIN_DOCUMENTS = 12.0, 3
 _PIECES = (4, 5)
-_BUCKETS = 1 << 30
 _LONGEST = 32
 
 #: What signs and look-alikes may stand for.
@@ -206,17 +205,21 @@ def restored_word(word: str, costs: np.ndarray) -> str:
     return restore(found, costs) if disguised(found) else found
 
 
-def spelled_out(words: list[str]) -> list[str]:
-    """Runs of three or more single characters, each run joined to one word."""
-    if len(words) < 3:
-        return []
+def spelled_out(
+    words: list[str], each: np.ndarray, owner: np.ndarray
+) -> Iterator[tuple[int, str]]:
+    """Runs of three or more single characters in a text, joined: (text, word).
+
+    ``each`` numbers the words of all texts in order, ``owner`` their texts.
+    """
     single = np.fromiter(map(len, words), np.int64, len(words)) == 1
-    if single.sum() < 3:
-        return []
-    edges = np.flatnonzero(np.diff(np.concatenate([[0], single.astype(np.int8), [0]])))
-    return [
-        "".join(words[a:b]) for a, b in zip(edges[::2], edges[1::2], strict=True) if b - a >= 3
-    ]
+    at = np.flatnonzero(single[each])
+    breaks = np.flatnonzero((np.diff(at) != 1) | (np.diff(owner[at]) != 0)) + 1
+    bounds = np.concatenate([[0], breaks, [len(at)]])
+    for i in np.flatnonzero(np.diff(bounds) >= 3).tolist():
+        run = at[bounds[i]:bounds[i + 1]]
+        if len(run) <= _LONGEST:
+            yield int(owner[run[0]]), "".join(words[w] for w in each[run])
 
 
 def restored_text(text: str, costs: np.ndarray) -> str:
@@ -247,88 +250,109 @@ def disguised_run(letters: str) -> bool:
 # --- features and the model ----------------------------------------------------------
 
 
-def word_features(word: str) -> list[int]:
-    """Hashes of the word and of its pieces; none for words without letters."""
+def word_features(word: str) -> list[str]:
+    """The word and its pieces, with marks for its ends; none for words without letters."""
     if not _LETTER.search(word):
         return []
     marked = f"<{word}>"
-    pieces = {marked}
-    for n in _PIECES:
-        pieces.update(marked[i:i + n] for i in range(len(marked) - n + 1))
-    return [zlib.crc32(p.encode()) % _BUCKETS for p in pieces]
+    n = len(marked)
+    pieces = [marked[i:i + w] for w in _PIECES for i in range(n - w + 1) if w < n]
+    return [marked, *pieces]
 
 
 class Reader:
-    """The features of texts, by word; ``wanted`` maps a feature's hash to its number."""
+    """The features of texts by word, as numbers: those in ``wanted``, or all it meets."""
 
-    def __init__(self, costs: np.ndarray, wanted: dict[int, int] | None = None):
-        self.costs, self.wanted = costs, wanted
+    def __init__(self, costs: np.ndarray, wanted: dict[str, int] | None = None):
+        self.costs, self.fixed = costs, wanted is not None
+        self.numbers: dict[str, int] = wanted if wanted is not None else {}
         self.known: dict[str, tuple[int, ...]] = {}
 
-    def _learn(self, word: str) -> tuple[int, ...]:
+    def of_word(self, word: str) -> tuple[int, ...]:
+        found = self.known.get(word)
+        if found is None:
+            pieces = word_features(restored_word(word, self.costs))
+            if self.fixed:
+                numbers = map(self.numbers.get, pieces)
+                found = tuple({n for n in numbers if n is not None})
+            else:
+                found = tuple({self.numbers.setdefault(p, len(self.numbers)) for p in pieces})
+            self.known[word] = found
+        return found
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (text, feature), each once, by text."""
         if len(self.known) > MEMORY_PARTS:
             self.known.clear()
-        found = word_features(restored_word(word, self.costs))
-        if self.wanted is not None:
-            found = [self.wanted[f] for f in found if f in self.wanted]
-        self.known[word] = kept = tuple(found)
-        return kept
-
-    def __call__(self, text: str) -> set[int]:
-        words = text.split()
-        different = set(words)
-        different.update(spelled_out(words))
-        found: set[int] = set()
-        get = self.known.get
-        for word in different:
-            has = get(word)
-            if has is None:
-                has = self._learn(word)
-            if has:
-                found.update(has)
-        return found
+        lists = pc.utf8_split_whitespace(texts)
+        coded = lists.flatten().dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        each = coded.indices.to_numpy(zero_copy_only=False)
+        sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
+        owner = np.repeat(np.arange(len(texts)), sizes)
+        found = [self.of_word(w) for w in words]
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        flat = np.fromiter((f for fs in found for f in fs), np.int64, int(counts.sum()))
+        starts = np.cumsum(counts) - counts
+        telling = np.flatnonzero(counts[each])
+        seen = each[telling]
+        texts_of = np.repeat(owner[telling], counts[seen])
+        features = flat[ranges_of(counts[seen], starts[seen])]
+        joined = [
+            (text, f) for text, word in spelled_out(words, each, owner) for f in self.of_word(word)
+        ]
+        if joined:
+            more = np.array(joined, np.int64)
+            texts_of = np.concatenate([texts_of, more[:, 0]])
+            features = np.concatenate([features, more[:, 1]])
+        pairs = np.unique(texts_of << 32 | features)
+        return pairs >> 32, pairs & 0xFFFFFFFF
 
 
 @dataclass
 class Model:
     costs: np.ndarray
-    features: dict[int, int] = field(default_factory=dict)
-    weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    features: dict[str, int] = field(default_factory=dict)
+    weights: np.ndarray = field(default_factory=lambda: np.zeros(1))
     base: float = -math.inf
 
-    def score(self, reader: Reader, text: str) -> float:
-        found = list(reader(text)) if self.features else []
-        margin = self.base + (float(self.weights[found].sum()) if found else 0.0)
-        return 1 / (1 + math.exp(-min(max(margin, -700), 50)))
+    def score(self, reader: Reader, texts: pa.Array) -> np.ndarray:
+        owner, features = reader(texts)
+        margin = self.base + np.bincount(owner, self.weights[features], len(texts))
+        return 1 / (1 + np.exp(-np.clip(margin, -700, 50)))
 
 
 def _counted(costs: np.ndarray) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(costs)
-        counts: tuple[dict[int, int], dict[int, int]] = ({}, {})
-        for batch, texts in chunks(batches):
-            toxic = batch.column(batch.schema.get_field_index("toxic")).to_pylist()
-            for label, text in zip(toxic, texts, strict=True):
-                of = counts[label]
-                for f in reader(text):
-                    of[f] = of.get(f, 0) + 1
-        clean, bad = counts
-        names = np.array(sorted(clean.keys() | bad.keys()), np.int64)
-        yield pa.RecordBatch.from_pydict({
-            "feature": names,
-            "bad": np.array([bad.get(f, 0) for f in names.tolist()], np.int64),
-            "clean": np.array([clean.get(f, 0) for f in names.tolist()], np.int64),
-        })
+        counts = np.zeros((2, 0), np.int64)
+        for batch, texts in slices(batches):
+            toxic = batch.column(batch.schema.get_field_index("toxic"))
+            labels = toxic.to_numpy(zero_copy_only=False)
+            owner, features = reader(texts)
+            grown = np.zeros((2, len(reader.numbers)), np.int64)
+            grown[:, : counts.shape[1]] = counts
+            counts = grown
+            for label in (0, 1):
+                counts[label] += np.bincount(
+                    features[labels[owner] == label], minlength=counts.shape[1]
+                )
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(reader.numbers), pa.string()), pa.array(counts[1]), pa.array(counts[0])],
+            ["feature", "bad", "clean"],
+        )
 
     return run
 
 
-def _listed(costs: np.ndarray, wanted: dict[int, int]) -> Callable:
+def _listed(costs: np.ndarray, wanted: dict[str, int]) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(costs, wanted)
-        for batch, texts in chunks(batches):
+        for batch, texts in slices(batches):
             toxic = batch.column(batch.schema.get_field_index("toxic"))
-            found = pa.array([sorted(reader(t)) for t in texts], pa.list_(pa.int32()))
+            owner, features = reader(texts)
+            offsets = np.searchsorted(owner, np.arange(len(texts) + 1)).astype(np.int32)
+            found = pa.ListArray.from_arrays(pa.array(offsets), pa.array(features.astype(np.int32)))
             yield pa.RecordBatch.from_arrays([toxic, found], ["toxic", "features"])
 
     return run
@@ -360,12 +384,12 @@ def _fitted(
     worth = np.where(labels == 1, weight[1], weight[0])
     worth /= worth.sum()
     share = float((worth * labels).sum())
-    theta, base = np.zeros(width), math.log(share / (1 - share))
+    theta, base = np.zeros(max(width, 1)), math.log(share / (1 - share))
     point, point_base, rate = theta.copy(), base, 4.0 / max(float(sizes.max(initial=1)), 4.0)
     for step in range(1, 401):
         margin = point_base + np.bincount(owner, point[columns], len(rows))
         wrong = worth * (1 / (1 + np.exp(-np.clip(margin, -50, 50))) - labels)
-        slope = np.bincount(columns, wrong[owner], width) + 1e-5 * point
+        slope = np.bincount(columns, wrong[owner], len(theta)) + 1e-5 * point
         new, new_base = point - rate * 4 * slope, point_base - rate * 4 * wrong.sum()
         pull = (step - 1) / (step + 2)
         point, point_base = new + pull * (new - theta), new_base + pull * (new_base - base)
@@ -399,7 +423,7 @@ def trained(
     if not drawn.get(1) or not drawn.get(0):
         return Model(costs, base=math.log(n[1] / n[0]))
     counts = (
-        sample.mapInArrow(_counted(costs), "feature long, bad long, clean long")
+        sample.mapInArrow(_counted(costs), "feature string, bad long, clean long")
         .groupBy("feature")
         .agg(F.sum("bad").alias("bad"), F.sum("clean").alias("clean"))
         .where(F.col("bad") >= MIN_DOCUMENTS)
@@ -415,9 +439,7 @@ def trained(
     features = {r["feature"]: i for i, r in enumerate(telling)}
     rows = sample.mapInArrow(_listed(costs, features), "toxic int, features array<int>").collect()
     rows = sorted((r["toxic"], list(r["features"])) for r in rows)
-    weights, base = _fitted(
-        rows, len(features), (n[0] / drawn[0], n[1] / drawn[1])
-    )
+    weights, base = _fitted(rows, len(features), (n[0] / drawn[0], n[1] / drawn[1]))
     return Model(costs, features, weights, base)
 
 
@@ -430,9 +452,8 @@ def with_score(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(model.costs, model.features)
-        for batch, texts in chunks(batches, text):
-            scores = pa.array([model.score(reader, t) for t in texts], pa.float64())
-            yield replaced_column(batch, to, scores)
+        for batch, texts in slices(batches, text, WORDS_CHUNK):
+            yield replaced_column(batch, to, pa.array(model.score(reader, texts)))
 
     return documents.mapInArrow(run, schema)
 
