@@ -8,12 +8,14 @@ Candidates: the k-mers of a text are its runs of five words, each labelled with
 it occurred before in the text. Each of ``SKETCHES`` hash functions picks the two least
 labelled k-mers and keeps them in text order, so a sketch agrees if the texts share both
 and in the same order, which is sensitive to edits and not to which words a text has.
-Texts with an equal sketch meet in a bucket, a run of a sorted partition. A bucket of up to
-``ALL_PAIRS`` texts gives all pairs of like length. A larger one, mostly a large group of
-copies or a passage that many texts share, gives each text two partners of like length, the
-middle of its stretch and its neighbour, so it stays linear: pairs that are close
-meet in many buckets, with other partners each time, and it takes a path of links, not all
-pairs, to put them in one class. No text or pair is capped or dropped. The chance that two
+Texts with an equal sketch meet in a bucket, a run of a sorted partition. First each text
+is compared with the centre of its bucket, among those of like length, which links most of
+a large group at once. Then the buckets that still hold several classes are gone through
+again, for pairs of different classes: up to ``ALL_PAIRS`` texts give all such pairs of like
+length. A larger bucket, mostly a passage that many texts share, gives each text two
+partners, the middle of its stretch and its neighbour, so it stays linear: texts that are
+near meet in many buckets, with other partners each time, and it takes a path of links, not
+all pairs, to put them in one class. No text is capped or dropped. The chance that two
 texts which share the part j of their k-mers have no equal sketch is at most about
 ``(1 - j**2) ** SKETCHES``: 1e-5 for j = 0.4 (nine words in ten equal), 0.2 percent for 0.3.
 
@@ -31,7 +33,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -157,61 +159,95 @@ def _alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.minimum(a, b) >= SIMILARITY * np.maximum(a, b) - _ROUNDING
 
 
-def bucket_pairs(ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of one bucket, whose texts come by ascending size."""
+def _stretches(sizes: np.ndarray) -> np.ndarray:
+    """Bounds of stretches of ascending sizes in which all are alike."""
+    bounds = [0]
+    while bounds[-1] < len(sizes):
+        top = sizes[bounds[-1]] / SIMILARITY + _ROUNDING
+        bounds.append(int(np.searchsorted(sizes, top, "right")))
+    return np.array(bounds)
+
+
+def centres(ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """For each text of a bucket the one of its stretch that comes first in one order of all.
+
+    As the order is the same everywhere, the buckets of a group mostly agree on it.
+    """
+    order = _mixed(ids.astype(np.uint64))
+    out = np.empty(len(ids), np.int64)
+    bounds = _stretches(sizes)
+    for a, b in zip(bounds, bounds[1:], strict=False):
+        out[a:b] = ids[a + order[a:b].argmin()]
+    return out
+
+
+def bucket_pairs(
+    ids: np.ndarray, sizes: np.ndarray, roots: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of one bucket with different roots; texts come by ascending size."""
     n = len(ids)
     if n <= ALL_PAIRS:
         left, right = np.triu_indices(n, 1)
     else:
-        # Stretches in which all lengths allow the similarity, and their middles.
-        heads, at = [], 0
-        while at < n:
-            heads.append(at)
-            at = int(np.searchsorted(sizes, sizes[at] / SIMILARITY + _ROUNDING, "right"))
-        bounds = np.array([*heads, n])
-        middle = np.repeat((bounds[:-1] + bounds[1:] - 1) // 2, np.diff(bounds))
-        every = np.arange(n)
+        bounds = _stretches(sizes)
         middles = (bounds[:-1] + bounds[1:] - 1) // 2
-        left = np.concatenate([middle, every[:-1], middles[:-1]])
+        every = np.arange(n)
+        left = np.concatenate([np.repeat(middles, np.diff(bounds)), every[:-1], middles[:-1]])
         right = np.concatenate([every, every[1:], middles[1:]])
-    keep = (ids[left] != ids[right]) & _alike(sizes[left], sizes[right])
+    keep = (roots[left] != roots[right]) & _alike(sizes[left], sizes[right])
     a, b = ids[left[keep]], ids[right[keep]]
     return np.minimum(a, b), np.maximum(a, b)
 
 
-def _paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by bucket and size to pairs; a bucket may reach over batches."""
-    empty = np.empty(0, np.int64)
-    kept = (empty, empty, empty)
-
-    def pairs(rows, stop: int) -> pa.RecordBatch:
-        buckets, ids, sizes = (r[:stop] for r in rows)
-        edges = np.flatnonzero(np.diff(buckets)) + 1
-        bounds = np.concatenate([[0], edges, [len(buckets)]])
+def _by_bucket(
+    batches: Iterator[pa.RecordBatch], of: Callable[..., list[np.ndarray]], names: list[str]
+) -> Iterator[pa.RecordBatch]:
+    """``of`` applied to the rows of each bucket that has several.
+
+    Rows come sorted by bucket and size; a bucket may reach over batches. An endless bucket is
+    worked off in blocks that share one text.
+    """
+    def applied(rows: list[np.ndarray]) -> pa.RecordBatch:
+        edges = np.flatnonzero(np.diff(rows[0])) + 1
+        bounds = np.concatenate([[0], edges, [len(rows[0])]])
         several = np.flatnonzero(np.diff(bounds) > 1)
         found = [
-            bucket_pairs(ids[a:b], sizes[a:b])
+            of(*(r[a:b] for r in rows))
             for a, b in zip(bounds[several].tolist(), bounds[several + 1].tolist(), strict=True)
         ]
-        left = np.concatenate([f[0] for f in found]) if found else empty
-        right = np.concatenate([f[1] for f in found]) if found else empty
-        both = np.unique(np.stack([left, right], 1), axis=0)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"]
-        )
+        columns = [
+            np.concatenate(c) for c in zip(*found, strict=True)
+        ] or [np.empty(0, np.int64)] * len(names)
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
+    kept: list[np.ndarray] = []
     for batch in batches:
-        new = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-        kept = tuple(np.concatenate(x) for x in zip(kept, new, strict=True))
-        last = np.searchsorted(kept[0], kept[0][-1]) if len(kept[0]) else 0
-        # An endless bucket is worked off in blocks that share one text.
-        if len(kept[0]) - last > _BLOCK:
-            yield pairs(kept, len(kept[0]))
-            last = len(kept[0]) - 1
+        new = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        kept = [np.concatenate(x) for x in zip(kept, new, strict=True)] if kept else new
+        n = len(kept[0])
+        last = int(np.searchsorted(kept[0], kept[0][-1])) if n else 0
+        if n - last > _BLOCK:
+            yield applied(kept)
+            last = n - 1
         elif last:
-            yield pairs(kept, last)
-        kept = tuple(k[last:] for k in kept)
-    yield pairs(kept, len(kept[0]))
+            yield applied([k[:last] for k in kept])
+        kept = [k[last:] for k in kept]
+    if kept:
+        yield applied(kept)
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def of(buckets, sizes, ids):
+        return [buckets, sizes, ids, centres(ids, sizes)]
+
+    return _by_bucket(batches, of, ["bucket", "n_words", "tid", "centre"])
+
+
+def _paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def of(_, sizes, ids, roots):
+        return list(bucket_pairs(ids, sizes, roots))
+
+    return _by_bucket(batches, of, ["a", "b"])
 
 
 # --- verification ---------------------------------------------------------------------
@@ -324,11 +360,38 @@ def _keyed(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
     )
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    spread = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(spread, "bucket").sortWithinPartitions("bucket", "n_words", "tid")
+
+
+def _links(pairs: DataFrame, texts: DataFrame, documents: DataFrame) -> DataFrame:
+    """The pairs of tids whose texts are near; ``documents`` are (doc_id, key, text)."""
+    pairs = saved(pairs)
+    ids = pairs.select(F.col("a").alias("tid")).unionByName(pairs.select(F.col("b").alias("tid")))
+    wanted = broadcast_if_few(
+        saved(texts.select("tid", "key", "doc_id").join(ids.distinct(), "tid", "left_semi"))
+    )
+    same = (F.col("d.key") == F.col("w.key")) & F.col("d.doc_id").eqNullSafe(F.col("w.doc_id"))
+    whole = saved(
+        documents.alias("d").join(wanted.alias("w"), same)
+        .select("tid", "text")
+        .dropDuplicates(["tid"])
+    )
+    compared = (
+        pairs.join(whole.select(F.col("tid").alias("a"), F.col("text").alias("left")), "a")
+        .join(whole.select(F.col("tid").alias("b"), F.col("text").alias("right")), "b")
+        .select("a", "b", "left", "right")
+    )
+    return saved(compared.mapInArrow(_verified, "a long, b long"))
+
+
 def near_links(documents: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(doc_id, key) of all documents, (tid, key) of different texts, (a, b) links of tids."""
+    """(doc_id, key) of all documents, (tid, key, doc_id) of different texts, (a, b) links."""
     of = documents.schema[doc_id].dataType.simpleString()
+    keyed = _keyed(documents, doc_id, text)
     rows = saved(
-        _keyed(documents, doc_id, text).mapInArrow(
+        keyed.mapInArrow(
             _sketched, f"doc_id {of}, key string, n_words long, sketch array<long>"
         )
     )
@@ -338,29 +401,22 @@ def near_links(documents: DataFrame, doc_id: str, text: str) -> tuple[DataFrame,
         rows.dropDuplicates(["key"]).drop("doc_id").join(first, "key")
         .withColumn("tid", F.monotonically_increasing_id())
     )
-    spread = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = (
-        texts.select(F.explode("sketch").alias("bucket"), "tid", "n_words")
-        .repartition(spread, "bucket")
-        .sortWithinPartitions("bucket", "n_words", "tid")
+    buckets = texts.select(F.explode("sketch").alias("bucket"), "n_words", "tid")
+    met = saved(
+        _dealt(buckets).mapInArrow(_met, "bucket long, n_words long, tid long, centre long")
     )
-    pairs = saved(buckets.mapInArrow(_paired, "a long, b long").distinct())
-    ids = pairs.select(F.col("a").alias("tid")).unionByName(pairs.select(F.col("b").alias("tid")))
-    wanted = broadcast_if_few(
-        saved(texts.select("tid", "key", "doc_id").join(ids.distinct(), "tid", "left_semi"))
+    stars = met.where("tid <> centre").select(
+        F.least("tid", "centre").alias("a"), F.greatest("tid", "centre").alias("b")
     )
-    whole = _keyed(documents, doc_id, text).alias("d").join(
-        wanted.alias("w"),
-        (F.col("d.key") == F.col("w.key")) & F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")),
-    ).select("tid", "text").dropDuplicates(["tid"])
-    whole = saved(whole)
-    compared = (
-        pairs.join(whole.select(F.col("tid").alias("a"), F.col("text").alias("left")), "a")
-        .join(whole.select(F.col("tid").alias("b"), F.col("text").alias("right")), "b")
-        .select("a", "b", "left", "right")
+    stars = saved(stars.distinct())
+    links = _links(stars, texts, keyed)
+    roots = broadcast_if_few(saved(components(links)))
+    apart = met.join(roots, F.col("tid") == F.col("id"), "left").select(
+        "bucket", "n_words", "tid", F.coalesce("root", "tid").alias("root")
     )
-    links = saved(compared.mapInArrow(_verified, "a long, b long"))
-    return rows.select("doc_id", "key"), texts.select("tid", "key", "doc_id"), links
+    pairs = _dealt(apart).mapInArrow(_paired, "a long, b long").distinct()
+    more = _links(pairs.join(stars, ["a", "b"], "left_anti"), texts, keyed)
+    return rows.select("doc_id", "key"), texts.select("tid", "key", "doc_id"), links.unionByName(more)
 
 
 def _classes(documents: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:

@@ -319,7 +319,8 @@ class Model:
     def score(self, reader: Reader, texts: pa.Array) -> np.ndarray:
         owner, features = reader(texts)
         margin = self.base + np.bincount(owner, self.weights[features], len(texts))
-        return 1 / (1 + np.exp(-np.clip(margin, -700, 50)))
+        with np.errstate(over="ignore"):
+            return 1 / (1 + np.exp(-margin))
 
 
 def _counted(costs: np.ndarray) -> Callable:
