@@ -28,7 +28,7 @@ from weftline.operators import (
     value_histogram,
     word_count,
 )
-from weftline.plans import block_sums, chain_metrics, count_bin_enrich
+from weftline.plans import block_sums, chain_metrics, count_bin_enrich, first_two_sum
 from weftline.sources import (
     blocks_of_rows,
     index_words,
@@ -51,8 +51,9 @@ except ModuleNotFoundError as missing:
 
 SEED = 42
 GREP_PATTERN = r"[A-Za-z0-9._%+-]@[A-Za-z0-9.-]+\.[A-Za-z]{2,}|[Ll]icense"
-HOT_WORD_CHARS = 8
 BLOCK = 4
+POSTING_CHUNK = 64
+HEAVY_NATION = 0.04
 
 
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -79,8 +80,9 @@ def _parse_pairs(spark, sf):
 
 
 def _parse_docs(spark, sf):
-    """A URL has colons of its own: the body ends at the second one."""
-    line = F.concat(F.col("page_id").cast("string"), F.lit(": "), F.col("url"))
+    """Host and path of a URL between the colons that end the id and the body."""
+    rest = F.element_at(F.split("url", ":"), 2)
+    line = F.concat_ws(":", F.col("page_id").cast("string"), rest, "url")
     return parse_docs(read_table(spark, sf, "pages").select(line.alias("value")))
 
 
@@ -92,7 +94,7 @@ def _parse_entities(spark, sf):
 def _parse_profiles(spark, sf):
     line = F.concat_ws(
         " ", "c_custkey", F.lit("firstName:"), "c_name",
-        F.lit("reputation:"), F.col("c_acctbal").cast("int"),
+        F.lit("reputation:"), F.col("c_acctbal").cast("decimal(12,2)"),
     )
     return parse_profiles(read_table(spark, sf, "customer").select(line.alias("value")))
 
@@ -150,19 +152,36 @@ def _median_std_histogram(spark, sf):
     prices = read_table(spark, sf, "lineitem").select(
         F.col("l_suppkey").alias("id"),
         "l_returnflag",
-        F.col("l_extendedprice").cast("int").alias("freq"),
+        F.col("l_extendedprice").alias("freq"),
     )
     parts = value_histogram(prices, ["id", "l_returnflag"])
     out = median_std_histogram(parts)
     return out.withColumn("std", F.round("std", 4))
 
 
+def _avg_count_lines(spark, sf):
+    halves = F.ceil(F.avg("l_quantity") * 2) / 2
+    summary = read_table(spark, sf, "lineitem").groupBy(F.col("l_suppkey").alias("id")).agg(
+        F.count("*").alias("cnt"), halves.alias("average")
+    )
+    return summary.select(
+        F.concat_ws("\t", F.col("id").cast("string"), render.count_average()).alias("line")
+    )
+
+
+def _median_std_lines(spark, sf):
+    summary = median_std(_quantities(spark, sf)).withColumn("std", F.ceil(F.col("std") * 2) / 2)
+    return summary.select(
+        F.concat_ws("\t", F.col("id").cast("string"), render.median_std()).alias("line")
+    )
+
+
 def _inverted_index(spark, sf):
     return postings(_documents(spark, sf), "doc_id", "text")
 
 
 def _inverted_index_lists(spark, sf):
-    lists = posting_lists(_inverted_index(spark, sf))
+    lists = posting_lists(_inverted_index(spark, sf), chunk_docs=POSTING_CHUNK)
     return lists.select("token", "chunk", render.id_list("doc_ids").alias("doc_ids"))
 
 
@@ -179,13 +198,12 @@ def _distributed_grep(spark, sf):
 
 
 def _distributed_grep_ids(spark, sf):
-    return distinct_keys(read_table(spark, sf, "orders"), "o_custkey")
+    return distinct_keys(grep(_documents(spark, sf), GREP_PATTERN, "text"), "doc_id")
 
 
 def _hotlist_filter(spark, sf):
     words = _tokens(read_table(spark, sf, "benchmark"), "text")
-    hot = words.where(F.length("token") >= HOT_WORD_CHARS)
-    kept = hotlist_filter(_documents(spark, sf), hot, text="text", key=["doc_id"])
+    kept = hotlist_filter(_documents(spark, sf), words, text="text")
     return kept.select("doc_id", "text")
 
 
@@ -194,9 +212,7 @@ def _hotlist_filter_joined(spark, sf):
         _tokens(read_table(spark, sf, "benchmark"), "text")
     )
     conversations = read_table(spark, sf, "conversations")
-    kept = hotlist_filter(
-        conversations, words, text="text", key=["conv_id", "turn"], inline_rows=0
-    )
+    kept = hotlist_filter(conversations, words, text="text", inline_rows=0)
     return kept.select("conv_id", "turn", "text")
 
 
@@ -213,39 +229,51 @@ def _top_ten(spark, sf):
 # --- joins ----------------------------------------------------------------------
 
 
+def _labels_and_events(spark, sf):
+    labels = read_table(spark, sf, "labels")
+    events = read_table(spark, sf, "events")
+    return (
+        _lines(labels, "doc_id", "left_line", "quality", "toxic"),
+        _lines(events, "user_id", "right_line", "event_id", "event_type"),
+    )
+
+
 def _join_inner(spark, sf):
-    customers = _lines(read_table(spark, sf, "customer"), "c_custkey", "left_line", "c_name")
-    orders = read_table(spark, sf, "orders")
-    comments = _lines(orders, "o_custkey", "right_line", "o_orderkey", "o_orderpriority")
-    return keyed_join(customers, comments, "inner")
+    """Labels without an event, and events of users without a label, on either side."""
+    return keyed_join(*_labels_and_events(spark, sf), "inner")
 
 
 def _join_leftouter(spark, sf):
-    orders = read_table(spark, sf, "orders")
-    items = read_table(spark, sf, "lineitem")
-    return keyed_join(
-        _lines(orders, "o_orderkey", "left_line", "o_custkey", "o_orderpriority"),
-        _lines(items, "l_orderkey", "right_line", "l_linenumber", "l_partkey", "l_returnflag"),
-        "leftouter",
-    )
+    return keyed_join(*_labels_and_events(spark, sf), "leftouter")
 
 
 def _join_rightouter(spark, sf):
-    labels = read_table(spark, sf, "labels")
-    documents = read_table(spark, sf, "documents")
+    labels, pages = read_table(spark, sf, "labels"), read_table(spark, sf, "pages")
     return keyed_join(
         _lines(labels, "doc_id", "left_line", "quality", "toxic"),
-        _lines(documents, "doc_id", "right_line", "lang", "source"),
+        _lines(pages, "page_id", "right_line", "url"),
         "rightouter",
     )
 
 
-def _labels_and_events(spark, sf):
-    labels = read_table(spark, sf, "labels")
-    events = read_table(spark, sf, "events")
-    return (
-        _lines(labels, "doc_id", "left_line", "quality", "toxic"),
-        _lines(events, "user_id", "right_line", "event_id", "event_type"),
+def _join_orders_items(spark, sf):
+    orders, items = read_table(spark, sf, "orders"), read_table(spark, sf, "lineitem")
+    return keyed_join(
+        _lines(orders, "o_orderkey", "left_line", "o_custkey", "o_orderpriority"),
+        _lines(items, "l_orderkey", "right_line", "l_linenumber", "l_partkey", "l_returnflag"),
+        "leftouter",
+    )
+
+
+def _join_skewed(spark, sf):
+    """Nations with many customers are joined apart from the others."""
+    customers, suppliers = read_table(spark, sf, "customer"), read_table(spark, sf, "supplier")
+    return keyed_join(
+        _lines(customers, "c_nationkey", "left_line", "c_custkey"),
+        _lines(suppliers, "s_nationkey", "right_line", "s_suppkey"),
+        "fullouter",
+        heavy_share=HEAVY_NATION,
+        heavy_min_rows=1,
     )
 
 
@@ -258,11 +286,13 @@ def _join_anti(spark, sf):
 
 
 def _replicated_join_inner(spark, sf):
-    suppliers = _lines(read_table(spark, sf, "supplier"), "s_nationkey", "big_line", "s_name")
-    customers = read_table(spark, sf, "customer").select(
-        F.col("c_nationkey").alias("id"), F.col("c_name").alias("small_line"), "c_custkey"
+    orders = _lines(read_table(spark, sf, "orders"), "o_custkey", "big_line", "o_orderkey")
+    labels = read_table(spark, sf, "labels").select(
+        F.col("doc_id").alias("id"),
+        F.concat_ws(" ", "quality", "toxic").alias("small_line"),
+        "quality",
     )
-    return replicated_join(suppliers, customers, "inner", order_by="c_custkey")
+    return replicated_join(orders, labels, "inner", order_by="quality")
 
 
 def _replicated_join_leftouter(spark, sf):
@@ -287,14 +317,15 @@ def _cartesian_product(spark, sf):
 
 
 def _job_chaining(spark, sf):
-    customers = read_table(spark, sf, "customer")
+    """Some customers have a label of their number, others none."""
+    labels = read_table(spark, sf, "labels").withColumn("mark", F.col("quality").cast("string"))
     return count_bin_enrich(
         read_table(spark, sf, "orders"),
-        customers,
+        labels,
         key="o_custkey",
-        user_key="c_custkey",
-        attribute="c_mktsegment",
-        order_by="c_name",
+        user_key="doc_id",
+        attribute="mark",
+        order_by="toxic",
     )
 
 
@@ -307,14 +338,23 @@ def _chain_metrics(spark, sf):
 
 
 def _n_line_records(spark, sf):
-    line = F.concat_ws(" ", "user_id", F.col("value").cast("int"))
+    line = F.concat_ws(" ", "user_id", F.col("value").cast("decimal(18,4)"))
     events = read_table(spark, sf, "events").select("event_id", line.alias("line"))
     return blocks_of_rows(events, BLOCK, order="event_id", line="line")
 
 
 def _multiline_sum(spark, sf):
-    total = F.col("user_id") + F.col("value").cast("int")
-    return block_sums(read_table(spark, sf, "events"), BLOCK, order="event_id", value=total)
+    total = F.col("user_id") + F.col("value").cast("decimal(18,4)")
+    sums = block_sums(read_table(spark, sf, "events"), BLOCK, order="event_id", value=total)
+    return sums.withColumn("total", F.col("total").cast("double"))
+
+
+def _first_two_sum(spark, sf):
+    orders = _lines(
+        read_table(spark, sf, "orders"), "o_custkey", "line", "o_orderkey", "o_orderpriority"
+    )
+    numbered = orders.withColumn("line_no", F.split_part("line", F.lit(" "), F.lit(2)).cast("bigint"))
+    return block_sums(numbered, BLOCK, order="line_no", value=first_two_sum("line"))
 
 
 def _random_data_generator(spark, sf):
@@ -340,7 +380,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "min_max_lines": _min_max_lines,
         "avg_count": _avg_count,
         "avg_count_merged": _avg_count_merged,
+        "avg_count_lines": _avg_count_lines,
         "median_std": _median_std,
+        "median_std_lines": _median_std_lines,
         "median_std_histogram": _median_std_histogram,
         "inverted_index": _inverted_index,
         "inverted_index_lists": _inverted_index_lists,
@@ -355,6 +397,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "reduce_side_join_rightouter": _join_rightouter,
         "reduce_side_join_fullouter": _join_fullouter,
         "reduce_side_join_anti": _join_anti,
+        "reduce_side_join_orders": _join_orders_items,
+        "reduce_side_join_skewed": _join_skewed,
         "replicated_join_inner": _replicated_join_inner,
         "replicated_join_leftouter": _replicated_join_leftouter,
         "cartesian_product": _cartesian_product,
@@ -363,6 +407,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "chain_metrics": _chain_metrics,
         "n_line_records": _n_line_records,
         "multiline_sum": _multiline_sum,
+        "first_two_sum": _first_two_sum,
         "random_data_generator": _random_data_generator,
     } | _llm_queries()
 
@@ -396,9 +441,9 @@ _SQL_POSTS = "select o_custkey as user_id, count(*) as posts from orders group b
 _SQL_BINNED = f"""
   with counts as ({_SQL_POSTS}),
   g as (select sum(posts) / cast(count(*) as double) as a from counts)
-  select user_id, posts, c_mktsegment as attribute,
+  select user_id, posts, cast(quality as varchar) as attribute,
     case when posts < a then 'multiplebelow' else 'multipleabove' end as bin
-  from counts cross join g left join customer on c_custkey = user_id"""
+  from counts cross join g left join labels on doc_id = user_id"""
 
 
 def _sql_hex(digits: str, start: str, length: int) -> str:
@@ -441,8 +486,8 @@ def oracle_sql() -> dict[str, str]:
           select cast(l_suppkey as int) as id, cast(trunc(l_quantity) as int) as freq
           from lineitem""",
         "parse_docs": """
-          select cast(page_id as int) as id, ' ' || split_part(url, ':', 1) as body,
-            page_id || ': ' || url as value
+          select cast(page_id as int) as id, split_part(url, ':', 2) as body,
+            page_id || ':' || split_part(url, ':', 2) || ':' || url as value
           from pages""",
         "parse_entities": """
           select cast(o_custkey as int) as id,
@@ -450,7 +495,7 @@ def oracle_sql() -> dict[str, str]:
           from orders""",
         "parse_profiles": """
           select cast(c_custkey as varchar) as user_id,
-            cast(cast(trunc(c_acctbal) as int) as varchar) as attribute
+            cast(cast(c_acctbal as decimal(12,2)) as varchar) as attribute
           from customer""",
         "word_count": f"""
           select token, count(*) as cnt from (
@@ -474,30 +519,38 @@ def oracle_sql() -> dict[str, str]:
         "avg_count_merged": f"""
           select id, count(*) as cnt, round(avg(freq), 6) as average
           from ({_SQL_QUANTITIES}) t group by id""",
+        "avg_count_lines": """
+          select l_suppkey || chr(9) || cast(cast(count(*) as float) as varchar) || chr(9)
+            || cast(cast(ceil(avg(l_quantity) * 2) / 2 as float) as varchar) as line
+          from lineitem group by l_suppkey""",
+        "median_std_lines": f"""
+          select id || chr(9) || cast(cast(median(freq) as float) as varchar) || ' '
+            || coalesce(cast(cast(ceil(stddev_samp(freq) * 2) / 2 as float) as varchar), 'NaN')
+            as line
+          from ({_SQL_QUANTITIES}) t group by id""",
         "median_std": f"""
           select id, cast(median(freq) as double) as median, round(stddev_samp(freq), 6) as std
           from ({_SQL_QUANTITIES}) t group by id""",
         "median_std_histogram": """
           select l_suppkey as id,
-            cast(median(cast(trunc(l_extendedprice) as int)) as double) as median,
-            round(stddev_samp(cast(trunc(l_extendedprice) as int)), 4) as std
+            median(l_extendedprice) as median, round(stddev_samp(l_extendedprice), 4) as std
           from lineitem group by 1""",
         "inverted_index": f"""
           select token, doc_id, count(*) as tf from ({_SQL_DOC_TOKENS}) t
           where token <> '' group by token, doc_id""",
         "inverted_index_lists": f"""
-          select token, doc_id // 1000 as chunk,
+          select token, doc_id // {POSTING_CHUNK} as chunk,
             ': ' || string_agg(cast(doc_id as varchar), ' ' order by doc_id) as doc_ids
           from ({_SQL_DOC_TOKENS}) t where token <> '' group by 1, 2""",
         "distinct_keys": "select distinct user_id from events",
         "distributed_grep": f"""
           select doc_id, text from documents where regexp_matches(text, '{GREP_PATTERN}')""",
-        "distributed_grep_ids": "select distinct o_custkey from orders",
+        "distributed_grep_ids": f"""
+          select distinct doc_id from documents where regexp_matches(text, '{GREP_PATTERN}')""",
         "hotlist_filter": f"""
           select doc_id, text from documents where doc_id in (
             select doc_id from ({_SQL_DOC_TOKENS}) t where token in (
-              select token from ({_sql_words('benchmark', 'text')}) h
-              where length(token) >= {HOT_WORD_CHARS}))""",
+              select token from ({_sql_words('benchmark', 'text')}) h) and token <> '')""",
         "hotlist_filter_joined": f"""
           select conv_id, turn, text from conversations where (conv_id, turn) in (
             select (conv_id, turn) from (
@@ -509,23 +562,30 @@ def oracle_sql() -> dict[str, str]:
         "top_ten": """
           select o_custkey, arg_max(o_orderpriority, o_orderkey) as o_orderpriority
           from orders group by 1 order by 1 desc limit 10""",
-        "reduce_side_join_inner": """
-          select c_custkey as id, concat_ws(' ', c_custkey, c_name) as left_line,
-            concat_ws(' ', o_custkey, o_orderkey, o_orderpriority) as right_line
-          from customer join orders on c_custkey = o_custkey""",
-        "reduce_side_join_leftouter": """
+        "reduce_side_join_inner": f"""
+          select a.id, l as left_line, r as right_line
+          from ({_SQL_LABELS}) a join ({_SQL_EVENTS}) b on a.id = b.id""",
+        "reduce_side_join_leftouter": f"""
+          select a.id, l as left_line, coalesce(r, 'EmptyText') as right_line
+          from ({_SQL_LABELS}) a left join ({_SQL_EVENTS}) b on a.id = b.id""",
+        "reduce_side_join_rightouter": f"""
+          select page_id as id, coalesce(l, 'EmptyText') as left_line,
+            concat_ws(' ', page_id, url) as right_line
+          from ({_SQL_LABELS}) a right join pages on a.id = page_id""",
+        "reduce_side_join_orders": """
           select o_orderkey as id,
             concat_ws(' ', o_orderkey, o_custkey, o_orderpriority) as left_line,
             case when l_orderkey is null then 'EmptyText'
               else concat_ws(' ', l_orderkey, l_linenumber, l_partkey, l_returnflag)
               end as right_line
           from orders left join lineitem on o_orderkey = l_orderkey""",
-        "reduce_side_join_rightouter": """
-          select d.doc_id as id,
-            case when b.doc_id is null then 'EmptyText'
-              else concat_ws(' ', b.doc_id, quality, toxic) end as left_line,
-            concat_ws(' ', d.doc_id, lang, source) as right_line
-          from labels b right join documents d on b.doc_id = d.doc_id""",
+        "reduce_side_join_skewed": """
+          select coalesce(c_nationkey, s_nationkey) as id,
+            case when c_custkey is null then 'EmptyText'
+              else concat_ws(' ', c_nationkey, c_custkey) end as left_line,
+            case when s_suppkey is null then 'EmptyText'
+              else concat_ws(' ', s_nationkey, s_suppkey) end as right_line
+          from customer full join supplier on c_nationkey = s_nationkey""",
         "reduce_side_join_fullouter": f"""
           select coalesce(a.id, b.id) as id, coalesce(l, 'EmptyText') as left_line,
             coalesce(r, 'EmptyText') as right_line
@@ -536,10 +596,9 @@ def oracle_sql() -> dict[str, str]:
           from ({_SQL_LABELS}) a full join ({_SQL_EVENTS}) b on a.id = b.id
           where a.id is null or b.id is null""",
         "replicated_join_inner": """
-          select s_nationkey as id, concat_ws(' ', s_nationkey, s_name) as big_line, small_line
-          from supplier join (
-            select c_nationkey, arg_max(c_name, c_custkey) as small_line
-            from customer group by 1) c on c_nationkey = s_nationkey""",
+          select o_custkey as id, concat_ws(' ', o_custkey, o_orderkey) as big_line,
+            concat_ws(' ', quality, toxic) as small_line
+          from orders join labels on doc_id = o_custkey""",
         "replicated_join_leftouter": """
           select o_custkey as id, concat_ws(' ', o_custkey, o_orderkey) as big_line,
             coalesce(small_line, 'emptyText') as small_line
@@ -556,12 +615,15 @@ def oracle_sql() -> dict[str, str]:
           from ({_SQL_POSTS}) t""",
         "n_line_records": f"""
           select min(event_id) as first_line,
-            string_agg(user_id || ' ' || cast(trunc(value) as int), chr(10) order by event_id)
+            string_agg(user_id || ' ' || cast(value as decimal(18,4)), chr(10) order by event_id)
               || chr(10) as record
           from events group by event_id // {BLOCK}""",
         "multiline_sum": f"""
           select min(event_id) as first_line,
-            cast(sum(user_id + cast(trunc(value) as int)) as bigint) as total
+            cast(sum(user_id + cast(value as decimal(18,4))) as double) as total
           from events group by event_id // {BLOCK}""",
+        "first_two_sum": f"""
+          select min(o_orderkey) as first_line, cast(sum(o_custkey + o_orderkey) as bigint) as total
+          from orders group by o_orderkey // {BLOCK}""",
         "random_data_generator": _SQL_RANDOM,
     } | (llm.oracle_sql() if llm else {})

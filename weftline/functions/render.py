@@ -17,6 +17,9 @@ def tab_line(*columns: str) -> Column:
     )
 
 
+# The layouts of the rendered tuples.
+
+
 def count_average(count: str = "cnt", average: str = "average") -> Column:
     return F.concat_ws("\t", _float_text(F.col(count)), _float_text(F.col(average)))
 

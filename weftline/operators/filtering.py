@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +10,6 @@ from weftline.sizing import MAX_BROADCAST_BYTES, measured_size
 
 INLINE_HOTLIST_ROWS = 1000
 INLINE_HOTLIST_BYTES = 1 << 20
-_HOTLIST_SALTS = 32
 _TOP_BUCKETS = 1024
 
 
@@ -31,36 +28,39 @@ def hotlist_filter(
     *,
     text: str = "body",
     token: str = "token",
-    key: Sequence[str] = (),
     inline_rows: int = INLINE_HOTLIST_ROWS,
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Rows of which any token is in the hot list; exact, copies are kept.
 
-    A list of at most ``inline_rows`` entries becomes one array value that every
-    row is checked against, without a shuffle. A longer one is joined with the
-    distinct tokens of each row, which needs ``key`` columns that are unique per
-    row; the list is broadcast within the limit, else the join is salted, since
-    one token may be in most rows.
+    Whether a row stays depends on its text alone, so every way below gives the same
+    rows. A list of at most ``inline_rows`` entries becomes one array value that every
+    row is checked against, without a shuffle. A longer one is joined with the tokens
+    of each text, and the rows with the digests of the texts that were hit. The list
+    is broadcast within the limit, else the join is salted, since one token may be in
+    most texts. One action measures the list as it is given.
     """
-    words = hotlist.select(F.col(token).alias("token")).where("token <> ''").distinct()
-    rows, size = measured_size(words)
+    listed = hotlist.select(F.col(token).alias("token")).where("token <> ''")
+    rows, size = measured_size(listed)
+    words = listed.distinct()
     if rows <= inline_rows and size <= INLINE_HOTLIST_BYTES:
         hot = words.agg(F.collect_list("token")).scalar()
         return df.where(F.arrays_overlap(split_trimmed(F.col(text)), hot))
 
-    if not key:
-        raise ValueError("a hot list of this length needs key columns unique per row")
+    digest = F.sha2(text, 256)
     tokens = df.select(
-        *key, F.explode(F.array_distinct(split_trimmed(F.col(text)))).alias("token")
+        digest.alias("digest"),
+        F.explode(F.array_distinct(split_trimmed(F.col(text)))).alias("token"),
     )
     if size <= max_broadcast_bytes:
         hits = tokens.join(F.broadcast(words), "token", "left_semi")
     else:
-        salted = words.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_HOTLIST_SALTS - 1))))
-        salt = F.pmod(F.xxhash64(*key), F.lit(_HOTLIST_SALTS)).cast("int")
+        salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        salted = words.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        salt = F.pmod(F.xxhash64("digest"), F.lit(salts)).cast("int")
         hits = tokens.withColumn("salt", salt).join(salted, ["token", "salt"], "left_semi")
-    return df.join(hits.select(*key).distinct(), list(key), "left_semi")
+    hits = hits.select(F.col("digest").alias("hit_digest"))
+    return df.join(hits, digest == hits["hit_digest"], "left_semi")
 
 
 def top_n(

@@ -1,10 +1,10 @@
-"""Per-key summaries of integer values."""
+"""Per-key summaries of numeric values."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,12 +65,14 @@ def median_std_histogram(
 ) -> DataFrame:
     """As :func:`median_std`, from (partial) histograms, which it merges.
 
-    The median is found in two steps: first the value range of 2^16 that holds
-    the middle, from the counts per range, then the middle within that range.
-    The deviation comes from exact sums per range.
+    The median of 32-bit integers is found in two steps: first the value range of 2^16
+    that holds the middle, from the counts per range, then the middle within that
+    range. The deviation comes from exact sums per range. 64-bit integers, decimals of
+    up to 18 digits and floating point numbers take four such steps, and their
+    deviation is a sum in double precision.
     """
     if not isinstance(hist.schema[value].dataType, (T.ByteType, T.ShortType, T.IntegerType)):
-        raise TypeError(f"{value} must be a 32-bit integer column")
+        return _wide_median_std(hist, key, value, count)
 
     # The range is declared free of NULLs, so that the join below adds no filter
     # to one use of the histogram only and both share its shuffle.
@@ -146,3 +148,116 @@ def median_std_histogram(
     return middle.groupBy(F.col("k").alias(key)).agg(
         ((low + high) / 2).alias("median"), F.max("std").alias("std")
     )
+
+
+def _double_place(v: Column) -> Column:
+    """A 64-bit integer in the order of the doubles, by exponent and then fraction."""
+    size = F.abs(v)
+    guess = F.floor(F.log2(size)).cast("int")
+    # The logarithm may be off by one next to a power of two.
+    power = F.pow(F.lit(2.0), guess.cast("double"))
+    exponent = guess - (power > size).cast("int") + (power * 2 <= size).cast("int")
+    fraction = (size / F.pow(F.lit(2.0), exponent.cast("double")) - 1) * 2.0**52
+    tiny = size * 2.0**537 * 2.0**537
+    infinite = (2047 << 52) + F.isnan(v).cast("bigint")
+    place = (
+        F.when(F.isnan(v) | (size == float("inf")), infinite)
+        .when(size < 2.0**-1022, tiny.cast("bigint"))
+        .otherwise((exponent + 1023).cast("bigint") * (1 << 52) + fraction.cast("bigint"))
+    )
+    return F.when(v < 0, -place).otherwise(place)
+
+
+def _place(v: Column, kind: T.DataType) -> Column:
+    """A 64-bit integer in the order of the values; equal for equal values only."""
+    if isinstance(kind, T.LongType):
+        return v
+    if isinstance(kind, T.DecimalType) and kind.precision <= 18:
+        return (v.cast(f"decimal(38,{kind.scale})") * 10**kind.scale).cast("bigint")
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return _double_place(v.cast("double"))
+    raise TypeError(f"no median of {kind.simpleString()} values")
+
+
+def _wide_median_std(hist: DataFrame, key: str, value: str, count: str) -> DataFrame:
+    """Median and deviation by 16 bits of the place of a value at a time.
+
+    Each step counts the values per 16 more bits and looks only at those that share
+    the bits found so far, at most 2^16 rows of a key, for each of the middle ranks.
+    """
+    merged = (
+        hist.select(F.col(key).alias("k"), F.col(value).alias("v"), F.col(count).alias("cnt"))
+        .groupBy("k", "v")
+        .agg(F.sum("cnt").alias("c"))
+        .withColumn("place", _place(F.col("v"), hist.schema[value].dataType))
+    )
+    middle = None
+    for shift in (48, 32, 16, 0):
+        parts = merged.groupBy("k", F.shiftright("place", shift).alias("part")).agg(
+            F.sum("c").alias("n"), F.max("v").alias("v")
+        )
+        if middle is None:
+            total = F.sum("n").over(W.partitionBy("k"))
+            ranks = F.array_distinct(
+                F.array(F.expr("(total + 1) div 2"), F.expr("total div 2 + 1"))
+            )
+            rows = parts.withColumn("total", total).select(
+                "k", "part", "n", "v", F.lit(0).alias("before"), F.explode(ranks).alias("rank")
+            )
+        else:
+            wanted = middle.select(
+                F.col("k").alias("w_k"), F.col("part").alias("w_part"), "before", "rank"
+            )
+            within = F.col("k").eqNullSafe(F.col("w_k")) & (
+                F.shiftright("part", 16) == F.col("w_part")
+            )
+            rows = parts.join(wanted, within).select("k", "part", "n", "v", "before", "rank")
+        so_far = W.partitionBy("k", "rank").orderBy("part").rowsBetween(
+            W.unboundedPreceding, W.currentRow
+        )
+        middle = (
+            rows.withColumn("upto", F.col("before") + F.sum("n").over(so_far))
+            .withColumn("before", F.col("upto") - F.col("n"))
+            .where("before < rank and upto >= rank")
+            .select("k", "part", "before", "rank", "v")
+        )
+    medians = middle.groupBy("k").agg(F.avg(F.col("v").cast("double")).alias("median"))
+    return medians.join(
+        _wide_std(merged).withColumnRenamed("k", "s_k"), F.col("k").eqNullSafe(F.col("s_k"))
+    ).select(F.col("k").alias(key), "median", "std")
+
+
+def _wide_std(merged: DataFrame) -> DataFrame:
+    """``k, std``: sums per leading 16 bits of the doubles, off the least value of those bits."""
+    v = F.col("v").cast("double")
+    part = F.shiftright(_double_place(v), 48)
+    bits = F.abs(F.col("part"))
+    # Sixteen parts between powers of two.
+    low = (
+        F.pow(F.lit(2.0), F.shiftright(bits, 4).cast("double") - 1023)
+        * (1 + bits.bitwiseAND(F.lit(15)) / 16)
+    )
+    low = F.when(bits < 16, 0.0).when(F.col("part") < 0, -low).otherwise(low)
+    off = F.col("x") - F.col("low")
+    ranges = (
+        merged.select("k", "c", v.alias("x"), part.alias("part"))
+        .withColumn("low", low)
+        .groupBy("k", "part", "low")
+        .agg(
+            F.sum("c").alias("n"),
+            F.sum(F.col("c") * off).alias("s"),
+            F.sum(F.col("c") * off * off).alias("q"),
+        )
+    )
+    ranges = ranges.select(
+        "k", "n", (F.col("low") + F.col("s") / F.col("n")).alias("mean"),
+        (F.col("q") - F.col("s") * F.col("s") / F.col("n")).alias("m2"),
+    )
+    per_key = W.partitionBy("k")
+    around = F.col("mean") - F.col("key_mean")
+    centred = ranges.withColumn(
+        "key_mean", F.sum(F.col("n") * F.col("mean")).over(per_key) / F.sum("n").over(per_key)
+    ).withColumn("square", F.greatest(F.col("m2"), F.lit(0.0)) + F.col("n") * around * around)
+    return centred.groupBy("k").agg(
+        F.sqrt(F.try_divide(F.sum("square"), F.sum("n") - 1)).alias("std")
+    )

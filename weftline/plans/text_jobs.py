@@ -90,7 +90,7 @@ def hotlist_filter(
     lines = number_lines(spark, source)
     docs = parse_docs(lines, mode, keep=["file", "line_no"], fields=["body"])
     words = parse_words(read_lines(spark, hotlist))
-    kept = op.hotlist_filter(docs, words, key=["file", "line_no"])
+    kept = op.hotlist_filter(docs, words)
     sinks.write_sorted_lines(kept.select("value"), out, "value")
 
 
@@ -145,7 +145,7 @@ def random_data(
 ) -> None:
     """``tasks * records`` posts with words drawn from the lines of one file."""
     listed = number_lines(spark, wordlist)
-    if len(listed.inputFiles()) != 1:
+    if listed.select("file").distinct().limit(2).count() > 1:
         raise ValueError("the word list must be one file")
     words = listed.select(F.col("line_no").alias("idx"), F.col("value").alias("word"))
     posts = random_posts(row_numbers(spark, tasks, records), words, seed)

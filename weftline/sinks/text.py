@@ -9,7 +9,10 @@ from weftline.functions.render import tab_line
 
 
 def write_lines(df: DataFrame, path: str, *columns: str, mode: str = "overwrite") -> None:
-    """Tab-separated text lines of the given columns (all if none), one file per task."""
+    """Tab-separated text lines of the given columns (all if none), one file per task.
+
+    Values are written as they are: one with a newline takes several lines.
+    """
     line = tab_line(*(columns or df.columns))
     df.select(line.alias("value")).write.mode(mode).text(path)
 
@@ -31,13 +34,12 @@ def write_sorted_lines(
 def write_binned(
     df: DataFrame, path: str, *, bin_column: str = "bin", mode: str = "overwrite"
 ) -> DataFrame:
-    """One directory of text lines per bin; returns ``bin, cnt`` as written.
+    """One directory of text lines per bin; returns ``bin, cnt`` of the rows of ``df``.
 
-    The counts come from the finished output, so tasks that ran twice do not
-    count twice.
+    The counts come from ``df`` itself, so a newline in a value counts once and a bin
+    keeps its type.
     """
     columns = [c for c in df.columns if c != bin_column]
     lines = df.select(bin_column, tab_line(*columns).alias("value"))
     lines.write.mode(mode).partitionBy(bin_column).text(path)
-    written = df.sparkSession.read.option("basePath", path).text(path)
-    return written.groupBy(bin_column).agg(F.count("*").alias("cnt"))
+    return df.groupBy(bin_column).agg(F.count("*").alias("cnt"))

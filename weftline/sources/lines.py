@@ -9,10 +9,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from weftline.functions.blocks import block_number
-from weftline.sizing import MAX_BROADCAST_BYTES
 
-_BYTES_PER_SPLIT_ROW = 512
-_MIN_SPLITS = "spark.sql.files.minPartitionNum"
+_MAX_SPLIT_ROWS = 50_000
 
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -30,23 +28,17 @@ def read_ordered_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataF
     return spark.read.text(paths).select("value", position.alias("position"))
 
 
-def _pin_splits(spark: SparkSession) -> None:
-    """Keep the cut of files into splits from following the number of executors.
-
-    Line numbers come from two scans, which have to cut the files equally.
-    """
-    if spark.conf.get(_MIN_SPLITS, None) is None:
-        spark.conf.set(_MIN_SPLITS, str(spark.sparkContext.defaultParallelism))
-
-
 def number_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Lines with ``file``, ``line_no`` (0-based in the file) and ``value``.
 
     Splits are read in parallel. Each split counts its lines, the counts of a
     file are summed up over its splits, and a line's number is that base plus
     its position in the split. No file goes through a single task.
+
+    The text is scanned twice, once to count: text files have no index of lines. The
+    first scan runs when this is called; its result, one row per split, is kept if there
+    are at most ``_MAX_SPLIT_ROWS``, else it is computed again and joined by a shuffle.
     """
-    _pin_splits(spark)
     lines = spark.read.text(paths).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block_start"),
@@ -66,10 +58,9 @@ def number_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
         .withColumn("base", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
         .drop("n")
     )
-    # One row per split; how many there can be is known without reading.
-    most = lines.rdd.getNumPartitions() + len(lines.inputFiles())
-    if most * _BYTES_PER_SPLIT_ROW <= MAX_BROADCAST_BYTES:
-        splits = F.broadcast(splits)
+    found = splits.limit(_MAX_SPLIT_ROWS + 1).collect()
+    if len(found) <= _MAX_SPLIT_ROWS:
+        splits = F.broadcast(spark.createDataFrame(found, splits.schema))
     line_no = F.col("base") + F.col("mid") - F.col("first_mid")
     # A line without its split would mean that the two scans differ.
     lost = F.raise_error(F.concat(F.lit("no line count for a split of "), F.col("file")))
@@ -84,7 +75,8 @@ def blocks_of_rows(
     """Join each run of ``n`` rows to one record, every line ended by a newline.
 
     ``order`` numbers the rows densely (from 0, per ``within`` group). The key of
-    a record is the ``order`` value of its first row; a short last block is kept.
+    a record is the ``order`` value of its first row; a short last block is kept. A
+    NULL line counts as an empty one.
     A group never holds more than ``n`` rows.
     """
     return (
@@ -98,7 +90,7 @@ def blocks_of_rows(
         .select(
             *within,
             "first_line",
-            F.concat(F.array_join(F.col("rows.v"), "\n"), F.lit("\n")).alias("record"),
+            F.concat(F.array_join(F.col("rows.v"), "\n", ""), F.lit("\n")).alias("record"),
         )
     )
 

@@ -30,12 +30,13 @@ def _checked(
     parsed = df.select(*[c.alias(name) for name, c in columns.items()], "value", *keep)
     if mode == "dropmalformed":
         return parsed.dropna(subset=list(columns))
-    fail = F.raise_error(F.concat(F.lit("malformed line: "), F.col("value")))
-    return parsed.select(
-        *[F.coalesce(F.col(n), fail.cast(parsed.schema[n].dataType)).alias(n) for n in columns],
-        "value",
-        *keep,
-    )
+    # A filter, since a column that is not asked for would not be computed.
+    whole = F.lit(True)
+    for name in columns:
+        whole = whole & F.col(name).isNotNull()
+    shown = F.coalesce(F.col("value"), F.lit("null"))
+    fail = F.raise_error(F.concat(F.lit("malformed line: "), shown))
+    return parsed.where(F.when(whole, F.lit(True)).otherwise(fail.cast("boolean")))
 
 
 def parse_pairs(

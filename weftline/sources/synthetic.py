@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from weftline.checkpoints import computed_once
 from weftline.sizing import MAX_BROADCAST_BYTES, measured_size
 
 # The ranges of the fields and the number of words of a post.
@@ -32,8 +31,7 @@ def index_words(words: DataFrame, word: str = "token") -> DataFrame:
     """``idx, word``: distinct words numbered from 0, by hash prefix, then word.
 
     Numbers run on over 4096 hash buckets, each numbered by itself, so the list
-    can be of any length. The list is computed once, since its users measure it
-    before they join it.
+    can be of any length.
     """
     distinct = words.select(F.col(word).alias("word")).distinct()
     bucketed = distinct.withColumn("bucket", F.substring(F.md5("word"), 1, 3))
@@ -43,12 +41,11 @@ def index_words(words: DataFrame, word: str = "token") -> DataFrame:
     )
     place = F.row_number().over(W.partitionBy("bucket").orderBy("word")) - 1
     # At most 4096 rows to broadcast.
-    numbered = (
+    return (
         bucketed.withColumn("place", place)
         .join(F.broadcast(bases), "bucket")
         .select((F.col("base") + F.col("place")).alias("idx"), "word")
     )
-    return computed_once(numbered)
 
 
 def _digest(seed: int, field: str, part: Column | None = None) -> Column:
