@@ -43,13 +43,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from weftline.llm.common import replaced_column
-from weftline.llm.word_ids import WORDS_CHUNK, WordIds, ranges_of, slices
+from weftline.llm.word_ids import WordIds, ranges_of, slices
 
 SPACE = "▁"
 _CUT = re.compile(f"{SPACE}+[^{SPACE}]*")
 _BYTE = re.compile("<0x([0-9A-F]{2})>")
 #: Characters of new cuts that are indexed at once.
-INDEX_CHARS = 1 << 18
+INDEX_CHARS = 1 << 17
+#: Bytes of text worked on at once, and cuts that a worker remembers: they bound its memory.
+_CHUNK = 2 << 20
+_MEMORY = 300_000
 #: Pairs of pieces that a worker remembers, at nine bytes each.
 _PAIR_SLOTS = 1 << 22
 _MIX = 0x9E3779B97F4A7C15 - (1 << 64)
@@ -267,7 +270,7 @@ def _model(path: str) -> tuple[Pieces, WordIds]:
         def encode(cuts: list[str]) -> tuple[np.ndarray, np.ndarray]:
             return pieces.encode([_whole(c) for c in cuts])
 
-        _models[path] = pieces, WordIds(encode, halves)
+        _models[path] = pieces, WordIds(encode, halves, _MEMORY)
     return _models[path]
 
 
@@ -322,7 +325,7 @@ def _ids_column(ids: np.ndarray, sizes: np.ndarray) -> pa.Array:
 def _encoding(path: str, text: str, to: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, words = _model(path)
-        for batch, texts in slices(batches, text, WORDS_CHUNK):
+        for batch, texts in slices(batches, text, _CHUNK):
             ids, sizes = words(_cuts(texts))
             yield replaced_column(batch, to, _ids_column(ids, sizes))
 
@@ -363,7 +366,7 @@ def _both_ways(path: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, words = _model(path)
         decode = Decoder(pieces)
-        for batch, texts in slices(batches, "text", WORDS_CHUNK):
+        for batch, texts in slices(batches, "text", _CHUNK):
             ids, sizes = words(_cuts(texts))
             back = pa.array(decode(ids, sizes), texts.type)
             digests = [hashlib.sha256(t.as_buffer()).hexdigest() for t in back]
