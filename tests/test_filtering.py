@@ -20,25 +20,31 @@ def test_distinct_keys(docs):
     assert rows(distinct_keys(docs)) == [(1,), (12,), (2,), (3,)]
 
 
-@pytest.mark.parametrize("path", ["inline", "broadcast", "salted"])
-def test_hotlist_paths_agree(spark, docs, lines, path):
+WAYS = {
+    "inline": {},
+    "broadcast": {"inline_rows": 0},
+    "salted": {"inline_rows": 0, "max_broadcast_bytes": 0},
+}
+
+
+@pytest.mark.parametrize("way", WAYS)
+def test_hotlist_ways_agree(docs, lines, way):
     hot = parse_words(lines(" c ", "", "e", "  ", "c"))
-    keyed = docs.rdd.zipWithIndex().map(lambda p: (*p[0], p[1])).toDF(
-        "id int, body string, value string, row bigint"
-    )
-    options = {
-        "inline": {},
-        "broadcast": {"inline_rows": 0, "key": ["row"]},
-        "salted": {"inline_rows": 0, "key": ["row"], "max_broadcast_bytes": 0},
-    }[path]
-    kept = hotlist_filter(keyed, hot, **options).select("value")
+    kept = hotlist_filter(docs, hot, **WAYS[way]).select("value")
     # Copies of a line stay; matching is exact in case.
     assert rows(kept) == [("1: c",), ("1: c",), ("2: d  e",)]
 
 
-def test_long_hotlist_needs_a_key(docs, lines):
-    with pytest.raises(ValueError):
-        hotlist_filter(docs, parse_words(lines("a", "b")), inline_rows=1)
+@pytest.mark.parametrize("way", WAYS)
+@pytest.mark.parametrize("words", [2, 999, 1001])
+def test_hotlist_goes_by_the_text_alone(spark, way, words):
+    """Null ids, repeated ids with other texts, null texts, lists of any length."""
+    data = [(1, "a b"), (1, "z z"), (None, "a q"), (None, "z"), (2, None), (2, "k"), (2, "k"), (3, "")]
+    df = spark.createDataFrame(data, "id int, body string")
+    listed = ["a", "k", *[f"w{i}" for i in range(words - 2)]]
+    hot = spark.createDataFrame([(w,) for w in listed], "token string")
+    kept = hotlist_filter(df, hot, **WAYS[way])
+    assert rows(kept) == rows(df.where("body in ('a b', 'a q', 'k')"))
 
 
 def test_empty_hotlist(docs, lines):

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from weftline.plans import block_sums, chain_metrics, count_bin_enrich, first_two_sum
 from weftline.sinks import write_binned, write_lines, write_sorted_lines
-from weftline.sources import n_line_records, number_lines, parse_profiles
+from weftline.sources import blocks_of_rows, n_line_records, number_lines, parse_profiles
 
 
 def records(spark, counts):
@@ -54,6 +54,18 @@ def test_binned_sink(spark, tmp_path):
     assert rows(write_binned(df.where("user_id = 'a'"), path)) == [("multiplebelow", 1)]
 
 
+def test_binned_sink_counts_rows(spark, tmp_path):
+    """Values with newlines, bins that look like numbers, a null bin, no rows."""
+    df = spark.createDataFrame(
+        [("01", "a\nb"), ("01", "c"), ("1", "d"), (None, "e")], "bin string, value string"
+    )
+    counts = write_binned(df, str(tmp_path / "out"))
+    assert rows(counts) == [("01", 2), ("1", 1), (None, 1)]
+    assert counts.schema["bin"].dataType == df.schema["bin"].dataType
+    assert (tmp_path / "out" / "bin=01").is_dir() and (tmp_path / "out" / "bin=1").is_dir()
+    assert rows(write_binned(df.limit(0), str(tmp_path / "none"))) == []
+
+
 def test_line_sinks(spark, tmp_path):
     df = spark.createDataFrame([("10", 1), ("3", 2), (None, 3)], "k string, v int")
     write_lines(df, str(tmp_path / "a"), "k")
@@ -99,12 +111,24 @@ def test_line_numbers(spark, text_files):
 
 def test_line_numbers_by_shuffle(spark, text_files, monkeypatch):
     broadcast = rows(number_lines(spark, str(text_files)))
-    monkeypatch.setattr("weftline.sources.lines.MAX_BROADCAST_BYTES", -1)
+    monkeypatch.setattr("weftline.sources.lines._MAX_SPLIT_ROWS", -1)
     shuffled = number_lines(spark, str(text_files))
     assert "broadcast" not in shuffled._jdf.queryExecution().logical().toString()
     assert rows(shuffled) == broadcast and len(broadcast) == 110
 
 
+def test_line_numbers_leave_the_session_alone(spark, text_files):
+    settings = lambda: {r["key"]: r["value"] for r in spark.sql("set").collect()}
+    before = settings()
+    number_lines(spark, str(text_files)).count()
+    assert settings() == before
+
+
+def test_a_null_line_is_an_empty_one(spark):
+    df = spark.createDataFrame([(0, "a"), (1, None), (2, "c")], "n bigint, line string")
+    assert rows(blocks_of_rows(df, 3, order="n", line="line")) == [(0, "a\n\nc\n")]
+
+
 @pytest.mark.parametrize("split", ["134217728", "97", "13"])
 def test_n_line_records_for_any_split(spark, text_files, split):
     spark.conf.set("spark.sql.files.maxPartitionBytes", split)

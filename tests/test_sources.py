@@ -3,7 +3,6 @@ import re
 import pytest
 from conftest import rows
 
-from weftline.checkpoints import computed_once
 from weftline.functions.tokens import REGEX_SPACE
 from weftline.sources import (
     index_words,
@@ -52,6 +51,29 @@ def test_malformed_lines(lines, parse, bad):
         parse(lines(bad)).collect()
 
 
+@pytest.mark.parametrize(
+    "parse, bad",
+    [(parse_pairs, "1 x"), (parse_docs, "x: a"), (parse_entities, "x a"), (parse_profiles, "")],
+)
+def test_malformed_lines_stop_any_use(lines, parse, bad):
+    """Also one that needs none, or another, of the columns."""
+    good = "1: 1" if parse is parse_docs else "1 1"
+    parsed = parse(lines(good, bad))
+    uses = [parsed.count, *[parsed.select(c).collect for c in parsed.columns]]
+    uses += [parsed.groupBy(parsed.columns[0]).count().collect, parsed.limit(5).collect]
+    for use in uses:
+        with pytest.raises(Exception, match="malformed line"):
+            use()
+
+
+def test_building_posts_measures_once(spark, words):
+    """One action, for the size of the list; the plan itself stays lazy."""
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    random_posts(row_numbers(spark, 8, 50), words, 1)
+    assert len(tracker.getJobIdsForGroup(None)) - before <= 2
+
+
 def test_unknown_mode(lines):
     with pytest.raises(ValueError):
         parse_docs(lines("1: a"), "permissive")
@@ -70,14 +92,6 @@ def test_word_numbers_are_dense(spark, lines):
     assert [r["idx"] for r in got] == list(range(500)) and len({r["word"] for r in got}) == 500
 
 
-def test_checkpoint_folder(spark):
-    once = computed_once(spark.range(5))
-    assert rows(once) == [(i,) for i in range(5)]
-    folder = spark.sparkContext.getCheckpointDir()
-    computed_once(spark.range(5))
-    assert spark.sparkContext.getCheckpointDir() == folder
-
-
 @pytest.fixture
 def words(spark):
     return spark.createDataFrame([(i, f"w{i}") for i in range(20)], "idx bigint, word string")

@@ -5,17 +5,12 @@ from pyspark.sql import functions as F
 from weftline.functions.tokens import split_fields, split_keep_leading, split_trimmed
 from weftline.operators import chain_word_count, word_count
 
-# Sample text with trailing blanks, a blank line, and a dash in hair spaces.
+# Invented prose with a trailing blank, a blank line, and a dash in hair spaces.
 SAMPLE = [
-    "While machine learning inference models are already transforming computing as we know it, ",
-    "the hard truth is that using multiple, gigantic datasets to train them still takes a ton of"
-    " processing power.",
-    "Using a trained model to predict an event requires much less ",
-    "but still more than our pocket devices can currently handle. ",
-    "Processing an image with a deep neural network implies billions of"
-    " operations\u200a\u2014\u200ahuge matrices of many dimensions being multiplied, inversed,"
-    " reshaped, and Fourier transformed.",
+    "The ferry leaves at noon, an hour before the tide turns, ",
     "",
+    "and the crew\u200a\u2014\u200aseven of them\u200a\u2014\u200aload a cart, a crate of pears and a bell.",
+    "An empty crate is left for the harbour cat. ",
 ]
 
 
@@ -57,16 +52,18 @@ def test_split_fields_takes_any_separator(lines, sep):
 
 def test_word_count_sample(lines):
     counts = dict(rows(word_count(lines(*SAMPLE))))
-    assert len(counts) == 70
-    assert counts[""] == 1 and counts["a"] == 3 and counts["of"] == 3
-    assert counts["operations\u200a\u2014\u200ahuge"] == 1
-    assert sum(counts.values()) == sum(len(s.strip().split(" ")) for s in SAMPLE)
+    # 11 words, one empty token, 14 words and 9; "the" and "a" 3, "of", "and", "crate" 2.
+    assert sum(counts.values()) == 11 + 1 + 14 + 9 and len(counts) == 28
+    assert counts[""] == 1 and counts["a"] == 3 and counts["of"] == 2 and counts["crate"] == 2
+    assert counts["the"] == 3 and counts["The"] == 1 and counts["and"] == 2
+    assert counts["crew\u200a\u2014\u200aseven"] == 1 and counts["them\u200a\u2014\u200aload"] == 1
 
 
 def test_chain_word_count_sample(lines):
     counts = dict(rows(chain_word_count(lines(*SAMPLE))))
-    assert len(counts) == 67
-    assert "" not in counts and counts["A"] == 3 and counts["AN"] == 2 and counts["USING"] == 2
+    # Without the empty token; "The" and "the" are one, as are "An" and "an".
+    assert len(counts) == 25 and sum(counts.values()) == 34
+    assert "" not in counts and counts["THE"] == 4 and counts["AN"] == 2 and counts["A"] == 3
 
 
 def test_chain_word_count_edges(lines):
