@@ -51,6 +51,7 @@ SKETCHES = 64
 ALL_PAIRS = 16
 #: Texts of a bucket that are held at once.
 _BLOCK = 1 << 16
+_LINKS_A_TASK = 50_000
 _SEED = 20240607
 
 _random = np.random.default_rng(_SEED)
@@ -326,25 +327,26 @@ def components(links: DataFrame) -> DataFrame:
 
     Alternating large and small stars: every id is linked to the least of its
     neighbourhood until each component is a star. Each round is written, so lineage stays
-    short; what comes to the driver is one count and one checksum a round.
+    short; what comes to the driver is one count and one checksum a round. A round runs in
+    tasks of at least ``_LINKS_A_TASK`` links, as a small graph is not worth more.
     """
     edges = links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     edges = saved(edges.distinct())
-    before = None
+    before, tasks = None, max(8, edges.count() // _LINKS_A_TASK)
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select(
             "a", F.least("a", "m").alias("m")
         )
         large = both.join(least, "a").where("b > a").select(F.col("m").alias("a"), "b")
-        large = large.where("a <> b").distinct()
+        large = large.where("a <> b").coalesce(tasks).distinct().coalesce(tasks)
         # Now each id points up to lesser ones: the least of them takes the others.
         least = large.groupBy("b").agg(F.min("a").alias("m"))
         small = large.join(least, "b")
         small = small.select(F.col("m").alias("a"), "b").unionByName(
             small.where("a <> m").select(F.col("m").alias("a"), F.col("a").alias("b"))
         )
-        edges = saved(small.where("a <> b").distinct())
+        edges = saved(small.where("a <> b").coalesce(tasks).distinct().coalesce(tasks))
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             break
@@ -366,8 +368,10 @@ def _dealt(rows: DataFrame) -> DataFrame:
 
 
 def _links(pairs: DataFrame, texts: DataFrame, documents: DataFrame) -> DataFrame:
-    """The pairs of tids whose texts are near; ``documents`` are (doc_id, key, text)."""
-    pairs = saved(pairs)
+    """The pairs of tids, already written, whose texts are near.
+
+    ``documents`` are (doc_id, key, text).
+    """
     ids = pairs.select(F.col("a").alias("tid")).unionByName(pairs.select(F.col("b").alias("tid")))
     wanted = broadcast_if_few(
         saved(texts.select("tid", "key", "doc_id").join(ids.distinct(), "tid", "left_semi"))
@@ -387,7 +391,10 @@ def _links(pairs: DataFrame, texts: DataFrame, documents: DataFrame) -> DataFram
 
 
 def near_links(documents: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(doc_id, key) of all documents, (tid, key, doc_id) of different texts, (a, b) links."""
+    """(doc_id, key) of all documents, (tid, key, doc_id) of different texts, (a, b) links.
+
+    Links between the texts of a class that the first round found are those to its root.
+    """
     of = documents.schema[doc_id].dataType.simpleString()
     keyed = _keyed(documents, doc_id, text)
     rows = saved(
@@ -415,8 +422,10 @@ def near_links(documents: DataFrame, doc_id: str, text: str) -> tuple[DataFrame,
         "bucket", "n_words", "tid", F.coalesce("root", "tid").alias("root")
     )
     pairs = _dealt(apart).mapInArrow(_paired, "a long, b long").distinct()
-    more = _links(pairs.join(stars, ["a", "b"], "left_anti"), texts, keyed)
-    return rows.select("doc_id", "key"), texts.select("tid", "key", "doc_id"), links.unionByName(more)
+    pairs = saved(pairs.join(stars, ["a", "b"], "left_anti"))
+    more = _links(pairs, texts, keyed)
+    stars = roots.select(F.col("root").alias("a"), F.col("id").alias("b"))
+    return rows.select("doc_id", "key"), texts.select("tid", "key", "doc_id"), stars.unionByName(more)
 
 
 def _classes(documents: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
