@@ -2,7 +2,7 @@
 
 A text becomes its pieces as follows. Spaces turn into ``▁`` and one is put before the
 text. No piece holds a ``▁`` after another character, so the text is cut before each run
-of ``▁`` and equal cuts have equal ids; a worker works out each cut once. Signs at the end
+of ``▁`` and equal cuts have equal ids; a task works out each cut once, as far as it remembers. Signs at the end
 of a word of letters are a cut of their own if no piece holds one after a letter. The
 new cuts of a batch are joined to one text, and then:
 
@@ -51,10 +51,10 @@ _BYTE = re.compile("<0x([0-9A-F]{2})>")
 #: Characters of new cuts that are indexed at once.
 INDEX_CHARS = 1 << 17
 #: Bytes of text worked on at once, and cuts that a worker remembers: they bound its memory.
-_CHUNK = 2 << 20
+_CHUNK = 1 << 20
 _MEMORY = 300_000
 #: Pairs of pieces that a worker remembers, at nine bytes each.
-_PAIR_SLOTS = 1 << 22
+_PAIR_SLOTS = 1 << 21
 _MIX = 0x9E3779B97F4A7C15 - (1 << 64)
 _UNKNOWN, _UNREACHED = -1, -2
 #: Signs that end many words, and a mark for them that no text holds.
@@ -252,7 +252,7 @@ _models: dict[str, tuple[Pieces, WordIds]] = {}
 
 
 def _model(path: str) -> tuple[Pieces, WordIds]:
-    """The worker's model and its memory of cuts, shared by the tasks of a worker."""
+    """The worker's model, shared by its tasks, and a memory of cuts."""
     if path not in _models:
         pieces = Pieces(path)
 
@@ -328,6 +328,7 @@ def _encoding(path: str, text: str, to: str) -> Callable:
         for batch, texts in slices(batches, text, _CHUNK):
             ids, sizes = words(_cuts(texts))
             yield replaced_column(batch, to, _ids_column(ids, sizes))
+        words.forget()
 
     return run
 
@@ -380,6 +381,7 @@ def _both_ways(path: str) -> Callable:
                 ],
                 ["doc_id", "ids", "n_tokens", "decoded_sha256", "same"],
             )
+        words.forget()
 
     return run
 

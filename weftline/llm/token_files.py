@@ -81,7 +81,7 @@ _words: dict[str, WordIds] = {}
 
 
 def _tokenizer_words(path: str) -> WordIds:
-    """The worker's memory of words for a tokenizer file; tasks of a worker share it."""
+    """The worker's tokenizer and memory of words for a tokenizer file."""
     if path not in _words:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
@@ -142,6 +142,7 @@ def _encoded(batches, path: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, n
     words = _tokenizer_words(path)
     for batch, texts in slices(batches, size=WORDS_CHUNK):
         yield batch, *words(_words_of(texts))
+    words.forget()
 
 
 def _store(folder: str) -> tuple[pafs.FileSystem, str]:

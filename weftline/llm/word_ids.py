@@ -41,9 +41,10 @@ class WordIds:
         limit: int = MEMORY_PARTS,
     ):
         self.encode, self.parts, self.limit = encode, parts, limit
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
+        """Gives the memory back; a task that is done leaves an idle worker."""
         self.numbers: dict[str, int] = {}
         self.starts = np.zeros(1, np.int64)
         self.flat = np.empty(0, np.int32)
@@ -58,7 +59,7 @@ class WordIds:
     def _of_different(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words, joined, and how many each has."""
         if len(self.numbers) > self.limit:
-            self._forget()
+            self.forget()
         cut = self.parts(words)
         fresh = sorted(set().union(*cut).difference(self.numbers))
         if fresh:
