@@ -42,13 +42,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.llm.common import new_folder, saved, text_of
-from weftline.llm.word_ids import WORDS_CHUNK, WordIds, slices
+from weftline.llm.word_ids import WordIds, slices
 
 END_ID = 2
 _MAGIC, _DRAFT = b"WTI1", b"WTD1"
 _HEAD = struct.Struct("<4sQQQQ")
 _DOCUMENT = np.dtype([("is_null", "u1"), ("doc_id", "<i8"), ("n", "<u8")])
 _RANKS = "ranks.u32"
+#: Bytes of text worked on at once, and parts of words that a worker remembers.
+_CHUNK = 8 << 20
+_MEMORY = 900_000
 #: Punctuation that may be cut from the end of a word of letters only.
 _TAIL = ".,!?%&*$#|"
 
@@ -81,7 +84,7 @@ _words: dict[str, WordIds] = {}
 
 
 def _tokenizer_words(path: str) -> WordIds:
-    """The worker's tokenizer and memory of words for a tokenizer file."""
+    """The worker's memory of words for a tokenizer file; tasks of a worker share it."""
     if path not in _words:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
@@ -102,7 +105,7 @@ def _tokenizer_words(path: str) -> WordIds:
             flat = (i for p in parts for i in found[p])
             return np.fromiter(flat, np.int32, int(lengths.sum())), lengths
 
-        _words[path] = WordIds(encode, _halves)
+        _words[path] = WordIds(encode, _halves, _MEMORY)
     return _words[path]
 
 
@@ -140,9 +143,8 @@ def _words_of(texts: pa.Array) -> pa.ListArray:
 
 def _encoded(batches, path: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     words = _tokenizer_words(path)
-    for batch, texts in slices(batches, size=WORDS_CHUNK):
+    for batch, texts in slices(batches, size=_CHUNK):
         yield batch, *words(_words_of(texts))
-    words.forget()
 
 
 def _store(folder: str) -> tuple[pafs.FileSystem, str]:

@@ -24,7 +24,6 @@ are not read. Scores must fit 64 bits.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
