@@ -21,9 +21,9 @@ from weftline.operators import (
     median_std_histogram,
     merge_averages,
     min_max_count,
-    posting_lists,
     postings,
     replicated_join,
+    token_lists,
     top_n,
     value_histogram,
     word_count,
@@ -181,7 +181,7 @@ def _inverted_index(spark, sf):
 
 
 def _inverted_index_lists(spark, sf):
-    lists = posting_lists(_inverted_index(spark, sf), chunk_docs=POSTING_CHUNK)
+    lists = token_lists(_documents(spark, sf), "doc_id", "text", chunk_docs=POSTING_CHUNK)
     return lists.select("token", "chunk", render.id_list("doc_ids").alias("doc_ids"))
 
 

@@ -1,7 +1,15 @@
 import pytest
 from conftest import rows
 
-from weftline.operators import distinct_keys, grep, hotlist_filter, posting_lists, postings, top_n
+from weftline.operators import (
+    distinct_keys,
+    grep,
+    hotlist_filter,
+    posting_lists,
+    postings,
+    token_lists,
+    top_n,
+)
 from weftline.sources import parse_docs, parse_words
 
 DOCS = ["3: a b a", "1: c", "3: b", "2: d  e", "1: c", "12: A"]
@@ -82,6 +90,13 @@ def test_postings_keep_occurrences(docs):
     assert lists[("a", 1)] == [3, 3] and lists[("c", 0)] == [1, 1] and lists[("A", 6)] == [12]
 
 
+def test_lists_straight_from_texts(spark):
+    df = spark.range(300).selectExpr(
+        "id", "concat('hot hot w', id % 7, if(id % 3 = 0, ' hot', ''), ' x', id) as body"
+    )
+    assert rows(token_lists(df, chunk_docs=20)) == rows(posting_lists(postings(df), 20))
+
+
 def test_posting_lists_are_bounded_and_whole(spark):
     df = spark.createDataFrame([(i, "hot hot" if i % 5 else "hot") for i in range(95)], "id int, body string")
     parts = posting_lists(postings(df), 10).where("token = 'hot'").orderBy("chunk").collect()

@@ -24,14 +24,17 @@ def postings(
     The table form of the index: the rows of a frequent token stay spread over
     the tasks. Occurrences are counted before the shuffle.
     """
+    tokens = _tokens(df, doc_id, text, split)
+    return tokens.groupBy("token", "doc_id").agg(F.count("*").alias("tf"))
+
+
+def _tokens(
+    df: DataFrame, doc_id: str, text: str, split: Callable[[Column], Column]
+) -> DataFrame:
     tokens = df.select(
         F.col(doc_id).alias("doc_id"), F.explode(split(F.col(text))).alias("token")
     )
-    return (
-        tokens.where(F.col("token") != "")
-        .groupBy("token", "doc_id")
-        .agg(F.count("*").alias("tf"))
-    )
+    return tokens.where(F.col("token") != "")
 
 
 def posting_lists(index: DataFrame, chunk_docs: int = CHUNK_DOCS) -> DataFrame:
@@ -53,3 +56,21 @@ def posting_lists(index: DataFrame, chunk_docs: int = CHUNK_DOCS) -> DataFrame:
         .agg(F.collect_list(entry).alias("entries"))
         .select("token", "chunk", repeated.alias("doc_ids"))
     )
+
+
+def token_lists(
+    df: DataFrame,
+    doc_id: str = "id",
+    text: str = "body",
+    split: Callable[[Column], Column] = split_trimmed,
+    chunk_docs: int = CHUNK_DOCS,
+) -> DataFrame:
+    """The :func:`posting_lists` of :func:`postings`, straight from the texts.
+
+    One shuffle instead of two: a task sends one list per token and chunk that it met.
+    """
+    return (
+        _tokens(df, doc_id, text, split)
+        .groupBy("token", block_number("doc_id", chunk_docs).alias("chunk"))
+        .agg(F.array_sort(F.collect_list("doc_id")).alias("doc_ids"))
+    )

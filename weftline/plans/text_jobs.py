@@ -64,8 +64,9 @@ def inverted_index(
     spark: SparkSession, source: str, out: str, chunk_docs: int = 1000, mode: str = FAIL
 ) -> None:
     """``token \\t : id id id``, one line per token and chunk of ids."""
-    index = op.postings(parse_docs(read_lines(spark, source), mode), split=split_blanks)
-    _write_rendered(op.posting_lists(index, chunk_docs), "token", render.id_list(), out)
+    docs = parse_docs(read_lines(spark, source), mode)
+    lists = op.token_lists(docs, split=split_blanks, chunk_docs=chunk_docs)
+    _write_rendered(lists, "token", render.id_list(), out)
 
 
 def top_ten(spark: SparkSession, source: str, out: str, n: int = 10, mode: str = FAIL) -> None:
