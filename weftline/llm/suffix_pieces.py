@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from weftline.llm.common import replaced_column
-from weftline.llm.word_ids import WordIds, ranges_of, slices
+from weftline.llm.word_ids import WordIds, halves, ranges_of, slices
 
 SPACE = "▁"
 _CUT = re.compile(f"{SPACE}+[^{SPACE}]*")
@@ -256,21 +256,13 @@ def _model(path: str) -> tuple[Pieces, WordIds]:
     if path not in _models:
         pieces = Pieces(path)
 
-        def halves(words: list[str]) -> list[list[str]]:
-            bodies = [w.rstrip(pieces.signs) for w in words]
-            ends = [_END] * len(words)
-            for i, (w, b) in enumerate(zip(words, bodies, strict=True)):
-                if len(b) != len(w):
-                    if b and b[-1].isalpha():
-                        ends[i] = _END + w[len(b):]
-                    else:
-                        bodies[i] = w
-            return [bodies, ends]
+        def parts(words: pa.Array) -> list[list[str]]:
+            return halves(words, pieces.signs, lambda body: body[-1:].isalpha(), _END)
 
         def encode(cuts: list[str]) -> tuple[np.ndarray, np.ndarray]:
             return pieces.encode([_whole(c) for c in cuts])
 
-        _models[path] = pieces, WordIds(encode, halves, _MEMORY)
+        _models[path] = pieces, WordIds(encode, parts, _MEMORY)
     return _models[path]
 
 

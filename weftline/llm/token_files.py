@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.llm.common import new_folder, saved, text_of
-from weftline.llm.word_ids import WordIds, slices
+from weftline.llm.word_ids import WordIds, halves, slices
 
 END_ID = 2
 _MAGIC, _DRAFT = b"WTI1", b"WTD1"
@@ -105,7 +105,8 @@ def _tokenizer_words(path: str) -> WordIds:
             flat = (i for p in parts for i in found[p])
             return np.fromiter(flat, np.int32, int(lengths.sum())), lengths
 
-        _words[path] = WordIds(encode, _halves, _MEMORY)
+        # Final punctuation of a word of letters, which this tokenizer never joins to it.
+        _words[path] = WordIds(encode, lambda words: halves(words, _TAIL, _letters), _MEMORY)
     return _words[path]
 
 
@@ -118,17 +119,8 @@ def _plain(part: str) -> bool:
     )
 
 
-def _halves(words: list[str]) -> list[list[str]]:
-    """Words of letters and their final punctuation, which this tokenizer never joins."""
-    bodies = [w.rstrip(_TAIL) for w in words]
-    ends = [""] * len(words)
-    for i, (w, b) in enumerate(zip(words, bodies, strict=True)):
-        if len(b) != len(w):
-            if b.isalpha() and max(b) < "\u0250":
-                ends[i] = w[len(b):]
-            else:
-                bodies[i] = w
-    return [bodies, ends]
+def _letters(body: str) -> bool:
+    return body.isalpha() and max(body) < "\u0250"
 
 
 def _words_of(texts: pa.Array) -> pa.ListArray:

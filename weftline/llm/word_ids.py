@@ -37,7 +37,7 @@ class WordIds:
     def __init__(
         self,
         encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]],
-        parts: Callable[[list[str]], list[list[str]]] = lambda words: [words],
+        parts: Callable[[pa.Array], list[list[str]]],
         limit: int = MEMORY_PARTS,
     ):
         self.encode, self.parts, self.limit = encode, parts, limit
@@ -56,7 +56,7 @@ class WordIds:
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
         self.flat = np.concatenate([self.flat, ids.astype(np.int32)])
 
-    def _of_different(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _of_different(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words, joined, and how many each has."""
         if len(self.numbers) > self.limit:
             self.forget()
@@ -74,7 +74,7 @@ class WordIds:
     def __call__(self, words: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, given as lists of words, and the number of ids of each."""
         coded = words.flatten().dictionary_encode()
-        ids, sizes = self._of_different(coded.dictionary.to_pylist())
+        ids, sizes = self._of_different(coded.dictionary)
         each = coded.indices.to_numpy(zero_copy_only=False)
         starts = np.cumsum(sizes) - sizes
         lengths = sizes[each]
@@ -83,6 +83,23 @@ class WordIds:
         return ids[ranges_of(lengths, starts[each])], np.diff(ends[last], prepend=0)
 
 
+def halves(
+    words: pa.Array, signs: str, plain: Callable[[str], bool], mark: str = ""
+) -> list[list[str]]:
+    """Each word and the ``signs`` at its end, which come after ``mark``.
+
+    Only where what is left is ``plain``; other words stay whole.
+    """
+    stripped = pc.utf8_rtrim(words, signs)
+    at = np.flatnonzero(pc.not_equal(stripped, words).to_numpy(zero_copy_only=False))
+    bodies, ends = words.to_pylist(), [mark] * len(words)
+    for i, body in zip(at.tolist(), stripped.take(pa.array(at)).to_pylist(), strict=True):
+        if plain(body):
+            ends[i] = mark + bodies[i][len(body):]
+            bodies[i] = body
+    return [bodies, ends]
+
+
 def slices(
     batches: Iterator[pa.RecordBatch], text: str = "text", size: int = CHUNK_CHARS
 ) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
