@@ -53,6 +53,8 @@ INDEX_CHARS = 1 << 17
 #: Bytes of text worked on at once, and cuts that a worker remembers: they bound its memory.
 _CHUNK = 1 << 20
 _MEMORY = 300_000
+#: What a worker remembers between tasks.
+_IDLE = 50_000
 #: Pairs of pieces that a worker remembers, at nine bytes each.
 _PAIR_SLOTS = 1 << 21
 _MIX = 0x9E3779B97F4A7C15 - (1 << 64)
@@ -320,7 +322,7 @@ def _encoding(path: str, text: str, to: str) -> Callable:
         for batch, texts in slices(batches, text, _CHUNK):
             ids, sizes = words(_cuts(texts))
             yield replaced_column(batch, to, _ids_column(ids, sizes))
-        words.forget()
+        words.trim(_IDLE)
 
     return run
 
@@ -373,7 +375,7 @@ def _both_ways(path: str) -> Callable:
                 ],
                 ["doc_id", "ids", "n_tokens", "decoded_sha256", "same"],
             )
-        words.forget()
+        words.trim(_IDLE)
 
     return run
 

@@ -3,7 +3,7 @@
 A tokenizer whose pieces never cross a cut encodes a text as its cut parts, one after the
 other. Arrow finds the different words of a chunk of texts; ``WordIds`` keeps the ids of
 parts it has met in one flat array and encodes only new ones, in one call a chunk. The
-memory is bounded: beyond ``limit`` parts it starts anew.
+memory is bounded: beyond ``limit`` parts it keeps the third that most chunks used.
 """
 
 from __future__ import annotations
@@ -41,13 +41,23 @@ class WordIds:
         limit: int = MEMORY_PARTS,
     ):
         self.encode, self.parts, self.limit = encode, parts, limit
-        self.forget()
-
-    def forget(self) -> None:
-        """Gives the memory back; a task that is done leaves an idle worker."""
         self.numbers: dict[str, int] = {}
         self.starts = np.zeros(1, np.int64)
         self.flat = np.empty(0, np.int32)
+        self.used = np.empty(0, np.int64)
+
+    def trim(self, keep: int) -> None:
+        """Forgets all parts but the ``keep`` that most chunks used; gives memory back."""
+        if len(self.numbers) <= keep:
+            return
+        kept = np.sort(np.argsort(-self.used, kind="stable")[:keep])
+        lengths = np.diff(self.starts)[kept]
+        self.flat = self.flat[ranges_of(lengths, self.starts[kept])]
+        self.starts = np.concatenate([[0], np.cumsum(lengths)])
+        # Half of the past counts, so that parts of new texts can take over.
+        self.used = self.used[kept] // 2
+        parts = list(self.numbers)
+        self.numbers = {parts[i]: n for n, i in enumerate(kept.tolist())}
 
     def _learn(self, parts: list[str]) -> None:
         ids, lengths = self.encode(parts)
@@ -55,11 +65,12 @@ class WordIds:
         self.numbers.update(zip(parts, range(known, known + len(parts)), strict=True))
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
         self.flat = np.concatenate([self.flat, ids.astype(np.int32)])
+        self.used = np.concatenate([self.used, np.zeros(len(parts), np.int64)])
 
     def _of_different(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words, joined, and how many each has."""
         if len(self.numbers) > self.limit:
-            self.forget()
+            self.trim(self.limit // 3)
         cut = self.parts(words)
         fresh = sorted(set().union(*cut).difference(self.numbers))
         if fresh:
@@ -67,6 +78,7 @@ class WordIds:
         numbers = np.stack([
             np.fromiter(map(self.numbers.__getitem__, c), np.int64, len(c)) for c in cut
         ], axis=1)
+        self.used += np.bincount(numbers.ravel(), minlength=len(self.used))
         starts = self.starts[numbers]
         lengths = self.starts[numbers + 1] - starts
         return self.flat[ranges_of(lengths.ravel(), starts.ravel())], lengths.sum(1)
