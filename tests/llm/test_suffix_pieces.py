@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 from sentencepiece import SentencePieceProcessor
 
 from weftline.llm import suffix_pieces as M
+from weftline.llm.word_ids import WordIds
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -73,3 +74,16 @@ def test_edges_are_all_occurrences():
         for i in range(len(text)) for j in range(i + 1, len(text) + 1) if text[i:j] in pieces.number
     )
     assert list(zip(starts.tolist(), ends.tolist(), found.tolist(), strict=True)) == want
+
+
+def test_little_memory_gives_the_same_ids(library):
+    rnd = random.Random(9)
+    words = WordIds(lambda parts: M._model(PATH)[1].encode(parts), M._model(PATH)[1].parts, limit=40)
+    vocabulary = ["".join(rnd.choices("abcdei.,", k=rnd.randint(1, 6))) for _ in range(200)]
+    for _ in range(30):
+        texts = [" ".join(rnd.choices(vocabulary, k=20)) for _ in range(4)]
+        ids, sizes = words(M._cuts(pa.array(texts)))
+        assert ids.tolist() == [i for t in texts for i in library.encode(t)]
+        assert sizes.tolist() == [len(library.encode(t)) for t in texts]
+        words.trim(10)
+        assert len(words.numbers) == len(words.used) == len(words.starts) - 1 <= 10

@@ -56,7 +56,8 @@ def test_viterbi_finds_the_least_cost(costs):
     def ways(word, at, letters, price):
         if at == len(word):
             s = [0, 0, *M.symbols(letters).tolist(), 0]
-            yield price + sum(float(costs[a, b, c]) for a, b, c in zip(s, s[1:], s[2:], strict=False)), letters
+            steps = zip(s, s[1:], s[2:], strict=False)
+            yield price + sum(float(costs[a, b, c]) for a, b, c in steps), letters
             return
         if at and word[at] == word[at - 1] and letters:
             yield from ways(word, at + 1, letters, price + M._REPEAT_COST)

@@ -2,9 +2,9 @@
 
 A text becomes its pieces as follows. Spaces turn into ``▁`` and one is put before the
 text. No piece holds a ``▁`` after another character, so the text is cut before each run
-of ``▁`` and equal cuts have equal ids; a task works out each cut once, as far as it remembers. Signs at the end
-of a word of letters are a cut of their own if no piece holds one after a letter. The
-new cuts of a batch are joined to one text, and then:
+of ``▁`` and equal cuts have equal ids; a worker works out each cut once, as far as it
+remembers. Signs at the end of a word of letters are a cut of their own if no piece holds
+one after a letter. The new cuts of a batch are joined to one text, and then:
 
 1. the suffixes of the text, as deep as the longest piece, are sorted;
 2. every piece of the vocabulary is found by binary search: its first and last suffix
