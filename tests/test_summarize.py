@@ -63,8 +63,9 @@ WIDE = {
     "bigint": lambda r: r.choice([r.randint(-5, 5), r.randint(-(2**62), 2**62), 2**40 + r.randint(0, 9)]),
     "decimal(18,4)": lambda r: decimal.Decimal(r.randint(-(10**9), 10**9)).scaleb(-4),
     "double": lambda r: r.choice([
-        0.0, -0.0, 1.0, 2.0, r.uniform(-1, 1), r.uniform(900, 1e5), r.uniform(-1, 1) * 10.0 ** r.randint(-300, 300),
-        5e-324, 2.0 ** r.randint(-1074, 1023)]),
+        0.0, -0.0, 1.0, 2.0, r.uniform(-1, 1), r.uniform(900, 1e5), 5e-324,
+        r.uniform(-1, 1) * 10.0 ** r.randint(-300, 300),
+        2.0 ** r.randint(-1074, 1023)]),
     "float": lambda r: float(r.randint(-1000, 1000)) / 8,
 }
 
