@@ -99,6 +99,61 @@ def test_large_groups_and_shared_passages(spark):
     check(spark.createDataFrame(made_up(300, 300), "doc_id long, text string"))
 
 
+def changed(rnd, base, share):
+    text = list(base)
+    for i in rnd.sample(range(len(text)), round(share * len(text))):
+        text[i] = f"own{rnd.randrange(10**9)}"
+    return text
+
+
+def test_copies_near_the_original_only(spark):
+    """Each is 0.87 like the original and mostly under 0.8 like the others."""
+    rnd = random.Random(2)
+    base = [f"w{i}" for i in range(200)]
+    texts = [base, *[changed(rnd, base, 0.13) for _ in range(400)]]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    found = M.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.class_id for r in found.collect()} == {0}
+
+
+def test_near_pairs_among_texts_of_one_template(spark):
+    rnd = random.Random(3)
+    template = [f"t{i}" for i in range(120)]
+    texts = []
+    for i in range(150):
+        own = [f"a{i}x{k}" for k in range(80)]
+        texts += [own[:40] + template + own[40:]]
+        texts += [changed(rnd, texts[-1], 0.1)]
+    rows = list(enumerate(map(" ".join, texts)))
+    rnd.shuffle(rows)
+    check(spark.createDataFrame(rows, "doc_id long, text string"))
+
+
+def test_a_block_links_all_that_any_pair_does():
+    rnd = random.Random(5)
+    base = [f"w{i}" for i in range(90)]
+    texts = [rnd.choices("abc", k=k) for k in (5, 40, 400, 900)]
+    texts += [changed(rnd, base, rnd.choice([0.05, 0.1, 0.3])) for _ in range(40)]
+    texts += [["same"] * n for n in (500, 520, 610, 800)]
+    texts = sorted(map(" ".join, texts), key=lambda t: len(t.split()))
+    words = [t.encode().split() for t in texts]
+    every = np.arange(len(texts))
+    sizes = np.array(list(map(len, words)))
+    for sides in (np.full(len(texts), 2), every % 2):
+        root = {i: i for i in every.tolist()}
+        for j in every.tolist():
+            for i in range(j):
+                if (sides[i] == 2 or sides[i] != sides[j]) and M.linked(words[i], words[j]):
+                    x, y = M._find(root, i), M._find(root, j)
+                    root[max(x, y)] = min(x, y)
+        found = {i: i for i in every.tolist()}
+        for i, j in zip(*M.block_links(every, sizes, every, sides, texts), strict=True):
+            x, y = M._find(found, int(i)), M._find(found, int(j))
+            assert x != y and M.linked(words[i], words[j])
+            found[max(x, y)] = min(x, y)
+        assert [M._find(found, i) for i in every.tolist()] == [M._find(root, i) for i in every.tolist()]
+
+
 def test_words_moved_are_not_near(spark):
     rnd = random.Random(4)
     words = [f"w{i}" for i in range(200)]

@@ -12,10 +12,13 @@ Texts with an equal sketch meet in a bucket, a run of a sorted partition. First
 is compared with the centre of its bucket, among those of like length, which links most of
 a large group at once. Then the buckets that still hold several classes are gone through
 again, for pairs of different classes: up to ``ALL_PAIRS`` texts give all such pairs of like
-length. A larger bucket, mostly a passage that many texts share, gives each text two
-partners, the middle of its stretch and its neighbour, so it stays linear: texts that are
-near meet in many buckets, with other partners each time, and it takes a path of links, not
-all pairs, to put them in one class. No text is capped or dropped. The chance that two
+length. A larger bucket first gives each text two partners, the middle of its stretch and its
+neighbour, which is linear. Buckets that still hold several classes are then gone through in
+full, block of ``_TEXTS`` against block: a table of word counts of each text bounds the words that
+two can have in common from above, and the pairs of different classes which the bound allows
+are verified where they meet, the best first, as classes grow with each link. So a block
+gives a link for each class that it joins, not its pairs; the time for unlike texts of
+one bucket does grow with the square of their number. Nothing is capped or dropped. The chance that two
 texts which share the part j of their k-mers have no equal sketch is at most about
 ``(1 - j**2) ** SKETCHES``: 1e-5 for j = 0.4 (nine words in ten equal), 0.2 percent for 0.3.
 
@@ -51,6 +54,8 @@ SKETCHES = 64
 ALL_PAIRS = 16
 #: Texts of a bucket that are held at once.
 _BLOCK = 1 << 16
+#: Texts of a large bucket on one side of a comparison of word counts.
+_TEXTS = 2048
 _LINKS_A_TASK = 50_000
 _SEED = 20240607
 
@@ -251,6 +256,20 @@ def _paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     return _by_bucket(batches, of, ["a", "b"])
 
 
+def word_counts(words: np.ndarray) -> np.ndarray:
+    """How many words have each hash, of two to four times as many, at most 255."""
+    bins = 1 << max(5, (2 * len(words) - 1).bit_length())
+    places = (words & np.uint64(bins - 1)).astype(np.int64)
+    return np.minimum(np.bincount(places, minlength=bins), 255).astype(np.uint8)
+
+
+def _folded(counts: np.ndarray, bins: int) -> np.ndarray:
+    if len(counts) == bins:
+        return counts
+    parts = counts.reshape(-1, bins).sum(0, dtype=np.int64)
+    return np.minimum(parts, 255).astype(np.uint8)
+
+
 # --- verification ---------------------------------------------------------------------
 
 
@@ -319,6 +338,77 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([a.filter(mask), b.filter(mask)], ["a", "b"])
 
 
+def _find(of: dict[int, int], x: int) -> int:
+    while (up := of.get(x, x)) != x:
+        of[x] = of.get(up, up)
+        x = up
+    return x
+
+
+def block_links(
+    ids: np.ndarray, sizes: np.ndarray, roots: np.ndarray, sides: np.ndarray, texts: list[str]
+) -> tuple[np.ndarray, np.ndarray]:
+    """Links that join the classes of a block as far as any pair of it does.
+
+    Texts come by ascending size. Pairs are those of different sides, or both of side 2.
+    """
+    words = [[w for w in _words(t) if w] for t in texts]
+    counts = [word_counts(word_hashes(t.encode())[0]) for t in texts]
+    of: dict[int, int] = {}
+    roots, found = roots.copy(), []
+    bins = np.array([len(c) for c in counts])
+    tops = np.searchsorted(sizes, sizes / SIMILARITY + _ROUNDING, "right")
+    least = np.ceil(SIMILARITY * sizes - _ROUNDING).astype(np.int64)
+    for m in np.unique(bins).tolist():
+        start, end = np.searchsorted(bins, [m, m + 1]).tolist()
+        table = np.stack([_folded(c, m) for c in counts[start:int(tops[end - 1])]])
+        # What a count of 255 leaves out may be in common, too.
+        beyond = sizes[start:start + len(table)] - table.sum(1, dtype=np.int64)
+        for i in range(start, end):
+            others = np.arange(i + 1, tops[i])
+            fit = (sides[others] != sides[i]) | (sides[i] == 2)
+            others = others[fit & (roots[others] != roots[i])]
+            if not len(others):
+                continue
+            rows = others - start
+            common = np.minimum(table[i - start], table[rows]).sum(1, dtype=np.int64)
+            spare = common + np.minimum(beyond[i - start], beyond[rows]) - least[others]
+            others, spare = others[spare >= 0], spare[spare >= 0]
+            joined = False
+            for j in others[np.argsort(-spare, kind="stable")].tolist():
+                x, y = _find(of, int(roots[i])), _find(of, int(roots[j]))
+                if x != y and common_words(words[i], words[j], int(least[j])) >= least[j]:
+                    of[max(x, y)], joined = min(x, y), True
+                    found.append((int(ids[i]), int(ids[j])))
+            if joined:
+                different, at = np.unique(roots, return_inverse=True)
+                roots = np.array([_find(of, r) for r in different.tolist()], np.int64)[at]
+    pairs = np.array(found, np.int64).reshape(-1, 2)
+    return pairs.min(1), pairs.max(1)
+
+
+def _in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of each block; rows come sorted by block and size."""
+    def of(columns: list[np.ndarray], texts: list[str]) -> pa.RecordBatch:
+        a, b = block_links(columns[2], columns[1], *columns[3:], texts)
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    kept: list[np.ndarray] = []
+    texts: list[str] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        new = [c.to_numpy(zero_copy_only=False) for c in batch.columns[:-1]]
+        kept = [np.concatenate(x) for x in zip(kept, new, strict=True)] if kept else new
+        texts += batch.columns[-1].to_pylist()
+        edges = [0, *(np.flatnonzero(np.diff(kept[0])) + 1).tolist()]
+        for x, y in zip(edges, edges[1:], strict=False):
+            yield of([k[x:y] for k in kept], texts[x:y])
+        kept, texts = [k[edges[-1]:] for k in kept], texts[edges[-1]:]
+    if texts:
+        yield of(kept, texts)
+
+
 # --- classes ---------------------------------------------------------------------------
 
 
@@ -367,21 +457,23 @@ def _dealt(rows: DataFrame) -> DataFrame:
     return rows.repartition(spread, "bucket").sortWithinPartitions("bucket", "n_words", "tid")
 
 
-def _links(pairs: DataFrame, texts: DataFrame, documents: DataFrame) -> DataFrame:
-    """The pairs of tids, already written, whose texts are near.
-
-    ``documents`` are (doc_id, key, text).
-    """
-    ids = pairs.select(F.col("a").alias("tid")).unionByName(pairs.select(F.col("b").alias("tid")))
+def _whole(ids: DataFrame, texts: DataFrame, documents: DataFrame) -> DataFrame:
+    """(tid, text) of the tids; ``documents`` are (doc_id, key, text)."""
     wanted = broadcast_if_few(
         saved(texts.select("tid", "key", "doc_id").join(ids.distinct(), "tid", "left_semi"))
     )
     same = (F.col("d.key") == F.col("w.key")) & F.col("d.doc_id").eqNullSafe(F.col("w.doc_id"))
-    whole = saved(
+    return (
         documents.alias("d").join(wanted.alias("w"), same)
         .select("tid", "text")
         .dropDuplicates(["tid"])
     )
+
+
+def _links(pairs: DataFrame, texts: DataFrame, documents: DataFrame) -> DataFrame:
+    """The pairs of tids, already written, whose texts are near."""
+    ids = pairs.select(F.col("a").alias("tid")).unionByName(pairs.select(F.col("b").alias("tid")))
+    whole = saved(_whole(ids, texts, documents))
     compared = (
         pairs.join(whole.select(F.col("tid").alias("a"), F.col("text").alias("left")), "a")
         .join(whole.select(F.col("tid").alias("b"), F.col("text").alias("right")), "b")
@@ -390,6 +482,52 @@ def _links(pairs: DataFrame, texts: DataFrame, documents: DataFrame) -> DataFram
     return saved(compared.mapInArrow(_verified, "a long, b long"))
 
 
+def _rooted(met: DataFrame, roots: DataFrame) -> DataFrame:
+    return met.join(roots, F.col("tid") == F.col("id"), "left").select(
+        "bucket", "n_words", "tid", F.coalesce("root", "tid").alias("root")
+    )
+
+
+def _stars(roots: DataFrame) -> DataFrame:
+    return roots.select(F.col("root").alias("a"), F.col("id").alias("b"))
+
+
+def _rest_of_large_buckets(
+    met: DataFrame, links: DataFrame, texts: DataFrame, documents: DataFrame
+) -> DataFrame:
+    """``links`` and those between texts of large buckets that they leave apart."""
+    apart = _rooted(met, broadcast_if_few(saved(components(links)))).distinct()
+    large = (
+        apart.groupBy("bucket")
+        .agg(F.count("*").alias("n"), F.min("root").alias("r"), F.max("root").alias("s"))
+        .where((F.col("n") > ALL_PAIRS) & (F.col("r") < F.col("s")))
+        .select("bucket", F.ceil(F.col("n") / _TEXTS).cast("int").alias("blocks"))
+    )
+    rows = saved(apart.join(broadcast_if_few(saved(large)), "bucket"))
+    if rows.isEmpty():
+        return links
+    whole = saved(_whole(rows.select("tid"), texts, documents))
+    own = F.pmod(F.xxhash64("tid"), "blocks").cast("int")
+    dealt = rows.select(
+        "*", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    ).select(
+        F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")).alias("block"),
+        "n_words", "tid", "root",
+        F.when(F.col("own") == F.col("other"), 2)
+        .otherwise((F.col("own") < F.col("other")).cast("int")).alias("side"),
+    )
+    spread = int(met.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    more = (
+        dealt.join(whole, "tid")
+        .select("block", "n_words", "tid", "root", "side", "text")
+        .repartition(spread, "block")
+        .sortWithinPartitions("block", "n_words", "tid")
+        .mapInArrow(_in_blocks, "a long, b long")
+        .distinct()
+    )
+    return links.unionByName(saved(more))
+
+
 def near_links(documents: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(doc_id, key) of all documents, (tid, key, doc_id) of different texts, (a, b) links.
 
@@ -418,14 +556,12 @@ def near_links(documents: DataFrame, doc_id: str, text: str) -> tuple[DataFrame,
     stars = saved(stars.distinct())
     links = _links(stars, texts, keyed)
     roots = broadcast_if_few(saved(components(links)))
-    apart = met.join(roots, F.col("tid") == F.col("id"), "left").select(
-        "bucket", "n_words", "tid", F.coalesce("root", "tid").alias("root")
-    )
+    apart = _rooted(met, roots)
     pairs = _dealt(apart).mapInArrow(_paired, "a long, b long").distinct()
     pairs = saved(pairs.join(stars, ["a", "b"], "left_anti"))
     more = _links(pairs, texts, keyed)
-    stars = roots.select(F.col("root").alias("a"), F.col("id").alias("b"))
-    return rows.select("doc_id", "key"), texts.select("tid", "key", "doc_id"), stars.unionByName(more)
+    found = _rest_of_large_buckets(met, _stars(roots).unionByName(more), texts, keyed)
+    return rows.select("doc_id", "key"), texts.select("tid", "key", "doc_id"), found
 
 
 def _classes(documents: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
