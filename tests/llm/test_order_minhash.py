@@ -224,6 +224,31 @@ def test_one_of_each_class_stays(documents, odd):
     assert len(rows) == len({c for _, c in brute([(r.doc_id, r.text) for r in odd.collect()])})
 
 
+def test_run_lengths_of_neighbours_meet():
+    for n in range(1, 400):
+        assert M.run_lengths(n) and len(M.run_lengths(n)) <= 2
+        for m in range(n, int(n / M.SIMILARITY + 1e-9) + 1):
+            assert set(M.run_lengths(n)) & set(M.run_lengths(m))
+
+
+def test_near_texts_of_any_length_meet():
+    """Two words in ten replaced, or as many put in as the similarity allows."""
+    rnd = random.Random(9)
+    for n in (5, 6, 8, 10, 15, 16, 20, 48, 60, 61, 75, 200, 600):
+        missed = 0
+        for _ in range(100):
+            a = [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+            b = changed(rnd, a, int(0.2 * n + 1e-9) / n)
+            longer = list(a)
+            for _ in range(int(n / 0.8 + 1e-9) - n):
+                longer.insert(rnd.randrange(len(longer) + 1), f"w{rnd.randrange(10**6)}")
+            first, *others = (
+                set(M.sketch(M.word_hashes(" ".join(t).encode())[0]).tolist()) for t in (a, b, longer)
+            )
+            missed += sum(not first & o for o in others)
+        assert missed <= 2, n
+
+
 def test_sketches_tell_order():
     a = M.word_hashes(" ".join(f"w{i}" for i in range(100)).encode())[0]
     same = M.sketch(a)

@@ -4,8 +4,9 @@ Texts are sequences of words. Two texts are linked if an alignment pairs at leas
 ``SIMILARITY`` of the longer one's words with equal words in the same order. Classes are
 the connected components of the links; equal texts are in one class from the start.
 
-Candidates: the k-mers of a text are its runs of five words, each labelled with how often
-it occurred before in the text. Each of ``SKETCHES`` hash functions picks the two least
+Candidates: the k-mers of a text are its runs of ``LENGTHS`` words, fewer in short texts, each
+labelled with how often it occurred before in the text; a text that a longer one of the next
+class may be near has the sketches of both classes. Each of ``SKETCHES`` hash functions picks the two least
 labelled k-mers and keeps them in text order, so a sketch agrees if the texts share both
 and in the same order, which is sensitive to edits and not to which words a text has.
 Texts with an equal sketch meet in a bucket, a run of a sorted partition. First each text
@@ -20,13 +21,15 @@ are verified where they meet, the best first, as classes grow with each link. So
 gives a link for each class that it joins, not its pairs; the time for unlike texts of
 one bucket does grow with the square of their number. Nothing is capped or dropped. The chance that two
 texts which share the part j of their k-mers have no equal sketch is at most about
-``(1 - j**2) ** SKETCHES``: 1e-5 for j = 0.4 (nine words in ten equal), 0.2 percent for 0.3.
+``(1 - j**2) ** SKETCHES``: 3e-4 for j = 0.34, which long texts with two words in ten replaced
+have, less for short texts and fewer changes. Words put in at other places than those left out
+break more k-mers; the README has measured shares.
 
 Verification: the longest common subsequence of the words by bits of a long number, with
 matches only in the band of diagonals that an alignment of enough words can reach.
 Words in common bound it first. Texts are read whole.
 
-Texts of fewer than five words have one k-mer, all their words. Null texts read as empty; empty
+Null texts read as empty; empty
 texts are copies of each other. Repeated rows are copies. The class of a document is named by the least
 doc_id in it, null if all are null. An empty table gives an empty result. Other columns pass
 through ``deduplicated``.
@@ -46,7 +49,8 @@ from pyspark.sql import functions as F
 from weftline.llm.common import broadcast_if_few, saved, text_of
 from weftline.llm.word_ids import chunks
 
-WORDS = 5
+#: Words of a k-mer in texts of up to so many words; without bound for the last.
+LENGTHS = ((16, 1), (60, 2), (None, 3))
 SIMILARITY = 0.8
 _ROUNDING = 1e-9
 SKETCHES = 64
@@ -61,7 +65,7 @@ _SEED = 20240607
 
 _random = np.random.default_rng(_SEED)
 _OF_BYTE = _random.integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
-_OF_PLACE = _random.integers(1, 1 << 63, WORDS, np.uint64) * np.uint64(2) + np.uint64(1)
+_OF_PLACE = _random.integers(1, 1 << 63, LENGTHS[-1][1], np.uint64) * np.uint64(2) + np.uint64(1)
 _FACTORS = _random.integers(1, 1 << 63, SKETCHES, np.uint64) * np.uint64(2) + np.uint64(1)
 _SHIFTS = _random.integers(1, 1 << 63, SKETCHES, np.uint64)
 _BASE = 0x5851F42D4C957F2D
@@ -102,11 +106,11 @@ def word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     return _mixed((sums[ends] - sums[starts]) * down[starts]), starts
 
 
-def _labelled(words: np.ndarray) -> np.ndarray:
-    """Hashes of the runs of five words with their occurrence numbers."""
-    n = max(len(words) - WORDS + 1, 1)
+def _labelled(words: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of the runs of ``k`` words with their occurrence numbers."""
+    n = max(len(words) - k + 1, 1)
     runs = np.zeros(n, np.uint64)
-    for i in range(min(WORDS, len(words))):
+    for i in range(min(k, len(words))):
         runs += words[i:i + n] * _OF_PLACE[i]
     runs = _mixed(runs)
     order = np.argsort(runs, kind="stable")
@@ -119,11 +123,29 @@ def _labelled(words: np.ndarray) -> np.ndarray:
     return runs
 
 
+def run_lengths(n: int) -> list[int]:
+    """Words of the k-mers of a text of ``n`` words: its class, and the next if near ones may be in it."""
+    longest = n / SIMILARITY + _ROUNDING
+    found, least = [], 0
+    for most, k in LENGTHS:
+        if (most is None or n <= most) and longest > least:
+            found.append(k)
+        least = most
+        if most is None or longest < most + 1:
+            break
+    return found
+
+
 def sketch(words: np.ndarray) -> np.ndarray:
+    """Numbers of the classes of its length, see ``run_lengths``."""
+    return np.concatenate([np.empty(0, np.int64), *[
+        _sketch(words, k) for k in run_lengths(len(words)) if len(words)
+    ]])
+
+
+def _sketch(words: np.ndarray, k: int) -> np.ndarray:
     """One number per hash function from the two least k-mers in text order."""
-    if not len(words):
-        return np.empty(0, np.int64)
-    kmers = _labelled(words)
+    kmers = _labelled(words, k)
     out = np.empty(SKETCHES, np.uint64)
     step = max(1, (1 << 21) // len(kmers))
     for a in range(0, SKETCHES, step):
