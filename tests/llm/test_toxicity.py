@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -75,6 +77,29 @@ def test_spelled_out_and_whole_texts(costs):
     assert [x.tolist() for x in reader(texts)] == [[0, 5], [0, 0]]
 
 
+@pytest.mark.parametrize("times", [1, 12])
+def test_spelled_out_sentences(costs, times):
+    """34 and 408 letters: each one is read, and words come apart.
+
+    Doubled letters may read as one, as the language of the tables has few.
+    """
+    letters = "youareastupidworthlessuselessidiot" * times
+    for text in (" ".join(letters), "\n".join(letters.upper())):
+        found = M.restored_text(text, costs).split()
+        assert "".join(found).replace("ss", "s") == letters.replace("ss", "s")
+        assert found.count("idiot") >= 1 and len(found) >= 5 * times
+    assert M.restored_word(".".join(letters), costs).split().count("idiot") >= 1
+    reader = M.Reader(costs, {"<idiot>": 0, "tupid": 1})
+    texts = pa.array([" ".join(letters), ".".join(letters), "id" + "i" * 400 + "ot"])
+    assert [x.tolist() for x in reader(texts)] == [[0, 0, 1, 1, 2], [0, 1, 0, 1, 0]]
+
+
+def test_endless_runs_are_read_in_proportion(costs):
+    start = time.monotonic()
+    assert len(M.restored_text("i d i o t 1 " * 4000, costs).replace(" ", "")) >= 20_000
+    assert time.monotonic() - start < 30
+
+
 def test_held_out_accuracy(full):
     documents, labels = full
     scores = M.scored(documents, labels).cache()

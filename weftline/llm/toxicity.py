@@ -6,7 +6,9 @@
    row, letters set apart by signs or spaces, look-alikes of another script) is decoded.
    Each character is a column of a lattice: letters it may stand for, or nothing
    if it repeats the one before or is a separator, each at the cost of that disguise. Viterbi
-   finds the letters of least cost, disguise and language model together.
+   finds the letters of least cost, disguise and language model together. A run of single
+   characters may be several words: the lattice offers a break after each of them. Triples
+   do not know words, so the letters without breaks give features, too.
 3. The restored words of a document give features, whole words and their pieces of 4 and
    5 letters. Those that labelled toxic documents have more often than others, by the
    log-likelihood ratio, enter a logistic regression on their presence.
@@ -24,6 +26,7 @@ Repeated rows score alike. Empty tables give an empty result. Other columns play
 from __future__ import annotations
 
 import math
+import os
 import re
 import unicodedata
 from collections.abc import Callable, Iterator
@@ -46,7 +49,6 @@ THRESHOLD = 0.3
 #: A feature needs this log-likelihood ratio and this many toxic documents.
 MIN_RATIO, MIN_DOCUMENTS = 12.0, 3
 _PIECES = (4, 5)
-_LONGEST = 32
 
 #: What signs and look-alikes may stand for.
 STANDS_FOR = {
@@ -59,6 +61,8 @@ STANDS_FOR = {
 _SEPARATORS = ".-_*'~ "
 _EDGE = ".,;:?\"'()[]{}<>%&*#|~`^=+-_!"
 _STAND_COST, _ANY_COST, _REPEAT_COST, _SEPARATOR_COST = 1.0, 2.0, 0.3, 0.1
+#: Letters set apart that may be several words, if at least so many.
+_SENTENCE = 12
 
 # --- the language model ----------------------------------------------------------
 
@@ -130,6 +134,7 @@ def _costs(counts: np.ndarray) -> np.ndarray:
 _DISGUISED = re.compile(r"[0-9@$!|+(*€£]")
 _THREE = re.compile(r"([^\W\d_])\1\1")
 _APART = re.compile(r"\w(?:[.\-_*'~]\w){2,}")
+_SIGNS = re.compile(r"[.\-*'~]|(?<=[^_])_(?=[^_])")
 _LETTER = re.compile(r"[^\W\d_]")
 _ADDRESS = re.compile(r"@.*\.|://|^www\.")
 
@@ -147,7 +152,7 @@ def core(word: str) -> str:
 
 def disguised(word: str) -> bool:
     """Whether a core may hide another spelling."""
-    if not 2 <= len(word) <= _LONGEST or word.isalpha() and word.isascii() and not _THREE.search(word):
+    if len(word) < 2 or word.isalpha() and word.isascii() and not _THREE.search(word):
         return False
     if not _LETTER.search(word) or _ADDRESS.search(word):
         return False
@@ -169,19 +174,33 @@ def _choices(char: str, apart: bool) -> list[tuple[str, float]]:
     return found or [("", _STAND_COST)]
 
 
-def restore(word: str, costs: np.ndarray) -> str:
-    """The letters of least cost for a core: Viterbi over the last two symbols."""
+def restore(word: str, costs: np.ndarray, breaks: bool = False) -> str:
+    """The letters of least cost for a core: Viterbi over the last two symbols.
+
+    With ``breaks`` they may be several words, with spaces between them.
+    """
     apart = bool(_APART.fullmatch(word))
-    # (symbol before, last symbol, last letter) -> (cost, letters)
+    # (symbol before, last symbol, last letter) -> (cost, letters); what all ways have in
+    # common is put aside, so a long run takes time in proportion.
     paths: dict[tuple[int, int, str], tuple[float, str]] = {(_BREAK, _BREAK, ""): (0.0, "")}
-    before = ""
-    for char in word:
+    before, settled = "", []
+    for at, char in enumerate(word):
+        if at % 64 == 63:
+            common = len(os.path.commonprefix([letters for _, letters in paths.values()]))
+            settled.append(next(iter(paths.values()))[1][:common])
+            paths = {key: (cost, letters[common:]) for key, (cost, letters) in paths.items()}
         step: dict[tuple[int, int, str], tuple[float, str]] = {}
 
         def offer(key, cost, letters, step=step):
             if key not in step or (cost, letters) < step[key]:
                 step[key] = cost, letters
 
+        if breaks:
+            for (a, b, last), (cost, letters) in list(paths.items()):
+                if last:
+                    key, price = (b, _BREAK, ""), cost + float(costs[a, b, _BREAK])
+                    if key not in paths or (price, letters + " ") < paths[key]:
+                        paths[key] = price, letters + " "
         choices = _choices(char, apart)
         for (a, b, last), (cost, letters) in paths.items():
             if char == before and last:
@@ -195,14 +214,26 @@ def restore(word: str, costs: np.ndarray) -> str:
                 offer((b, s, letter), cost + price + float(costs[a, b, s]), letters + letter)
         paths, before = step, char
     ends = [(cost + float(costs[a, b, _BREAK]), letters) for (a, b, _), (cost, letters) in paths.items()]
-    return min(ends)[1]
+    return "".join([*settled, min(ends)[1]])
+
+
+def restored_run(letters: str, costs: np.ndarray) -> str:
+    """A run of characters set apart: one word if short, else as many as cost least."""
+    letters = letters.lower()
+    return restore(letters, costs, breaks=len(letters) >= _SENTENCE)
 
 
 def restored_word(word: str, costs: np.ndarray) -> str:
     found = core(word)
     if not found.isascii():
         found = unicodedata.normalize("NFKC", found)
-    return restore(found, costs) if disguised(found) else found
+    if disguised(found):
+        if _APART.fullmatch(found):
+            parts = _SIGNS.sub("", found)
+            if len(parts) >= _SENTENCE:
+                return restored_run(parts, costs)
+        return restore(found, costs)
+    return found
 
 
 def spelled_out(
@@ -218,8 +249,7 @@ def spelled_out(
     bounds = np.concatenate([[0], breaks, [len(at)]])
     for i in np.flatnonzero(np.diff(bounds) >= 3).tolist():
         run = at[bounds[i]:bounds[i + 1]]
-        if len(run) <= _LONGEST:
-            yield int(owner[run[0]]), "".join(words[w] for w in each[run])
+        yield int(owner[run[0]]), "".join(words[w] for w in each[run])
 
 
 def restored_text(text: str, costs: np.ndarray) -> str:
@@ -232,11 +262,11 @@ def restored_text(text: str, costs: np.ndarray) -> str:
         while j < len(words) and len(words[j]) == 1:
             j += 1
         if j - i >= 3 and disguised_run("".join(words[i:j])):
-            out.append(restore("".join(words[i:j]).lower()[:_LONGEST], costs))
+            out.append(restored_run("".join(words[i:j]), costs))
             i = j
         else:
-            found = core(words[i])
-            out.append(restore(found, costs) if disguised(found) else words[i])
+            hidden = disguised(core(words[i]))
+            out.append(restored_word(words[i], costs) if hidden else words[i])
             i += 1
         if 2 * i - 1 < len(parts):
             out.append(parts[2 * i - 1])
@@ -244,7 +274,7 @@ def restored_text(text: str, costs: np.ndarray) -> str:
 
 
 def disguised_run(letters: str) -> bool:
-    return len(letters) <= _LONGEST and bool(_LETTER.search(letters))
+    return bool(_LETTER.search(letters))
 
 
 # --- features and the model ----------------------------------------------------------
@@ -260,6 +290,12 @@ def word_features(word: str) -> list[str]:
     return [marked, *pieces]
 
 
+def _read(restored: str) -> list[str]:
+    """The words of what was one, and if they are several all letters in one."""
+    words = restored.split()
+    return [*words, "".join(words)] if len(words) > 1 else words
+
+
 class Reader:
     """The features of texts by word, as numbers: those in ``wanted``, or all it meets."""
 
@@ -268,10 +304,18 @@ class Reader:
         self.numbers: dict[str, int] = wanted if wanted is not None else {}
         self.known: dict[str, tuple[int, ...]] = {}
 
+    def of_run(self, run: str) -> Iterator[int]:
+        """Those of the words of a run of single characters."""
+        if len(run) < _SENTENCE or not disguised_run(run):
+            yield from self.of_word(run)
+        else:
+            for word in _read(restored_run(run, self.costs)):
+                yield from self.of_word(word)
+
     def of_word(self, word: str) -> tuple[int, ...]:
         found = self.known.get(word)
         if found is None:
-            pieces = word_features(restored_word(word, self.costs))
+            pieces = [p for w in _read(restored_word(word, self.costs)) for p in word_features(w)]
             if self.fixed:
                 numbers = map(self.numbers.get, pieces)
                 found = tuple({n for n in numbers if n is not None})
@@ -299,7 +343,7 @@ class Reader:
         texts_of = np.repeat(owner[telling], counts[seen])
         features = flat[ranges_of(counts[seen], starts[seen])]
         joined = [
-            (text, f) for text, word in spelled_out(words, each, owner) for f in self.of_word(word)
+            (text, f) for text, run in spelled_out(words, each, owner) for f in self.of_run(run)
         ]
         if joined:
             more = np.array(joined, np.int64)
