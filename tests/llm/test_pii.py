@@ -119,6 +119,16 @@ def test_sanitised(spark, odd, empty):
     assert pii.sanitised(empty).count() == 0
 
 
+def test_telling_terms_go_without_the_entity_too(spark):
+    rows = [*corpus(), "we met Zorblax there", "a kanan there"]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    spans = {r.doc_id: r.spans for r in pii.found(df).collect()}
+    clean = {r.doc_id: r.text for r in pii.sanitised(df).collect()}
+    n = len(rows)
+    assert (spans[n - 2], clean[n - 2]) == ("term:7:14", "we met [TERM] there")
+    assert (spans[n - 1], clean[n - 1]) == ("", rows[-1])
+
+
 def test_overlapping_spans_are_one():
     text = "call +1 4111 1111 1111 now"
     assert pii.replaced(text, [(5, 22, "phone"), (6, 22, "card")]) == "call [PHONE] now"

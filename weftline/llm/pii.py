@@ -14,7 +14,7 @@ term and ``n(e, t)`` of the term near the entity, among ``n`` documents,
 is the information that the term gives about the entity, as a share of all there is.
 1 means the term is found with this entity only. A term in at least ``MIN_CONTEXTS``
 different contexts of the entity whose disclosure reaches ``THRESHOLD`` is a span of kind
-``term`` wherever it stands in documents of that entity. Contexts are the
+``term`` wherever it stands, also in documents without that entity. Contexts are the
 ``CONTEXT_WORDS`` words on either side; copies of a context count once towards the minimum, so
 a copied text does not make its words telling.
 
@@ -210,7 +210,7 @@ def disclosing_terms(
     min_contexts: int = MIN_CONTEXTS,
     threshold: float = THRESHOLD,
 ) -> DataFrame:
-    """(text_key, terms): the telling terms of each text that holds a protected entity.
+    """(text_key, terms): the telling terms of each text that holds any.
 
     ``text_key`` is the 64-bit hash of the text.
     """
@@ -274,11 +274,16 @@ def disclosing_terms(
         )
         # An entity in every document gives nothing away that the corpus does not.
         .where(F.col("n_entity") < n)
-        .select("entity", "term")
+        .select("term")
+        .distinct()
     )
+    told = saved(told)
+    held = documents if not told.isEmpty() else documents.limit(0)
     return (
-        mentions.select("entity", "text_key").distinct()
-        .join(told, "entity")
+        held.select(
+            F.xxhash64(text_of(text)).alias("text_key"), F.explode(_terms_of(F.col(text))).alias("term")
+        )
+        .join(broadcast_if_few(told), "term")
         .groupBy("text_key")
         .agg(F.array_sort(F.collect_set("term")).alias("terms"))
     )
@@ -328,9 +333,11 @@ def found(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     """doc_id, counts of base spans, their digest, and all spans of every document."""
     telling = disclosing_terms(documents, text)
     rows = documents.select(
-        F.col(doc_id).alias("doc_id"), _suspects(text).alias("text")
+        F.col(doc_id).alias("doc_id"), text_of(text).alias("text")
     )
     rows = _with_terms(rows, telling, "text", "terms")
+    needed = F.when(F.col("terms").isNotNull(), F.col("text")).otherwise(_suspects("text"))
+    rows = rows.withColumn("text", needed)
     counts = ", ".join(f"n_{k} long" for k in KINDS)
     schema = f"doc_id {documents.schema[doc_id].dataType.simpleString()}, {counts}"
     return rows.mapInArrow(_counting, f"{schema}, base_sha256 string, spans string")
