@@ -19,7 +19,3 @@ def spark():
 def lines(spark):
     """A DataFrame of one ``value`` column."""
     return lambda *values: spark.createDataFrame([(v,) for v in values], "value string")
-
-
-def rows(df):
-    return sorted((tuple(r) for r in df.collect()), key=repr)

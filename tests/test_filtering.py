@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from collected import rows
 
 from weftline.operators import (
     distinct_keys,

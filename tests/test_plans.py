@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from collected import rows
 from pyspark.sql import functions as F
 
 from weftline.plans import block_sums, chain_metrics, count_bin_enrich, first_two_sum

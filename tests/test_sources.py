@@ -1,7 +1,7 @@
 import re
 
 import pytest
-from conftest import rows
+from collected import rows
 
 from weftline.functions.tokens import REGEX_SPACE
 from weftline.sources import (

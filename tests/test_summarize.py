@@ -4,7 +4,7 @@ import random
 import statistics
 
 import pytest
-from conftest import rows
+from collected import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
