@@ -2,9 +2,9 @@ import random
 
 import pytest
 
-from weftline.llm.common import ready
+from small_tables import SF
 
-SF = "/root/testdata/sf0.001"
+from weftline.llm.common import ready
 
 
 @pytest.fixture(autouse=True)

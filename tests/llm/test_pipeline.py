@@ -3,7 +3,7 @@ from collections import Counter
 import corpus_pipeline
 import public_tokenizers
 import pytest
-from conftest import SF
+from small_tables import SF
 from sentencepiece import SentencePieceProcessor
 
 from weftline.llm import mixing, order_minhash, pii, quality

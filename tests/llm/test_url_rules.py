@@ -1,7 +1,7 @@
 from itertools import combinations
 
 import pytest
-from conftest import SF  # noqa: F401
+from small_tables import SF  # noqa: F401
 
 from weftline.llm import url_rules
 
