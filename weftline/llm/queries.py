@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.llm import (
+    hard_negatives,
     mixing,
     multiset_hash,
     order_minhash,
@@ -70,6 +71,15 @@ def _url_rules(spark, sf):
     return url_rules.judge(_table(spark, sf, "pages"))
 
 
+def _hard_negatives(spark, sf):
+    """One label in seven is off by one."""
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10)
+    return hard_negatives.hard_negatives(
+        _table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0,
+        label=F.coalesce(shifted, "label"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": _toxicity,
@@ -82,6 +92,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_order_minhash": _order_minhash,
         "op9_url_rules": _url_rules,
         "op10_mixing": _mixing,
+        "op11_hard_negatives": _hard_negatives,
     }
 
 
@@ -89,4 +100,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op7_topk": topk.oracle_sql(),
         "op10_mixing": mixing.oracle_sql(),
+        "op11_hard_negatives": hard_negatives.oracle_sql(),
     }
