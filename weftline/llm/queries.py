@@ -15,6 +15,7 @@ from weftline.llm import (
     order_minhash,
     pii,
     quality,
+    spelling,
     suffix_pieces,
     token_files,
     topk,
@@ -80,6 +81,12 @@ def _hard_negatives(spark, sf):
     )
 
 
+def _spelling(spark, sf):
+    """One run of letters in 199 loses a letter first."""
+    words = spelling.vocabulary(_table(spark, sf, "documents"), cut_every=199)
+    return spelling.spelling_variants(words)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": _toxicity,
@@ -93,6 +100,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_url_rules": _url_rules,
         "op10_mixing": _mixing,
         "op11_hard_negatives": _hard_negatives,
+        "op13_spelling": _spelling,
     }
 
 
@@ -101,4 +109,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_topk": topk.oracle_sql(),
         "op10_mixing": mixing.oracle_sql(),
         "op11_hard_negatives": hard_negatives.oracle_sql(),
+        "op13_spelling": spelling.oracle_sql(),
     }
