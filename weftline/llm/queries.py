@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from weftline.llm import (
     hard_negatives,
+    jaccard_join,
     mixing,
     multiset_hash,
     order_minhash,
@@ -81,6 +82,10 @@ def _hard_negatives(spark, sf):
     )
 
 
+def _jaccard_join(spark, sf):
+    return jaccard_join.jaccard_classes(_table(spark, sf, "documents"))
+
+
 def _spelling(spark, sf):
     """One run of letters in 199 loses a letter first."""
     words = spelling.vocabulary(_table(spark, sf, "documents"), cut_every=199)
@@ -100,6 +105,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_url_rules": _url_rules,
         "op10_mixing": _mixing,
         "op11_hard_negatives": _hard_negatives,
+        "op12_jaccard_join": _jaccard_join,
         "op13_spelling": _spelling,
     }
 
@@ -109,5 +115,6 @@ def oracle_sql() -> dict[str, str]:
         "op7_topk": topk.oracle_sql(),
         "op10_mixing": mixing.oracle_sql(),
         "op11_hard_negatives": hard_negatives.oracle_sql(),
+        "op12_jaccard_join": jaccard_join.oracle_sql(),
         "op13_spelling": spelling.oracle_sql(),
     }
