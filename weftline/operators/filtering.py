@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.functions.tokens import split_trimmed
+from weftline.operators.bloom import bloom_filter
 from weftline.sizing import MAX_BROADCAST_BYTES, measured_size
 
 INLINE_HOTLIST_ROWS = 1000
@@ -37,8 +38,9 @@ def hotlist_filter(
     rows. A list of at most ``inline_rows`` entries becomes one array value that every
     row is checked against, without a shuffle. A longer one is joined with the tokens
     of each text, and the rows with the digests of the texts that were hit. The list
-    is broadcast within the limit, else the join is salted, since one token may be in
-    most texts. One action measures the list as it is given.
+    is broadcast within the limit. Else a Bloom filter of the list drops the tokens that
+    are not in it, but for a few, before the join shuffles the others, salted, since one token
+    may be in most texts. One action measures the list as it is given.
     """
     listed = hotlist.select(F.col(token).alias("token")).where("token <> ''")
     rows, size = measured_size(listed)
@@ -55,6 +57,7 @@ def hotlist_filter(
     if size <= max_broadcast_bytes:
         hits = tokens.join(F.broadcast(words), "token", "left_semi")
     else:
+        tokens = _may_be_listed(tokens, words, rows)
         salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         salted = words.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         salt = F.pmod(F.xxhash64("digest"), F.lit(salts)).cast("int")
@@ -63,6 +66,12 @@ def hotlist_filter(
     return df.join(hits, digest == hits["hit_digest"], "left_semi")
 
 
+def _may_be_listed(tokens: DataFrame, words: DataFrame, most: int) -> DataFrame:
+    """The tokens without most of those that are not in the list of at most ``most`` words."""
+    listed = bloom_filter(words, "token", most)
+    return tokens.where(listed.might_contain(F.col("token"))) if listed else tokens
+
+
 def top_n(
     df: DataFrame, n: int = 10, *, key: str = "id", payload: str = "body", order_by: str
 ) -> DataFrame:
