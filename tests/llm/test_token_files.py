@@ -1,10 +1,14 @@
+import json
 import zlib
 
 import numpy as np
 import public_tokenizers
-from hypothesis import given
+import pyarrow as pa
+import pytest
+from hypothesis import example, given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
+from xxhash import xxh64_intdigest
 
 from weftline.llm import token_files as M
 from weftline.llm.common import new_folder
@@ -21,7 +25,10 @@ def test_pack_and_unpack(numbers):
 
 def expected(rows):
     tokenizer = Tokenizer.from_file(PATH)
-    rows = sorted(((d, t or "") for d, t in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    rows = sorted(
+        ((d, t or "") for d, t in rows),
+        key=lambda r: (r[0] is not None, r[0] or 0, np.uint64(xxh64_intdigest(r[1], 42)).astype(np.int64)),
+    )
     start, out = 0, []
     for doc, text in rows:
         ids = [*tokenizer.encode(text, add_special_tokens=False).ids, 2]
@@ -31,6 +38,68 @@ def expected(rows):
     return out
 
 
+#: Special tokens, capitals, letters that change with their signs, signs, marks, white space.
+_ODD = [
+    "<|", "|>", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "the", "The", "THE", "it's", "a", "B",
+    "İ", "i", "ı", "ß", "É", "e\u0301", "H\u0331", "h\u0331", "J\u030c", "\u0301", "\u0307", "ﬁ", "ǅ", "Ω", "ς", "Σ",
+    "漢", "1", "42", "ª", "²", "K", ".", ",", "!", "?", "%", "&", "*", "$", "#", "|", "'", "'S", "'ll",
+    " ", "  ", "\n", "\r\n", "\t", "\x0b", "\x0c", "\x1c", "\x85", "\u00a0", "\u2003", "\u2028", "\u200b", "\ufeff",
+    "\x00", "_", "-", "`", "😀",
+]
+_tokenizer = Tokenizer.from_file(PATH)
+
+
+def same_ids(texts):
+    ids, lengths = M._encoder(PATH)(pa.array(texts))
+    want = [_tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    got = np.split(ids, np.cumsum(lengths)[:-1])
+    assert [g.tolist() for g in got] == want
+
+
+@settings(max_examples=1500, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(_ODD), max_size=12).map("".join), min_size=1, max_size=4))
+@example(["Hello <|im_start|> World"])
+@example(["OK <|x", "if a <| f then Print", "<|endoftext|>The End"])
+@example(["İ.", "İ!", "İ#", "H\u0331 T\u0308. W\u030a, Y\u030a"])
+def test_any_text(texts):
+    same_ids(texts)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(max_size=20), min_size=1, max_size=4))
+def test_any_characters(texts):
+    same_ids(texts)
+
+
+@pytest.mark.parametrize("change", [
+    lambda s: s["normalizer"]["normalizers"].pop(),
+    lambda s: s["added_tokens"][0].update(content="at last"),
+    lambda s: s["pre_tokenizer"]["pretokenizers"][0]["pattern"].update(Regex="[^ ]+"),
+])
+def test_other_tokenizer_files_encode_whole_texts(tmp_path, change):
+    with open(PATH) as file:
+        other = json.load(file)
+    change(other)
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(other))
+    texts = ["The END. at last one", "two, Three! \t", ""]
+    ids, lengths = M._encoder(str(path))(pa.array(texts))
+    tokenizer = Tokenizer.from_file(str(path))
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert ids.tolist() == sum(want, []) and lengths.tolist() == [len(w) for w in want]
+    assert M._cuts_words(PATH) and not M._cuts_words(str(path))
+    assert not M._cuts_words(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_a_third_of_all_rows_on_one_id_and_on_none(spark):
+    rows = [(None if i % 3 == 0 else 5 if i % 3 == 1 else i, f"text {i}.") for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert read(spark, df) == expected(rows)
+    folder = new_folder(spark, "token-files-test")
+    files = M.write_token_files(df, PATH, folder, parts=12)
+    assert max(r.documents for r in files.collect()) < 150
+
+
 def read(spark, df):
     return sorted((tuple(r) for r in M.token_files(spark, df, PATH).collect()), key=lambda r: r[1])
 

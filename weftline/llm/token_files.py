@@ -13,7 +13,8 @@ so decoding is two lookups in numpy tables: a control byte gives the places of i
 data bytes in four 32-bit ranks, and a rank gives its id.
 
 Documents are in ascending id order within and across files (null ids first, ties by
-text): one range shuffle by id and a sort per task. A task streams its blocks, writes to a
+a hash of the text): one range shuffle and a sort per task, so texts of one id, or without
+one, spread over files. A task streams its blocks, writes to a
 name of its own attempt and moves the file to its final name at the end, so a task that
 is lost or run twice leaves one whole file. Until all ids are counted the files are
 drafts, with the ids themselves under zstd. What comes to the driver: one count per id of
@@ -26,6 +27,7 @@ file and gives an empty result. Other columns are not read.
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import unicodedata
@@ -80,63 +82,101 @@ def unpack(control: np.ndarray, data: np.ndarray, n: int) -> np.ndarray:
     return out.view("<u4")[:n]
 
 
-_words: dict[str, WordIds] = {}
+#: The normaliser and the cuts of a tokenizer file whose words can be encoded apart.
+_NORMALIZER = [
+    {"type": "NFC"},
+    {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+    {"type": "Lowercase"},
+]
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
+#: Gives the joined ids of texts and how many each has.
+Encoder = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
+_encoders: dict[str, Encoder] = {}
 
-def _tokenizer_words(path: str) -> WordIds:
-    """The worker's memory of words for a tokenizer file; tasks of a worker share it."""
-    if path not in _words:
+
+def _encoder(path: str) -> Encoder:
+    """The encoder of a tokenizer file; tasks of a worker share what it remembers of words."""
+    if path not in _encoders:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         whole, bare = Tokenizer.from_file(path), Tokenizer.from_file(path)
+
+        def encode(tokenizer: Tokenizer, texts: list[str]) -> list[list[int]]:
+            return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+        def joined(found: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+            lengths = np.fromiter(map(len, found), np.int64, len(found))
+            return np.fromiter((i for ids in found for i in ids), np.int32, int(lengths.sum())), lengths
+
+        if not _cuts_words(path):
+            _encoders[path] = lambda texts: joined(encode(whole, texts.to_pylist()))
+            return _encoders[path]
         # For words that normalising and cutting leave as they are.
         bare.normalizer = normalizers.Sequence([])
         bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
 
-        def encode(parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        def encode_parts(parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
             plain = [_plain(p) for p in parts]
-            found = {}
+            found: dict[str, list[int]] = {}
             for flag, tokenizer in ((True, bare), (False, whole)):
                 some = [p for p, f in zip(parts, plain, strict=True) if f == flag]
-                ids = tokenizer.encode_batch_fast(some, add_special_tokens=False)
-                found.update(zip(some, (e.ids for e in ids), strict=True))
-            lengths = np.fromiter((len(found[p]) for p in parts), np.int64, len(parts))
-            flat = (i for p in parts for i in found[p])
-            return np.fromiter(flat, np.int32, int(lengths.sum())), lengths
+                found.update(zip(some, encode(tokenizer, some), strict=True))
+            return joined([found[p] for p in parts])
 
-        # Final punctuation of a word of letters, which this tokenizer never joins to it.
-        _words[path] = WordIds(encode, lambda words: halves(words, _TAIL, _letters), _MEMORY)
-    return _words[path]
+        # Final punctuation of a plain word, which the cuts never join to it.
+        words = WordIds(encode_parts, lambda words: halves(words, _TAIL, _plain), _MEMORY)
+        _encoders[path] = lambda texts: words(_words_of(texts))
+    return _encoders[path]
 
 
-def _plain(part: str) -> bool:
-    """Lower-case Latin letters only, each one character."""
-    return part.isalpha() and (
-        part.isascii()
-        or max(part) < "\u0250" and part.lower() == part
-        and unicodedata.is_normalized("NFC", part)
+def _cuts_words(path: str) -> bool:
+    """Whether the file normalises and cuts texts as ``_words_of`` and ``_plain`` take for granted.
+
+    Texts of any other file are encoded whole.
+    """
+    with open(path, encoding="utf-8") as file:
+        settings = json.load(file)
+    cuts = (settings["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+    split = {k: cuts[0].get(k) for k in ("type", "pattern", "behavior", "invert")}
+    added = settings["added_tokens"]
+    return (
+        (settings["normalizer"] or {}).get("normalizers") == _NORMALIZER
+        and split == {"type": "Split", "pattern": {"Regex": _SPLIT}, "behavior": "Removed", "invert": True}
+        and [c.get("type") for c in cuts[1:]] == ["ByteLevel"]
+        and not cuts[1]["add_prefix_space"] and not cuts[1]["use_regex"]
+        and settings["model"]["type"] == "BPE" and not settings["model"]["dropout"]
+        and all(
+            t["content"].startswith("<|") and not any(c.isspace() for c in t["content"])
+            and not (t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"])
+            for t in added
+        )
     )
 
 
-def _letters(body: str) -> bool:
-    return body.isalpha() and max(body) < "\u0250"
+def _plain(part: str) -> bool:
+    """Lower-case Latin letters only, each one character, which normalising leaves as they are."""
+    return part.isalpha() and part.lower() == part and (
+        part.isascii() or max(part) < "\u0250" and unicodedata.is_normalized("NFC", part)
+    )
 
 
 def _words_of(texts: pa.Array) -> pa.ListArray:
     """Cut at white space at which the tokenizer cuts too; what other there is stays.
 
-    A-Z are lower-cased, as the tokenizer does, but for texts that may name a special token.
+    A-Z are lower-cased, as the tokenizer does, but for texts that may name a special token, and
+    for texts with marks: some join a small letter and not the capital.
     """
-    special = pc.match_substring(texts, "<|")
-    lower = pc.if_else(special, texts, pc.ascii_lower(texts))
+    kept = pc.match_substring_regex(texts, r"<\||\p{M}")
+    lower = pc.if_else(kept, texts, pc.ascii_lower(texts))
     return pc.split_pattern(pc.replace_substring(lower, "\n", " "), " ")
 
 
 def _encoded(batches, path: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    words = _tokenizer_words(path)
+    encode = _encoder(path)
     for batch, texts in slices(batches, size=_CHUNK):
-        yield batch, *words(_words_of(texts))
+        yield batch, *encode(texts)
 
 
 def _store(folder: str) -> tuple[pafs.FileSystem, str]:
@@ -266,8 +306,9 @@ def write_token_files(
     rows = documents.select("doc_id", text_of("text").alias("text"))
     store, base = _store(folder)
     store.create_dir(base, recursive=True)
-    ordered = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
-    drafted = saved(ordered.mapInArrow(_drafting(path, folder, end_id), _DRAFTED))
+    ordered = rows.withColumn("hash", F.xxhash64("text"))
+    ordered = ordered.repartitionByRange(parts, "doc_id", "hash").sortWithinPartitions("doc_id", "hash", "text")
+    drafted = saved(ordered.drop("hash").mapInArrow(_drafting(path, folder, end_id), _DRAFTED))
     counts = drafted.where("id is not null").groupBy("id").agg(F.sum("n").alias("n")).collect()
     ranks = sorted(counts, key=lambda r: (-r["n"], r["id"]))
     with store.open_output_stream(f"{base}/{_RANKS}") as out:
