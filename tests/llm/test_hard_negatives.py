@@ -66,6 +66,25 @@ def test_blocks_and_ties(spark, monkeypatch):
     assert run(spark, rows) == want
 
 
+@pytest.fixture
+def many_partitions(spark):
+    names = ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")
+    before = {n: spark.conf.get(n) for n in names}
+    for n, value in zip(names, ("false", "37"), strict=True):
+        spark.conf.set(n, value)
+    yield
+    for n, value in before.items():
+        spark.conf.set(n, value)
+
+
+def test_blocks_meet_over_many_partitions(spark, many_partitions, monkeypatch):
+    monkeypatch.setattr(H, "BLOCK", 100)
+    monkeypatch.setattr(H, "ANCHOR_BLOCK", 3)
+    rows = vectors(600, 8, 5)
+    want = brute(rows)
+    assert want and run(spark, rows) == want
+
+
 def test_hot_row(spark, monkeypatch):
     """A third of all rows is one row, and a third has one vector."""
     monkeypatch.setattr(H, "BLOCK", 50)

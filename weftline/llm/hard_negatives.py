@@ -41,7 +41,7 @@ from weftline.llm.common import saved
 from weftline.llm.topk import SCALE, integer_vector, usable
 
 #: Vectors in a block of lists and anchors in a block of anchors, on average.
-BLOCK = 8192
+BLOCK = 2048
 ANCHOR_BLOCK = 4096
 #: Entries of each list that are read first; each further step reads twice as many.
 FIRST_DEPTH = 8
@@ -156,10 +156,13 @@ def _searched(k: int, same_label: bool) -> Callable[[pd.DataFrame, pd.DataFrame]
 
 
 def _numbered(rows: DataFrame, name: str, blocks: int, others: int) -> DataFrame:
-    """Rows with their own block, once for each of the other side's blocks."""
+    """Rows with their own block, once for each of the other side's blocks.
+
+    Both numbers are ints on both sides: a cogroup deals its keys by their types.
+    """
     other = "anchor_block" if name == "block" else "block"
     return rows.withColumn(
-        name, F.pmod(F.xxhash64("vec_id", "vector", F.lit(name)), F.lit(blocks))
+        name, F.pmod(F.xxhash64("vec_id", "vector", F.lit(name)), F.lit(blocks)).cast("int")
     ).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(others - 1))))
 
 
