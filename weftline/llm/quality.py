@@ -5,27 +5,37 @@ prior ``pi``, the risk of a scorer g is
 
     pi * E_P[loss(g)] + max(0, E_U[loss(-g)] - pi * E_P[loss(-g)])
 
-The second part estimates the risk on negatives; it cannot be below zero, and where a
-batch makes it so, the step goes the other way to undo the overfit. The loss is the
-sigmoid of -g. The prior is estimated from the share of positives among all labelled rows of
-the training folds.
-
-The scorer is a small network over ``FEATURES`` numbers of the whole text: how often
+The second part estimates the risk on negatives; it cannot be below zero. The loss of a margin z is
+``(1 - z)**2 / 4``, and g is linear in ``phi``: ``FEATURES`` numbers of the whole text (how often
 classes of bytes follow each other, how many words are new or repeat the one before,
-and sizes. It sees nothing but the text.
+and sizes) and ``_HIDDEN`` fixed random combinations of them. So the risk is a function of the
+first and second moments of phi on P and U alone. Those of U are sums over *all* documents of the
+training folds, one pass in tasks. Numbers are whole multiples of ``1 / _UNIT``, so sums are exact
+and do not depend on how rows are dealt.
+
+The risk is convex, and its least point is found exactly: without the bound it solves one linear
+system; if the second part is below zero there, the least point lies where that part is zero,
+which is found by bisection over systems in which it weighs less.
+
+The prior is estimated from P and U as well. The least squares fit r of the density ratio P / U is
+at most ``1 / pi``, and equal to it where no negatives are, so ``1 / E_P[r]`` estimates pi if the
+classes hardly overlap, and is above it otherwise. r is fitted to one half of P and averaged
+over the other, which takes the noise of either out of their product.
 
-It is fitted on a bounded sample, by hash of the id: about ``MAX_POSITIVES`` trusted and
-``MAX_UNLABELLED`` unlabelled documents of the training folds. The prior counts all labels,
-and every document is scored.
+Last, the margin from which a document is accepted is the one of the least non-negative risk
+of the 0-1 loss, over all documents of the training folds (of equal ones the middle): a pass that
+counts margins in ``_BINS`` classes. The scorer sees nothing but the text.
+
+It is fitted with a bounded sample of the labels, by hash of the id: about ``MAX_POSITIVES``
+trusted documents of the training folds. Unlabelled text is not sampled.
 
 Null texts read as empty. Rows of a document that repeat are scored alike. A document
-with several labels counts as positive if one of them is. Without positives the score is
-the prior, 0.5 without labels. Empty tables give an empty result. Other columns play no part.
+with several labels counts as positive if one of them is. Without positives, or without texts
+of theirs, all scores are 0.5. Empty tables give an empty result. Other columns play no part.
 """
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -39,15 +49,19 @@ from weftline.llm.common import free_name, replaced_column, text_of
 from weftline.llm.word_ids import chunks
 
 MAX_POSITIVES = 8_000
-MAX_UNLABELLED = 16_000
 THRESHOLD = 0.5
-_HIDDEN = 32
-_STEPS = 1000
-_BATCH = 512
-_RATE = 3e-3
-_DECAY = 1e-2
-#: A step against an overfit batch is this much smaller.
-_BACK = 0.3
+#: Random combinations of the numbers, and what is added to second moments.
+_HIDDEN = 64
+_RIDGE = 3e-3
+_SEED = 1
+#: Parts of one in which phi is counted.
+_UNIT = 4096
+#: Classes of margins from -2 to 2.
+_BINS = 4096
+#: Slope of the score at the threshold.
+_STEEP = 4.0
+#: Tasks that add up the sums of all others.
+_SUMS = 8
 
 #: Classes of bytes. What is in no class, from 0x80 on, is the last class.
 _CLASSES = (
@@ -97,75 +111,136 @@ def _word_numbers(text: str) -> tuple[float, ...]:
     )
 
 
+class Basis:
+    """phi: one, the numbers scaled by those of the positives, and random combinations of them."""
+
+    def __init__(self, positives: np.ndarray):
+        self.mean, self.spread = positives.mean(0), positives.std(0) + 0.01
+        random = np.random.default_rng(_SEED)
+        self.mix = random.normal(0, FEATURES**-0.5, (FEATURES, _HIDDEN))
+        self.shift = random.normal(0, 1, _HIDDEN)
+
+    def of(self, rows: np.ndarray) -> np.ndarray:
+        """Whole numbers, in parts of ``_UNIT``."""
+        scaled = np.clip((rows - self.mean) / self.spread, -5, 5)
+        phi = np.hstack([
+            np.ones((len(rows), 1)), scaled / 5, np.tanh(scaled @ self.mix + self.shift)
+        ])
+        return np.rint(phi * _UNIT)
+
+
 @dataclass
-class Scorer:
-    """Features are scaled by ``mean`` and ``spread``; then one hidden layer."""
+class Moments:
+    """Sums over some documents; ``second`` has those of products, with the constant one first."""
+
+    second: np.ndarray
+
+    @classmethod
+    def of(cls, phi: np.ndarray) -> Moments:
+        return cls((phi.T @ phi).astype(np.int64))
+
+    @property
+    def gram(self) -> np.ndarray:
+        return self.second / self.second[0, 0]
+
+    @property
+    def mean(self) -> np.ndarray:
+        return self.gram[0]
+
+
+def class_prior(half: np.ndarray, other: np.ndarray, gram: np.ndarray) -> float:
+    """Share of positives, from the means of two halves of P and the second moments of U."""
+    ratio = np.linalg.solve(gram + _RIDGE * np.eye(len(gram)), half)
+    return float(np.clip(1 / max(other @ ratio, 1e-9), 0.01, 0.99))
+
+
+def least_risk(p: Moments, u: Moments, prior: float) -> np.ndarray:
+    """Weights of the scorer with the least non-negative risk."""
+    ridge = _RIDGE * np.eye(len(u.second))
+
+    def negative(w: np.ndarray) -> float:
+        def squared(m: Moments) -> float:
+            return (w @ m.gram @ w + 2 * m.mean @ w + 1) / 4
 
-    mean: np.ndarray
-    spread: np.ndarray
-    weights: list[np.ndarray]
+        return squared(u) - prior * squared(p)
 
-    def scaled(self, rows: np.ndarray) -> np.ndarray:
-        return np.clip((rows - self.mean) / self.spread, -5, 5)
+    def solved(less: float) -> np.ndarray:
+        """The least point if the risk on negatives weighs ``1 - less``."""
+        left = less * prior * p.gram + (1 - less) * u.gram + ridge
+        return np.linalg.solve(left, prior * p.mean - (1 - less) * (u.mean - prior * p.mean))
 
-    def margin(self, scaled: np.ndarray) -> np.ndarray:
-        a, b, c, d = self.weights
-        return np.tanh(scaled @ a + b) @ c + d
+    weights = solved(0.0)
+    if negative(weights) >= 0:
+        return weights
+    low, high = 0.0, 1.0
+    for _ in range(50):
+        middle = (low + high) / 2
+        low, high = (middle, high) if negative(solved(middle)) < 0 else (low, middle)
+    return solved(high)
+
+
+def best_cut(p: np.ndarray, u: np.ndarray, prior: float) -> float:
+    """The margin of the least non-negative 0-1 risk, from counts of P and U by class of margin."""
+    above_p = np.append(np.cumsum(p[::-1])[::-1], 0) / max(p.sum(), 1)
+    above_u = np.append(np.cumsum(u[::-1])[::-1], 0) / max(u.sum(), 1)
+    risk = prior * (1 - above_p) + np.maximum(0, above_u - prior * above_p)
+    best = np.flatnonzero(risk <= risk.min() + 1e-12)
+    return float((best[0] + best[-1]) / 2 * 4 / len(p) - 2)
+
+
+@dataclass
+class Scorer:
+    basis: Basis
+    weights: np.ndarray
+    cut: float = 0.0
+
+    def margin(self, rows: np.ndarray) -> np.ndarray:
+        return self.basis.of(rows) / _UNIT @ self.weights
+
+    def bins(self, rows: np.ndarray) -> np.ndarray:
+        """How many rows have a margin of each class."""
+        places = np.floor((self.margin(rows) + 2) * _BINS / 4).astype(np.int64)
+        return np.bincount(np.clip(places, 0, _BINS - 1), minlength=_BINS)
 
     def score(self, rows: np.ndarray) -> np.ndarray:
-        margin = self.margin(self.scaled(rows)).astype(np.float64)
-        return 1 / (1 + np.exp(-np.clip(margin, -50, 50)))
-
-
-def _gradients(scorer: Scorer, rows: np.ndarray, slope: np.ndarray) -> list[np.ndarray]:
-    """Of sum(slope * margin)."""
-    a, b, c, _ = scorer.weights
-    hidden = np.tanh(rows @ a + b)
-    back = slope[:, None] * c[None, :] * (1 - hidden**2)
-    return [rows.T @ back, back.sum(0), hidden.T @ slope, slope.sum()]
-
-
-def fit(positives: np.ndarray, unlabelled: np.ndarray, prior: float, seed: int = 1) -> Scorer:
-    """Minimises the non-negative risk by Adam over random batches."""
-    random = np.random.default_rng(seed)
-    mean, spread = unlabelled.mean(0), unlabelled.std(0) + 1e-3
-    shapes = [(FEATURES, _HIDDEN), (_HIDDEN,), (_HIDDEN,), ()]
-    start = [random.normal(0, s[0] ** -0.5, s) if s else np.float64(0) for s in shapes]
-    start[1] = np.zeros(_HIDDEN)
-    scorer = Scorer(mean, spread, start)
-    positives, unlabelled = scorer.scaled(positives), scorer.scaled(unlabelled)
-    first = [np.zeros_like(w) for w in start]
-    second = [np.zeros_like(w) for w in start]
-    for step in range(1, _STEPS + 1):
-        p = positives[random.integers(0, len(positives), _BATCH)]
-        u = unlabelled[random.integers(0, len(unlabelled), _BATCH)]
-        rows = np.vstack([p, u])
-        wrong = 1 / (1 + np.exp(np.clip(scorer.margin(rows), -50, 50)))  # loss of a positive
-        wrong_p, wrong_u = wrong[:_BATCH], wrong[_BATCH:]
-        negative = (1 - wrong_u).mean() - prior * (1 - wrong_p).mean()
-        # The loss as a negative is 1 - wrong; the slope of wrong is -wrong * (1 - wrong).
-        rise_p, rise_u = wrong_p * (1 - wrong_p) / _BATCH, wrong_u * (1 - wrong_u) / _BATCH
-        if negative >= 0:
-            slope = np.concatenate([-2 * prior * rise_p, rise_u])
-        else:
-            slope = _BACK * np.concatenate([prior * rise_p, -rise_u])
-        found = _gradients(scorer, rows, slope)
-        rate = _RATE * (1 - step / (_STEPS + 1))
-        for i, g in enumerate(found):
-            g = g + _DECAY * scorer.weights[i]
-            first[i] = 0.9 * first[i] + 0.1 * g
-            second[i] = 0.999 * second[i] + 0.001 * g * g
-            move = first[i] / (1 - 0.9**step) / (np.sqrt(second[i] / (1 - 0.999**step)) + 1e-8)
-            scorer.weights[i] = scorer.weights[i] - rate * move
-    return scorer
+        # Rounded, as the last bits of a product depend on how many rows it is made for.
+        above = np.round(self.margin(rows) - self.cut, 9)
+        return 1 / (1 + np.exp(-_STEEP * above))
 
 
 def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch, texts in chunks(batches):
-        rows = features(texts)
-        flags = batch.column(batch.schema.get_field_index("trusted"))
-        raw = pa.array([r.tobytes() for r in rows], pa.binary())
-        yield pa.RecordBatch.from_arrays([flags, raw], ["trusted", "numbers"])
+    for _, texts in chunks(batches):
+        raw = pa.array([r.tobytes() for r in features(texts)], pa.binary())
+        yield pa.RecordBatch.from_arrays([raw], ["numbers"])
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sum of all rows of 64-bit numbers of a partition, if there are any."""
+    total = None
+    for batch in batches:
+        for raw in batch.column(0):
+            one = np.frombuffer(raw.as_buffer(), np.int64)
+            total = one.copy() if total is None else total + one
+    if total is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
+
+
+def total(texts: DataFrame, of: Callable[[np.ndarray], np.ndarray]) -> np.ndarray | None:
+    """The sum of ``of(features)`` over all texts, an array of 64-bit integers.
+
+    One row a task, added up by ``_SUMS`` tasks, whose rows come to the driver. None without texts.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = None
+        for _, some in chunks(batches):
+            one = of(features(some))
+            found = one if found is None else found + one
+        if found is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([found.tobytes()], pa.binary())], ["sums"])
+
+    parts = texts.select("text").mapInArrow(run, "sums binary").repartition(_SUMS)
+    rows = parts.mapInArrow(_summed, "sums binary").collect()
+    return sum(np.frombuffer(r["sums"], np.int64) for r in rows) if rows else None
 
 
 def fold(doc_id: Column, folds: int) -> Column:
@@ -183,48 +258,36 @@ def _share(wanted: int, rows: int, seed: int, *of: str) -> Column:
 
 def trained(
     documents: DataFrame, labels: DataFrame, training: Callable[[Column], Column]
-) -> tuple[Scorer | None, float]:
-    """The scorer and the prior, from the rows for which ``training(doc_id)`` is true."""
-    known = labels.where(training(F.col("doc_id")) & F.col("quality").isNotNull())
-    known = known.groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    total, good = known.agg(
-        F.count("*"), F.coalesce(F.sum((F.col("quality") == 1).cast("long")), F.lit(0))
-    ).first()
-    prior = min(max(good / total, 0.01), 0.99) if total else 0.5
-    if not good:
-        return None, prior
-    trusted = known.where((F.col("quality") == 1) & _share(MAX_POSITIVES, good, 1, "doc_id"))
-    trusted = F.broadcast(trusted.select("doc_id", F.lit(True).alias("trusted")))
+) -> Scorer | None:
+    """The scorer, from the rows for which ``training(doc_id)`` is true; None without positives."""
+    good = labels.where(training(F.col("doc_id")) & (F.col("quality") == 1)).select("doc_id").distinct()
+    n_good = good.count()
+    trusted = F.broadcast(good.where(_share(MAX_POSITIVES, n_good, 1, "doc_id")))
     pool = documents.where(training(F.col("doc_id"))).select("doc_id", text_of("text").alias("text"))
-    unlabelled = _share(MAX_UNLABELLED, pool.select("doc_id").count(), 2, "doc_id")
-    sample = (
-        pool.join(trusted, "doc_id", "left")
-        .withColumn("roles", F.concat(
-            F.when(F.col("trusted"), F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>")),
-            F.when(unlabelled, F.array(F.lit(False))).otherwise(F.array().cast("array<boolean>")),
-        ))
-        .select("text", F.explode("roles").alias("trusted"))
-    )
-    rows = sample.mapInArrow(_featured, "trusted boolean, numbers binary").collect()
-    groups = {
-        flag: np.array(
-            sorted(bytes(r["numbers"]) for r in rows if r["trusted"] == flag), dtype=object
-        )
-        for flag in (True, False)
-    }
-    if not len(groups[True]) or not len(groups[False]):
-        return None, prior
-    read = functools.partial(np.frombuffer, dtype=np.float32)
-    return fit(
-        np.stack([read(x) for x in groups[True]]).astype(np.float64),
-        np.stack([read(x) for x in groups[False]]).astype(np.float64),
-        prior,
-    ), prior
+    rows = pool.join(trusted, "doc_id", "left_semi").select("text").mapInArrow(_featured, "numbers binary")
+    raw = sorted(bytes(r["numbers"]) for r in rows.collect()) if n_good else []
+    if not raw:
+        return None
+    positives = np.stack([np.frombuffer(r, np.float32) for r in raw]).astype(np.float64)
+    basis = Basis(positives)
+    phi = basis.of(positives)
+
+    def products(some: np.ndarray) -> np.ndarray:
+        return Moments.of(basis.of(some.astype(np.float64))).second.ravel()
+
+    p = Moments.of(phi)
+    u = Moments(total(pool, products).reshape(p.second.shape))
+    # Of a single positive both halves are that one.
+    halves = phi[::2], phi[1::2] if len(phi) > 1 else phi
+    prior = class_prior(*(h.mean(0) / _UNIT for h in halves), u.gram)
+    scorer = Scorer(basis, least_risk(p, u, prior))
+    margins = total(pool, lambda some: scorer.bins(some.astype(np.float64)))
+    scorer.cut = best_cut(scorer.bins(positives), margins, prior)
+    return scorer
 
 
 def with_score(
-    documents: DataFrame, scorer: Scorer | None, prior: float, text: str = "text",
-    to: str = "quality_score",
+    documents: DataFrame, scorer: Scorer | None, text: str = "text", to: str = "quality_score"
 ) -> DataFrame:
     """``documents`` with the score in ``to``, which replaces a column of that name."""
     kept = [f for f in documents.schema if f.name != to]
@@ -232,7 +295,7 @@ def with_score(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in chunks(batches, text):
-            scores = scorer.score(features(texts)) if scorer else np.full(len(texts), prior)
+            scores = scorer.score(features(texts).astype(np.float64)) if scorer else np.full(len(texts), 0.5)
             yield replaced_column(batch, to, pa.array(scores, pa.float64()))
 
     return documents.mapInArrow(run, schema)
@@ -248,8 +311,8 @@ def _training(doc_id: Column) -> Column:
 
 def scored(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted of every document."""
-    scorer, prior = trained(documents, labels, _training)
-    out = with_score(documents.select("doc_id", "text"), scorer, prior)
+    scorer = trained(documents, labels, _training)
+    out = with_score(documents.select("doc_id", "text"), scorer)
     held = F.coalesce(fold(F.col("doc_id"), FOLDS) == HELD_OUT, F.lit(False))
     return out.select(
         "doc_id",
@@ -261,7 +324,7 @@ def scored(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 def kept(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the classifier does not reject; same columns."""
-    scorer, prior = trained(documents, labels, _training)
+    scorer = trained(documents, labels, _training)
     name = free_name(documents, "quality_score")
-    out = with_score(documents, scorer, prior, to=name)
+    out = with_score(documents, scorer, to=name)
     return out.where(F.col(name) >= THRESHOLD).drop(name)
