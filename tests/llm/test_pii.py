@@ -1,7 +1,9 @@
 import hashlib
+import math
 import random
 import re
 import time
+from collections import Counter, defaultdict
 
 import pytest
 
@@ -80,28 +82,78 @@ def corpus():
         return " ".join(rnd.choices(words, k=n))
 
     rows = [f"{prose(20)}" for _ in range(200)]
-    # Zorblax stands by one address in other words each time, kanan by all.
-    rows += [f"{prose(4)} Zorblax kanan zed@example.com {prose(4)}" for _ in range(5)]
+    # Zorblax stands by one address in other words each time, far from it, kanan by all.
+    rows += [f"{prose(4)} Zorblax kanan {prose(30)} zed@example.com {prose(4)}" for _ in range(5)]
     rows += [f"{prose(4)} kanan ann@example.com {prose(4)}" for _ in range(5)]
-    # A text that was copied does not make its words telling.
-    rows += ["quux veritas corge max@example.com grault"] * 6
+    # Two words of one text with an address, one of which another text has, too.
+    rows += [f"quux veritas {prose(3)} max@example.com"] * 6 + [f"{prose(5)} veritas"]
+    # Half of the texts with this word have the address, three in four with the other.
+    rows += [f"{prose(3)} halfway mostly ned@example.com {prose(2)}" for _ in range(3)]
+    rows += [f"halfway {prose(7)}" for _ in range(3)] + [f"mostly {prose(6)}"]
+    # A word of the address itself is counted where it stands alone only.
+    rows += ["only ursula@example.com lorop", "ursula lorop"]
     return rows
 
 
+def telling(texts):
+    """Terms that tell, from all texts, by the formula."""
+    different = sorted(set(t or "" for t in texts))
+    words = [set(re.findall(r"[^\W\d_]{3,}", t.lower())) for t in different]
+    bare = [set(re.findall(r"[^\W\d_]{3,}", pii.blanked(t).lower())) for t in different]
+    n_term = Counter(w for some in words for w in some)
+    of = defaultdict(set)
+    for i, t in enumerate(different):
+        for span in pii.base_spans(t):
+            of[pii._entity(t, span)].add(i)
+    told = set()
+    for texts_of in of.values():
+        p = len(texts_of) / len(different)
+        for w, both in Counter(w for i in texts_of for w in bare[i]).items():
+            left = -math.log2((both + 0.5 * p) / (n_term[w] + 0.5))
+            if p < 1 and left <= min(0.75, 0.2 * -math.log2(p)):
+                told.add(w)
+    return told
+
+
 def test_terms_that_disclose(spark):
     rows = list(enumerate(corpus()))
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    told = {tuple(r.terms) for r in pii.disclosing_terms(df).collect()}
-    assert told == {("zorblax",)}
+    told = {w for r in pii.disclosing_terms(df).collect() for w in r.terms}
+    assert told == telling(t for _, t in rows) == {"zorblax", "quux", "mostly", "only"}
     spans = {r.doc_id: r for r in pii.found(df).collect()}
     for i, text in rows:
         base = brute(text)
-        at = text.find("Zorblax")
-        want = sorted([*base, *([(at, at + 7, "term")] if at >= 0 else [])])
-        assert spans[i].spans == pii.rendered(want)
+        terms = [
+            (m.start(), m.end(), "term") for m in re.finditer("[A-Za-z]+", text) if m[0].lower() in told
+        ]
+        assert spans[i].spans == pii.rendered(sorted([*base, *terms]))
         assert spans[i].base_sha256 == hashlib.sha256(pii.rendered(base).encode()).hexdigest()
 
 
+def test_terms_of_the_tables(spark, documents, odd):
+    for df in (documents, odd):
+        texts = [r.text for r in df.select("text").collect()]
+        told = {w for r in pii.disclosing_terms(df).collect() for w in r.terms}
+        assert told == telling(texts) and told
+
+
+def test_many_terms_and_texts_are_not_broadcast(spark, documents, monkeypatch):
+    want = sorted(pii.found(documents).collect())
+    monkeypatch.setattr(pii, "broadcast_if_few", lambda df: df)
+    assert sorted(pii.found(documents).collect()) == want
+
+
+def test_an_entity_of_all_texts_tells_nothing(spark):
+    rows = [(i, f"word{'abcdefghij'[i % 10]} alpha own{'xyz'[i % 3]} hot@example.com") for i in range(90)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert pii.disclosing_terms(df).count() == 0
+    # One of many texts gives little more away, unless a word is surely with it.
+    more = [(100 + i, f"ownx beta{'abcdefghij'[i]}") for i in range(10)]
+    df = spark.createDataFrame(rows + more, "doc_id long, text string")
+    told = {w for r in pii.disclosing_terms(df).collect() for w in r.terms}
+    assert told == telling(t for _, t in rows + more) and "ownx" not in told
+
+
 def test_sanitised(spark, odd, empty):
     df = spark.createDataFrame(
         [(i, t, "x") for i, t in enumerate(corpus())], "doc_id long, text string, terms string"
@@ -109,10 +161,11 @@ def test_sanitised(spark, odd, empty):
     out = {r.doc_id: r for r in pii.sanitised(df).collect()}
     for i, text in enumerate(corpus()):
         if "@" not in text:
-            assert out[i].text == text
+            assert out[i].text == text.replace("mostly", "[TERM]")
         else:
             assert "[EMAIL]" in out[i].text and not brute(out[i].text)
             assert ("[TERM] kanan" in out[i].text) == ("Zorblax" in text)
+            assert ("kanan" in out[i].text) == ("kanan" in text)
     clean = pii.sanitised(odd)
     assert clean.schema == odd.schema and clean.count() == odd.count()
     assert not any(brute(r.text or "") for r in clean.collect())

@@ -12,23 +12,30 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Largest side that an operator marks for broadcast, after measuring it.
+#: Largest side that an operator marks for broadcast, after measuring it: rows, and bytes as JSON.
 MAX_BROADCAST_ROWS = 200_000
+MAX_BROADCAST_BYTES = 32 << 20
+
+_own_folders: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only a local session that names none gets one of its own; elsewhere a missing
-    setting is an error, since a machine's own folder would lose files.
+    A session without it, as in tests, gets a folder of its own if driver and executors are one
+    process; elsewhere a missing setting is an error, since a machine's own folder would lose
+    files. No setting is changed. What operators write below it stays after them, as results
+    may be read at any time: the folder is the caller's to empty.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = "file://" + tempfile.mkdtemp(prefix="weftline-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    application = spark.sparkContext.applicationId
+    if application not in _own_folders:
+        _own_folders[application] = "file://" + tempfile.mkdtemp(prefix="weftline-")
+    return _own_folders[application]
 
 
 def ready(spark: SparkSession) -> SparkSession:
@@ -57,9 +64,15 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def broadcast_if_few(df: DataFrame, rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if a count of at most ``rows + 1`` rows allows it."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def broadcast_if_few(
+    df: DataFrame, rows: int = MAX_BROADCAST_ROWS, size: int = MAX_BROADCAST_BYTES
+) -> DataFrame:
+    """``df`` marked for broadcast if one job finds at most ``rows`` rows of ``size`` bytes in all."""
+    width = F.coalesce(F.octet_length(F.to_json(F.struct("*"))), F.lit(0)).cast("bigint")
+    found = df.limit(rows + 1).select(width.alias("width")).agg(
+        F.count("*"), F.coalesce(F.sum("width"), F.lit(0))
+    ).first()
+    return F.broadcast(df) if found[0] <= rows and found[1] <= size else df
 
 
 def text_of(name: str) -> Column:

@@ -5,18 +5,23 @@ patterns of the contract, leftmost and without overlap per kind. A match that fa
 its check is dropped and not tried again. The finders read each character a bounded number
 of times, also in texts of one endless run of digits.
 
-A term near an entity can name it without the pattern. How strongly is estimated from
-co-occurrence in the whole corpus: with documents ``n(e)`` of an entity, ``n(t)`` of a
-term and ``n(e, t)`` of the term near the entity, among ``n`` documents,
+A term can name an entity without the pattern. How strongly is estimated from co-occurrence in
+the texts of the whole corpus, each different text counted once: ``n(e)`` hold an entity, ``n(t)``
+a term, ``n(e, t)`` both, the term outside of all spans, among ``n``. The chance that a
+text with the term holds the entity is drawn towards that of any text by ``PRIOR`` texts,
 
-    disclosure = log(n * n(e, t) / (n(e) * n(t))) / log(n / n(e))
+    p(e) = n(e) / n        p(e | t) = (n(e, t) + PRIOR * p(e)) / (n(t) + PRIOR)
 
-is the information that the term gives about the entity, as a share of all there is.
-1 means the term is found with this entity only. A term in at least ``MIN_CONTEXTS``
-different contexts of the entity whose disclosure reaches ``THRESHOLD`` is a span of kind
-``term`` wherever it stands, also in documents without that entity. Contexts are the
-``CONTEXT_WORDS`` words on either side; copies of a context count once towards the minimum, so
-a copied text does not make its words telling.
+so few texts tell less than many. Of the ``-log2 p(e)`` bits that name the entity, the term
+leaves ``-log2 p(e | t)``. A term that leaves at most ``MOST_LEFT`` bits, and at most
+``SHARE_LEFT`` of all there are, is a span of kind ``term`` wherever it stands, also in texts
+without that entity. Both limits are the same at every size of the corpus. With them a word
+of one text only, which holds the entity, is telling; a word of two texts if the entity is in
+both; of four if it is in three. An entity of all texts makes no word telling. Terms are words
+of three letters or more, in lower case.
+
+Entities and terms whose best possible estimate misses the limits are left out before they are
+joined, which changes no result.
 
 ``sanitised`` generalises spans to the names of their kinds.
 
@@ -36,15 +41,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.llm.common import broadcast_if_few, free_name, saved, text_of
+from weftline.llm.common import broadcast_if_few, free_name, replaced_column, saved, text_of
 from weftline.llm.word_ids import chunks
+from weftline.operators.bloom import bloom_filter
 
 #: The kinds in their order, as in the contract.
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
-CONTEXT_WORDS = 8
-MIN_CONTEXTS = 3
-THRESHOLD = 0.8
+#: Texts of prior belief, bits that a telling term may leave at most, and the share of all bits.
+PRIOR = 0.5
+MOST_LEFT = 0.75
+SHARE_LEFT = 0.2
 #: What an entity needs at least one of; other texts are not sent to Python.
 MAY_HOLD = "[0-9@]"
 _TERMS = r"(\p{L}{3,})"
@@ -161,40 +168,35 @@ def _entity(text: str, span: Span) -> str:
     return f"{kind}:{value.lower() if kind in ('email', 'ip') else _NOT_DIGIT.sub('', value)}"
 
 
-def _context(text: str, span: Span, spans: list[Span]) -> str:
-    """The words around a span, spans left out."""
-    width = 40 * CONTEXT_WORDS
-    left = replaced_by_space(text, max(0, span[0] - width), span[0], spans).split()
-    right = replaced_by_space(text, span[1], span[1] + width, spans).split()
-    return " ".join([*left[-CONTEXT_WORDS:], *right[:CONTEXT_WORDS]])
-
-
-def replaced_by_space(text: str, start: int, end: int, spans: list[Span]) -> str:
-    """``text[start:end]`` with a space for each span in it."""
-    parts, at = [], start
-    for a, b, _ in spans:
-        if b > start and a < end:
-            parts.append(text[at:max(a, at)])
-            at = max(at, b)
-    return " ".join([*parts, text[at:end]] if at < end else parts)
+def blanked(text: str) -> str:
+    """``text`` with a space for each base span."""
+    parts, at = [], 0
+    for start, end, _ in _merged(base_spans(text)):
+        parts.append(text[at:start])
+        at = end
+    return " ".join([*parts, text[at:]])
 
 
 def _mentions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The different entities of each text."""
     for batch, texts in chunks(batches):
         keys = batch.column(batch.schema.get_field_index("text_key")).to_pylist()
-        rows = []
-        for key, text in zip(keys, texts, strict=True):
-            spans = base_spans(text)
-            merged = _merged(spans)
-            for span in spans:
-                rows.append((key, _entity(text, span), _context(text, span, merged)))
-        columns = list(zip(*rows, strict=True)) or [[], [], []]
+        rows = [
+            (key, entity) for key, text in zip(keys, texts, strict=True)
+            for entity in dict.fromkeys(_entity(text, span) for span in base_spans(text))
+        ]
+        columns = list(zip(*rows, strict=True)) or [[], []]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(columns[0], pa.int64()), *[pa.array(c, pa.string()) for c in columns[1:]]],
-            ["text_key", "entity", "context"],
+            [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.string())],
+            ["text_key", "entity"],
         )
 
 
+def _blanking(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch, texts in chunks(batches):
+        yield replaced_column(batch, "text", pa.array(map(blanked, texts), pa.string()))
+
+
 def _terms_of(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(_TERMS)))
 
@@ -204,91 +206,87 @@ def _suspects(text: str) -> Column:
     return F.when(F.col(text).rlike(MAY_HOLD), F.col(text)).otherwise(F.lit(""))
 
 
-def disclosing_terms(
-    documents: DataFrame,
-    text: str = "text",
-    min_contexts: int = MIN_CONTEXTS,
-    threshold: float = THRESHOLD,
-) -> DataFrame:
+def _left(n_both: Column, n_term: Column, n_entity: Column, n: int) -> Column:
+    """Bits that the term leaves of the entity."""
+    share = (n_both + PRIOR * n_entity / n) / (n_term + PRIOR)
+    return -F.log2(share)
+
+
+def _tells(n_both: Column, n_term: Column, n_entity: Column, n: int) -> Column:
+    most = F.least(F.lit(MOST_LEFT), SHARE_LEFT * -F.log2(n_entity / n))
+    return (n_entity < n) & (_left(n_both, n_term, n_entity, n) <= most)
+
+
+def disclosing_terms(documents: DataFrame, text: str = "text") -> DataFrame:
     """(text_key, terms): the telling terms of each text that holds any.
 
     ``text_key`` is the 64-bit hash of the text.
     """
-    rows = documents.select(
-        F.xxhash64(text_of(text)).alias("text_key"), _suspects(text).alias("text")
-    ).where("text <> ''")
+    key = F.xxhash64(text_of(text)).alias("text_key")
+    rows = documents.select(key, text_of(text).alias("text"))
     mentions = saved(
-        rows.mapInArrow(_mentions, "text_key long, entity string, context string")
+        rows.withColumn("text", _suspects("text")).where("text <> ''")
+        .mapInArrow(_mentions, "text_key long, entity string").distinct()
     )
-    # Per entity and term: texts, and different contexts.
-    near = (
-        mentions.select(
-            "entity", "text_key", F.xxhash64("context").alias("context_key"),
-            F.explode(_terms_of(F.col("context"))).alias("term"),
-        )
-        .groupBy("entity", "term", "context_key")
-        .agg(F.count("*").alias("mentions"))
-        .groupBy("entity", "term")
-        .agg(F.count("*").alias("contexts"))
-        .where(F.col("contexts") >= min_contexts)
+    nothing = rows.limit(0).select("text_key", F.array("text").alias("terms"))
+    counted = saved(rows.groupBy("text_key").agg(F.count("*").alias("copies")))
+    n = counted.count()
+    entities = mentions.groupBy("entity").agg(F.count("*").alias("n_entity"))
+    best = F.col("n_entity")
+    entities = saved(entities.where(_tells(best, best, best, n)))
+    held = saved(
+        mentions.join(broadcast_if_few(entities), "entity")
+        .groupBy("text_key").agg(F.collect_list(F.struct("entity", "n_entity")).alias("held"))
     )
-    near = saved(near)
-    pairs = broadcast_if_few(near)
-    together = (
-        mentions.select("entity", "text_key", F.explode(_terms_of(F.col("context"))).alias("term"))
-        .distinct()
-        .join(pairs, ["entity", "term"])
+    if held.isEmpty():
+        return nothing
+    # A copy of a text weighs its share, so that each different text counts once.
+    copied = broadcast_if_few(saved(counted.where("copies > 1")))
+    weight = (1 / F.coalesce("copies", F.lit(1))).alias("weight")
+    of = "weight double, held array<struct<entity:string,n_entity:bigint>>, text string"
+    spoken = (
+        rows.join(broadcast_if_few(held), "text_key")
+        .join(copied, "text_key", "left")
+        .select(weight, "held", "text")
+        .mapInArrow(_blanking, of)
+        .select("weight", "held", F.explode(_terms_of(F.col("text"))).alias("term"))
+        .select("weight", "term", F.inline("held"))
+        .groupBy("entity", "n_entity", "term")
+        .agg(F.round(F.sum("weight")).cast("bigint").alias("n_both"))
     )
-    # Texts are counted as documents: each as often as it is there.
-    wanted = broadcast_if_few(near.select("term").distinct())
     n_term = (
-        documents.select(F.explode(_terms_of(F.col(text))).alias("term"))
+        rows.join(copied, "text_key", "left")
+        .select(weight, F.explode(_terms_of(F.col("text"))).alias("term"))
         .groupBy("term")
-        .agg(F.count("*").alias("n_term"))
-        .join(wanted, "term")
-    )
-    copies = (
-        documents.select(F.xxhash64(text_of(text)).alias("text_key"), _suspects(text).alias("t"))
-        .where("t <> ''")
-        .groupBy("text_key")
-        .agg(F.count("*").alias("copies"))
+        .agg(F.round(F.sum("weight")).cast("bigint").alias("n_term"))
     )
-    n_entity = (
-        mentions.select("entity", "text_key").distinct()
-        .join(copies, "text_key")
-        .groupBy("entity")
-        .agg(F.sum("copies").alias("n_entity"))
-    )
-    n_both = (
-        together.join(copies, "text_key")
-        .groupBy("entity", "term")
-        .agg(F.sum("copies").alias("n_both"))
-    )
-    n = documents.count()
-    told = (
-        n_both.join(n_term, "term")
-        .join(n_entity, "entity")
-        .where(
-            F.log(F.lit(float(n)) * F.col("n_both") / (F.col("n_entity") * F.col("n_term")))
-            >= threshold * F.log(F.lit(float(n)) / F.col("n_entity"))
-        )
-        # An entity in every document gives nothing away that the corpus does not.
-        .where(F.col("n_entity") < n)
+    largest = entities.agg(F.max("n_entity")).first()[0]
+    most = (largest + PRIOR) * 2**MOST_LEFT - PRIOR
+    told = saved(
+        spoken.join(n_term.where(F.col("n_term") <= most), "term")
+        .where(_tells(F.col("n_both"), F.col("n_term"), F.col("n_entity"), n))
         .select("term")
         .distinct()
     )
-    told = saved(told)
-    held = documents if not told.isEmpty() else documents.limit(0)
+    if told.isEmpty():
+        return nothing
+    terms = rows.select("text_key", F.explode(_terms_of(F.col("text"))).alias("term"))
     return (
-        held.select(
-            F.xxhash64(text_of(text)).alias("text_key"), F.explode(_terms_of(F.col(text))).alias("term")
-        )
-        .join(broadcast_if_few(told), "term")
+        _listed(terms, told, "term")
         .groupBy("text_key")
         .agg(F.array_sort(F.collect_set("term")).alias("terms"))
     )
 
 
+def _listed(rows: DataFrame, listed: DataFrame, key: str) -> DataFrame:
+    """The rows whose key is listed; of many keys a Bloom filter drops most others first."""
+    few = broadcast_if_few(listed)
+    if few is listed:
+        keys = bloom_filter(listed, key, listed.count())
+        rows = rows.where(keys.might_contain(F.col(key))) if keys else rows
+    return rows.join(few, key, "left_semi")
+
+
 def _columns(batch: pa.RecordBatch, names: list[str]) -> list[pa.Array]:
     return [batch.column(batch.schema.get_field_index(n)) for n in names]
 
@@ -321,12 +319,21 @@ def _counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _with_terms(df: DataFrame, telling: DataFrame, text: str, to: str) -> DataFrame:
-    """``df`` with ``to``, the telling terms of each row's text."""
+    """``df`` with ``to``, the telling terms of each row's text.
+
+    If they are many, only rows that may have some are shuffled to them.
+    """
     key = free_name(df, "text_key")
-    few = broadcast_if_few(
-        saved(telling).select(F.col("text_key").alias(key), F.col("terms").alias(to))
-    )
-    return df.join(few, F.xxhash64(text_of(text)) == F.col(key), "left").drop(key)
+    rows = df.withColumn(key, F.xxhash64(text_of(text)))
+    telling = saved(telling).select(F.col("text_key").alias(key), F.col("terms").alias(to))
+    few = broadcast_if_few(telling)
+    keys = bloom_filter(telling, key, telling.count()) if few is telling else None
+    if keys is None:
+        return rows.join(few, key, "left").drop(key)
+    may = keys.might_contain(F.col(key))
+    none = F.lit(None).cast(telling.schema[to].dataType).alias(to)
+    joined = rows.where(may).join(telling, key, "left").drop(key)
+    return rows.where(~may).drop(key).select("*", none).unionByName(joined)
 
 
 def found(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
