@@ -1,9 +1,13 @@
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 from collected import rows
 from pyspark.sql import functions as F
 
 from weftline.plans import block_sums, chain_metrics, count_bin_enrich, first_two_sum
-from weftline.sinks import write_binned, write_lines, write_sorted_lines
+from weftline.sinks import write_binned, write_counted, write_lines, write_sorted_lines
 from weftline.sources import blocks_of_rows, n_line_records, number_lines, parse_profiles
 
 
@@ -66,6 +70,64 @@ def test_binned_sink_counts_rows(spark, tmp_path):
     assert rows(write_binned(df.limit(0), str(tmp_path / "none"))) == []
 
 
+def test_counts_come_from_the_pass_that_writes(spark, tmp_path):
+    """The input is read once, and the counts are those of the rows in the files."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def pass_on(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(0, 900, 1, 5).selectExpr("cast(id % 3 as int) bin", "id").mapInArrow(
+        pass_on, "bin int, id long")
+    bins, totals = write_counted(df, str(tmp_path / "out"), [0, 1, 2, 7], {
+        "sum": F.sum("id"), "all": F.count("*")})
+    assert rows(bins) == [(0, 300), (1, 300), (2, 300)]
+    assert totals == {"sum": 899 * 450, "all": 900}
+    assert seen.value == 900
+    assert rows(spark.read.text(str(tmp_path / "out")).groupBy("bin").count()) == rows(bins)
+    empty, none = write_counted(df.limit(0), str(tmp_path / "none"), [0], {"all": F.count("*")})
+    assert rows(empty) == [] and none == {"all": 0}
+
+
+def test_a_row_of_no_known_bin_stops_the_job(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "bin string, v int")
+    with pytest.raises(Exception, match="no such bin: b"):
+        write_counted(df, str(tmp_path / "out"), ["a"])
+    with pytest.raises(ValueError):
+        write_counted(df, str(tmp_path / "out"), range(2000))
+
+
+RETRIED = """
+import sys
+from pyspark import TaskContext
+from pyspark.sql import SparkSession, functions as F
+sys.path.insert(0, {root!r})
+from weftline.sinks import write_counted
+spark = (SparkSession.builder.master("local[2, 3]").config("spark.ui.enabled", "false")
+         .config("spark.sql.shuffle.partitions", "3").getOrCreate())
+
+def fails_once(batches):
+    for batch in batches:
+        yield batch
+    if TaskContext.get().attemptNumber() == 0:
+        raise RuntimeError("lost")
+
+df = spark.range(0, 90, 1, 3).selectExpr("cast(id % 2 as string) bin", "id").repartition(4, "id")
+df = df.mapInArrow(fails_once, "bin string, id long")
+bins, totals = write_counted(df, {out!r}, ["0", "1"], {{"sum": F.sum("id")}})
+print("found", sorted(map(tuple, bins.collect())), totals)
+"""
+
+
+def test_counts_after_retried_tasks(tmp_path):
+    root = str(Path(__file__).resolve().parents[1])
+    script = RETRIED.format(root=root, out=str(tmp_path / "out"))
+    done = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, timeout=300)
+    assert f"found [('0', 45), ('1', 45)] {{'sum': {89 * 45}}}" in done.stdout, done.stderr[-2000:]
+
+
 def test_line_sinks(spark, tmp_path):
     df = spark.createDataFrame([("10", 1), ("3", 2), (None, 3)], "k string, v int")
     write_lines(df, str(tmp_path / "a"), "k")

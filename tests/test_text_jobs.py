@@ -75,6 +75,10 @@ def test_job_chaining(run, folder, spark):
     out = lambda b: (spark.read.text(str(folder / "out" / f"bin={b}")).collect())
     assert [r[0] for r in out("multipleabove")] == ["9\t2\t5"]
     assert [r[0] for r in out("multiplebelow")] == ["7\t1\t1"]
+    bins, metrics = jobs.job_chaining(
+        spark, str(folder / "comments"), str(folder / "profiles"), str(folder / "again"))
+    assert sorted(map(tuple, bins.collect())) == [("multipleabove", 1), ("multiplebelow", 1)]
+    assert metrics == {"records": 3, "users": 2, "avg_posts": 1.5}
 
 
 def test_blocks(run):

@@ -51,6 +51,9 @@ def value_histogram(
 _HALF_BITS = 16
 _HALF = 1 << _HALF_BITS
 
+#: Keys of which the bits found so far, at most two rows of some 60 bytes each, go to every task.
+MAX_BROADCAST_KEYS = 200_000
+
 
 def median_std(df: DataFrame, key: str = "id", value: str = "freq") -> DataFrame:
     """Exact median (mean of the middle two if even) and sample deviation per key.
@@ -182,8 +185,11 @@ def _place(v: Column, kind: T.DataType) -> Column:
 def _wide_median_std(hist: DataFrame, key: str, value: str, count: str) -> DataFrame:
     """Median and deviation by 16 bits of the place of a value at a time.
 
-    Each step counts the values per 16 more bits and looks only at those that share
-    the bits found so far, at most 2^16 rows of a key, for each of the middle ranks.
+    The first step counts the values of each key by the first 16 bits and finds those of the middle
+    ranks. Each further step keeps only the values that begin with the bits found so far, before it
+    counts by 16 more, at most 2^16 of a key, for each of the middle ranks. The bits found are a
+    row or two per key; they go to every task if the keys, which one action counts as far as
+    that needs, are few enough. Then the histogram is shuffled once.
     """
     merged = (
         hist.select(F.col(key).alias("k"), F.col(value).alias("v"), F.col(count).alias("cnt"))
@@ -191,35 +197,27 @@ def _wide_median_std(hist: DataFrame, key: str, value: str, count: str) -> DataF
         .agg(F.sum("cnt").alias("c"))
         .withColumn("place", _place(F.col("v"), hist.schema[value].dataType))
     )
-    middle = None
-    for shift in (48, 32, 16, 0):
-        parts = merged.groupBy("k", F.shiftright("place", shift).alias("part")).agg(
-            F.sum("c").alias("n"), F.max("v").alias("v")
+    few = hist.select(key).distinct().limit(MAX_BROADCAST_KEYS + 1).count() <= MAX_BROADCAST_KEYS
+    parts = merged.groupBy("k", F.shiftright("place", 48).alias("part")).agg(
+        F.sum("c").alias("n"), F.max("v").alias("v")
+    )
+    total = F.sum("n").over(W.partitionBy("k"))
+    ranks = F.array_distinct(F.array(F.expr("(total + 1) div 2"), F.expr("total div 2 + 1")))
+    middle = _holding(parts.withColumn("total", total).select(
+        "k", "part", "n", "v", F.lit(0).cast("bigint").alias("before"), F.explode(ranks).alias("rank")
+    ))
+    for shift in (32, 16, 0):
+        wanted = middle.select(
+            F.col("k").alias("w_k"), F.col("part").alias("w_part"), "before", "rank"
         )
-        if middle is None:
-            total = F.sum("n").over(W.partitionBy("k"))
-            ranks = F.array_distinct(
-                F.array(F.expr("(total + 1) div 2"), F.expr("total div 2 + 1"))
-            )
-            rows = parts.withColumn("total", total).select(
-                "k", "part", "n", "v", F.lit(0).alias("before"), F.explode(ranks).alias("rank")
-            )
-        else:
-            wanted = middle.select(
-                F.col("k").alias("w_k"), F.col("part").alias("w_part"), "before", "rank"
-            )
-            within = F.col("k").eqNullSafe(F.col("w_k")) & (
-                F.shiftright("part", 16) == F.col("w_part")
-            )
-            rows = parts.join(wanted, within).select("k", "part", "n", "v", "before", "rank")
-        so_far = W.partitionBy("k", "rank").orderBy("part").rowsBetween(
-            W.unboundedPreceding, W.currentRow
+        begins = F.col("k").eqNullSafe(F.col("w_k")) & (
+            F.shiftright("place", shift + 16) == F.col("w_part")
         )
-        middle = (
-            rows.withColumn("upto", F.col("before") + F.sum("n").over(so_far))
-            .withColumn("before", F.col("upto") - F.col("n"))
-            .where("before < rank and upto >= rank")
-            .select("k", "part", "before", "rank", "v")
+        kept = merged.join(F.broadcast(wanted) if few else wanted, begins)
+        middle = _holding(
+            kept.groupBy("k", "rank", "before", F.shiftright("place", shift).alias("part")).agg(
+                F.sum("c").alias("n"), F.max("v").alias("v")
+            )
         )
     medians = middle.groupBy("k").agg(F.avg(F.col("v").cast("double")).alias("median"))
     return medians.join(
@@ -227,6 +225,19 @@ def _wide_median_std(hist: DataFrame, key: str, value: str, count: str) -> DataF
     ).select(F.col("k").alias(key), "median", "std")
 
 
+def _holding(parts: DataFrame) -> DataFrame:
+    """Of the parts of a key those that hold the ranks, with the number of values before them."""
+    so_far = W.partitionBy("k", "rank").orderBy("part").rowsBetween(
+        W.unboundedPreceding, W.currentRow
+    )
+    return (
+        parts.withColumn("upto", F.col("before") + F.sum("n").over(so_far))
+        .withColumn("before", F.col("upto") - F.col("n"))
+        .where("before < rank and upto >= rank")
+        .select("k", "part", "before", "rank", "v")
+    )
+
+
 def _wide_std(merged: DataFrame) -> DataFrame:
     """``k, std``: sums per leading 16 bits of the doubles, off the least value of those bits."""
     v = F.col("v").cast("double")

@@ -15,7 +15,7 @@ from weftline import sinks
 from weftline.functions import render
 from weftline.functions.tokens import REGEX_SPACE, split_blanks
 from weftline.plans.blocks import block_sums, first_two_sum
-from weftline.plans.chaining import count_bin_enrich
+from weftline.plans.chaining import ABOVE, BELOW, count_bin_enrich
 from weftline.sources import (
     number_lines,
     parse_docs,
@@ -126,12 +126,18 @@ def cartesian_product(spark: SparkSession, left: str, right: str, out: str) -> N
 
 def job_chaining(
     spark: SparkSession, comments: str, users: str, out: str, mode: str = FAIL
-) -> DataFrame:
-    """Users binned by their number of comments; returns ``bin, cnt``."""
+) -> tuple[DataFrame, dict]:
+    """Users binned by their number of comments; ``bin, cnt`` and the metrics of the chain.
+
+    The metrics are ``records``, ``users`` and ``avg_posts``. All counts come from the pass that writes.
+    """
     records = parse_profiles(read_lines(spark, comments), mode)
     profiles = parse_profiles(read_ordered_lines(spark, users), mode, keep=["position"])
     binned = count_bin_enrich(records, profiles, order_by="position")
-    return sinks.write_binned(binned, out)
+    totals = {"records": F.coalesce(F.sum("posts"), F.lit(0)), "users": F.count("*")}
+    bins, metrics = sinks.write_counted(binned, out, [BELOW, ABOVE], totals)
+    average = metrics["records"] / metrics["users"] if metrics["users"] else None
+    return bins, metrics | {"avg_posts": average}
 
 
 def multiline_sum(spark: SparkSession, source: str, out: str, n: int = 1) -> None:
