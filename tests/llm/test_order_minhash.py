@@ -249,6 +249,35 @@ def test_near_texts_of_any_length_meet():
         assert missed <= 2, n
 
 
+def test_near_texts_with_words_at_other_places_meet():
+    """Two words in ten left out and as many put in elsewhere: the similarity itself."""
+    rnd = random.Random(10)
+    for n in (5, 10, 20, 50, 61, 80, 100, 200, 500, 1000):
+        missed = found = 0
+        while found < 100:
+            a = [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+            k = int(0.2 * n + 1e-9)
+            b = [a[i] for i in sorted(rnd.sample(range(n), n - k))]
+            for _ in range(k):
+                b.insert(rnd.randrange(len(b) + 1), f"w{rnd.randrange(10**6)}")
+            if M.linked(a, b):
+                found += 1
+                one, other = (
+                    set(M.sketch(M.word_hashes(" ".join(t).encode())[0]).tolist()) for t in (a, b)
+                )
+                missed += not one & other
+        assert missed <= 10, n
+
+
+def test_blocks_of_large_buckets_are_cut_by_words_too(spark, monkeypatch):
+    """A block holds few long texts, and pairs of different blocks still meet."""
+    monkeypatch.setattr(M, "_WORDS", 2000)
+    rnd = random.Random(11)
+    base = [f"w{i}" for i in range(300)]
+    texts = [changed(rnd, base, rnd.choice([0.12, 0.3])) for _ in range(120)]
+    check(spark.createDataFrame(list(enumerate(map(" ".join, texts))), "doc_id long, text string"))
+
+
 def test_sketches_tell_order():
     a = M.word_hashes(" ".join(f"w{i}" for i in range(100)).encode())[0]
     same = M.sketch(a)

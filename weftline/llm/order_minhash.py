@@ -15,15 +15,15 @@ a large group at once. Then the buckets that still hold several classes are gone
 again, for pairs of different classes: up to ``ALL_PAIRS`` texts give all such pairs of like
 length. A larger bucket first gives each text two partners, the middle of its stretch and its
 neighbour, which is linear. Buckets that still hold several classes are then gone through in
-full, block of ``_TEXTS`` against block: a table of word counts of each text bounds the words that
+full, block of ``_TEXTS`` (or ``_WORDS`` of theirs) against block: a table of word counts of each text bounds the words that
 two can have in common from above, and the pairs of different classes which the bound allows
 are verified where they meet, the best first, as classes grow with each link. So a block
 gives a link for each class that it joins, not its pairs; the time for unlike texts of
 one bucket does grow with the square of their number. Nothing is capped or dropped. The chance that two
 texts which share the part j of their k-mers have no equal sketch is at most about
-``(1 - j**2) ** SKETCHES``: 3e-4 for j = 0.34, which long texts with two words in ten replaced
-have, less for short texts and fewer changes. Words put in at other places than those left out
-break more k-mers; the README has measured shares.
+``(1 - j**2) ** SKETCHES``: 1e-5 for j = 0.34, which long texts with two words in ten replaced
+have, less for short texts and fewer changes. As many words left out and put in at other places
+break more k-mers: j is about 0.18, the chance 0.05. The README has measured shares.
 
 Verification: the longest common subsequence of the words by bits of a long number, with
 matches only in the band of diagonals that an alignment of enough words can reach.
@@ -53,13 +53,14 @@ from weftline.llm.word_ids import chunks
 LENGTHS = ((16, 1), (60, 2), (None, 3))
 SIMILARITY = 0.8
 _ROUNDING = 1e-9
-SKETCHES = 64
+SKETCHES = 96
 #: Buckets of up to so many texts give all pairs.
 ALL_PAIRS = 16
 #: Texts of a bucket that are held at once.
 _BLOCK = 1 << 16
-#: Texts of a large bucket on one side of a comparison of word counts.
-_TEXTS = 2048
+#: Texts of a large bucket, and words of theirs, on one side of a comparison of word counts.
+_TEXTS = 512
+_WORDS = 1 << 20
 _LINKS_A_TASK = 50_000
 _SEED = 20240607
 
@@ -521,9 +522,14 @@ def _rest_of_large_buckets(
     apart = _rooted(met, broadcast_if_few(saved(components(links)))).distinct()
     large = (
         apart.groupBy("bucket")
-        .agg(F.count("*").alias("n"), F.min("root").alias("r"), F.max("root").alias("s"))
+        .agg(
+            F.count("*").alias("n"), F.sum("n_words").alias("words"),
+            F.min("root").alias("r"), F.max("root").alias("s"),
+        )
         .where((F.col("n") > ALL_PAIRS) & (F.col("r") < F.col("s")))
-        .select("bucket", F.ceil(F.col("n") / _TEXTS).cast("int").alias("blocks"))
+        .select("bucket", F.ceil(F.greatest(
+            F.col("n") / _TEXTS, F.col("words") / _WORDS
+        )).cast("int").alias("blocks"))
     )
     rows = saved(apart.join(broadcast_if_few(saved(large)), "bucket"))
     if rows.isEmpty():
