@@ -31,7 +31,7 @@ from weftline.operators import (
 from weftline.plans import block_sums, chain_metrics, count_bin_enrich, first_two_sum
 from weftline.sources import (
     blocks_of_rows,
-    index_words,
+    listed_words,
     parse_docs,
     parse_entities,
     parse_pairs,
@@ -41,12 +41,10 @@ from weftline.sources import (
     spread,
 )
 
-try:  # the corpus operators can be left out as a whole
+try:  # the corpus operators, and what they import, can be left out as a whole
     import corpus_pipeline
     from weftline.llm import queries as llm
-except ModuleNotFoundError as missing:
-    if missing.name not in ("corpus_pipeline", "weftline.llm"):
-        raise
+except ImportError:
     corpus_pipeline = llm = None
 
 SEED = 42
@@ -359,7 +357,7 @@ def _first_two_sum(spark, sf):
 
 def _random_data_generator(spark, sf):
     rows = read_table(spark, sf, "orders").select(F.col("o_orderkey").alias("row"))
-    words = index_words(_tokens(_documents(spark, sf), "text"))
+    words = listed_words(_tokens(_documents(spark, sf), "text"))
     return random_posts(rows, words, SEED)
 
 

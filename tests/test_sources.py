@@ -6,6 +6,7 @@ from collected import rows
 from weftline.functions.tokens import REGEX_SPACE
 from weftline.sources import (
     index_words,
+    listed_words,
     parse_docs,
     parse_entities,
     parse_pairs,
@@ -74,6 +75,19 @@ def test_building_posts_measures_once(spark, words):
     assert len(tracker.getJobIdsForGroup(None)) - before <= 2
 
 
+def test_a_measured_list_takes_one_action(spark, lines):
+    """Which numbers no words; then the plan is lazy, and draws the same words."""
+    some = lines(*[f"w{i}" for i in range(40)] * 3).withColumnRenamed("value", "token")
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    listed = listed_words(some)
+    assert listed.size == 40
+    measured = len(tracker.getJobIdsForGroup(None)) - before
+    posts = random_posts(row_numbers(spark, 8, 20), listed, 3)
+    assert len(tracker.getJobIdsForGroup(None)) - before == measured <= 2
+    assert rows(posts) == rows(random_posts(row_numbers(spark, 8, 20), index_words(some), 3))
+
+
 def test_unknown_mode(lines):
     with pytest.raises(ValueError):
         parse_docs(lines("1: a"), "permissive")

@@ -12,11 +12,19 @@ from weftline.sources.parsers import (
     parse_profiles,
     parse_words,
 )
-from weftline.sources.synthetic import index_words, random_posts, render_post, row_numbers
+from weftline.sources.synthetic import (
+    WordList,
+    index_words,
+    listed_words,
+    random_posts,
+    render_post,
+    row_numbers,
+)
 from weftline.sources.tables import read_table, spread
 
 __all__ = [
-    "blocks_of_rows", "index_words", "n_line_records", "number_lines", "parse_docs",
+    "WordList", "blocks_of_rows", "index_words", "listed_words", "n_line_records", "number_lines",
+    "parse_docs",
     "parse_entities", "parse_pairs", "parse_profiles", "parse_words", "random_posts",
     "read_lines", "read_ordered_lines", "read_table", "render_post", "row_numbers",
     "spread",

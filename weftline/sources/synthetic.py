@@ -6,6 +6,8 @@ not depend on how the rows are split over tasks or on a task being run again.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -48,6 +50,26 @@ def index_words(words: DataFrame, word: str = "token") -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class WordList:
+    """Numbered words ``idx, word``, how many they are and an upper estimate of their bytes."""
+
+    rows: DataFrame
+    size: int
+    size_bytes: int
+
+
+def listed_words(words: DataFrame, word: str = "token") -> WordList:
+    """The distinct words, numbered by :func:`index_words`.
+
+    One action counts and measures the distinct words as they are, without numbering them; the
+    numbering is part of the plan that draws from the list.
+    """
+    size, size_bytes = measured_size(words.select(word).distinct())
+    # A number takes as much as measured_size says of any number.
+    return WordList(index_words(words, word), size, size_bytes + 16 * size)
+
+
 def _digest(seed: int, field: str, part: Column | None = None) -> Column:
     """32 hex digits for a field, or for each numbered part of it."""
     name = [F.lit(f":{field}")] + ([] if part is None else [part.cast("string")])
@@ -78,9 +100,11 @@ def _clock(ms: Column) -> Column:
     )
 
 
-def random_posts(rows: DataFrame, words: DataFrame, seed: int = 42) -> DataFrame:
+def random_posts(rows: DataFrame, words: DataFrame | WordList, seed: int = 42) -> DataFrame:
     """One random post per distinct ``row`` number, with words of ``idx, word``.
 
+    A list that is not measured yet is measured here, by one action.
+
     Columns ``row, id, post_id, score, text, creation_date, user_id``. Every word
     of the text is followed by a blank. Only the row numbers are shuffled: they
     are partitioned first, and the words of a row are then drawn, looked up and
@@ -94,10 +118,12 @@ def random_posts(rows: DataFrame, words: DataFrame, seed: int = 42) -> DataFrame
         spark.sparkContext.defaultParallelism,
     )
     base = rows.select(F.col("row").cast("bigint").alias("row")).repartition(tasks, "row")
-    size, size_bytes = measured_size(words)
+    if not isinstance(words, WordList):
+        words = WordList(words, *measured_size(words))
+    size = words.size
     if size == 0:
         raise ValueError("the word list is empty")
-    lookup = F.broadcast(words) if size_bytes <= MAX_BROADCAST_BYTES else words
+    lookup = F.broadcast(words.rows) if words.size_bytes <= MAX_BROADCAST_BYTES else words.rows
     # A digest serves four words. The coalesce tells the join that no index is
     # NULL, else a filter for that would hash everything a second time.
     i = F.col("i")
