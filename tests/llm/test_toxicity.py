@@ -94,6 +94,31 @@ def test_spelled_out_sentences(costs, times):
     assert [x.tolist() for x in reader(texts)] == [[0, 0, 1, 1, 2], [0, 1, 0, 1, 0]]
 
 
+def costs_of(words):
+    """A language of these words, mostly."""
+    counts = np.ones((64, 64, 64)) * 1e-3
+    for word in words:
+        s = [0, 0, *M.symbols(word).tolist(), 0]
+        for a, b, c in zip(s, s[1:], s[2:], strict=False):
+            counts[a, b, c] += 1000
+    return M._costs(counts)
+
+
+@pytest.mark.parametrize("letters, word", [("youidiot", "idiot"), ("killyou", "kill"), ("oyou", "you")])
+def test_short_runs_may_be_several_words(letters, word):
+    """Breaks are offered at any length; all letters in one count as well."""
+    reader = M.Reader(costs_of(["you", "idiot", "kill", "o"]), {f"<{word}>": 0, f"<{letters}>": 1})
+    found = reader(pa.array([" ".join(letters), ".".join(letters)]))
+    assert {(0, 0), (0, 1), (1, 0)} <= set(zip(*(x.tolist() for x in found), strict=True))
+
+
+def test_letters_of_other_scripts_stand_for_themselves():
+    """Where the corpus has such words; a look-alike among Latin letters is still one."""
+    costs = costs_of(["idiot", "the", "сон", "роса"])
+    assert M.restored_word("сон", costs) == "сон" and M.restored_word("роса", costs) == "роса"
+    assert M.restored_word("idiоt", costs) == "idiot"
+
+
 def test_endless_runs_are_read_in_proportion(costs):
     start = time.monotonic()
     assert len(M.restored_text("i d i o t 1 " * 4000, costs).replace(" ", "")) >= 20_000

@@ -11,7 +11,8 @@
    do not know words, so the letters without breaks give features, too.
 3. The restored words of a document give features, whole words and their pieces of 4 and
    5 letters. Those that labelled toxic documents have more often than others, by the
-   log-likelihood ratio, enter a logistic regression on their presence.
+   log-likelihood ratio, at most the ``MAX_FEATURES`` strongest, enter a logistic regression on
+   their presence.
 
 A worker keeps what it found for each word, so the work goes by different words.
 
@@ -61,8 +62,6 @@ STANDS_FOR = {
 _SEPARATORS = ".-_*'~ "
 _EDGE = ".,;:?\"'()[]{}<>%&*#|~`^=+-_!"
 _STAND_COST, _ANY_COST, _REPEAT_COST, _SEPARATOR_COST = 1.0, 2.0, 0.3, 0.1
-#: Letters set apart that may be several words, if at least so many.
-_SENTENCE = 12
 
 # --- the language model ----------------------------------------------------------
 
@@ -165,7 +164,8 @@ def disguised(word: str) -> bool:
 def _choices(char: str, apart: bool) -> list[tuple[str, float]]:
     """Letters that a character may stand for, and the cost; empty text for nothing."""
     found: list[tuple[str, float]] = []
-    if char.isalpha() and char not in STANDS_FOR:
+    if char.isalpha():
+        # Also a look-alike of another script, whose own words stay as they are.
         found.append((char, 0.0))
     cost = _ANY_COST if char == "*" else _STAND_COST
     found += [(c, cost) for c in STANDS_FOR.get(char, "")]
@@ -218,9 +218,8 @@ def restore(word: str, costs: np.ndarray, breaks: bool = False) -> str:
 
 
 def restored_run(letters: str, costs: np.ndarray) -> str:
-    """A run of characters set apart: one word if short, else as many as cost least."""
-    letters = letters.lower()
-    return restore(letters, costs, breaks=len(letters) >= _SENTENCE)
+    """A run of characters set apart: as many words as cost least."""
+    return restore(letters.lower(), costs, breaks=True)
 
 
 def restored_word(word: str, costs: np.ndarray) -> str:
@@ -229,9 +228,7 @@ def restored_word(word: str, costs: np.ndarray) -> str:
         found = unicodedata.normalize("NFKC", found)
     if disguised(found):
         if _APART.fullmatch(found):
-            parts = _SIGNS.sub("", found)
-            if len(parts) >= _SENTENCE:
-                return restored_run(parts, costs)
+            return restored_run(_SIGNS.sub("", found), costs)
         return restore(found, costs)
     return found
 
@@ -303,14 +300,15 @@ class Reader:
         self.costs, self.fixed = costs, wanted is not None
         self.numbers: dict[str, int] = wanted if wanted is not None else {}
         self.known: dict[str, tuple[int, ...]] = {}
+        self.runs: dict[str, tuple[int, ...]] = {}
 
-    def of_run(self, run: str) -> Iterator[int]:
+    def of_run(self, run: str) -> tuple[int, ...]:
         """Those of the words of a run of single characters."""
-        if len(run) < _SENTENCE or not disguised_run(run):
-            yield from self.of_word(run)
-        else:
-            for word in _read(restored_run(run, self.costs)):
-                yield from self.of_word(word)
+        found = self.runs.get(run)
+        if found is None:
+            words = _read(restored_run(run, self.costs)) if disguised_run(run) else [run]
+            found = self.runs[run] = tuple(f for word in words for f in self.of_word(word))
+        return found
 
     def of_word(self, word: str) -> tuple[int, ...]:
         found = self.known.get(word)
@@ -326,8 +324,9 @@ class Reader:
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Pairs (text, feature), each once, by text."""
-        if len(self.known) > MEMORY_PARTS:
+        if len(self.known) + len(self.runs) > MEMORY_PARTS:
             self.known.clear()
+            self.runs.clear()
         lists = pc.utf8_split_whitespace(texts)
         coded = lists.flatten().dictionary_encode()
         words = coded.dictionary.to_pylist()
