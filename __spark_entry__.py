@@ -14,6 +14,7 @@ from weftline.operators import (
     cartesian,
     chain_word_count,
     distinct_keys,
+    frequency_lists,
     grep,
     hotlist_filter,
     keyed_join,
@@ -183,6 +184,12 @@ def _inverted_index_lists(spark, sf):
     return lists.select("token", "chunk", render.id_list("doc_ids").alias("doc_ids"))
 
 
+def _inverted_index_by_frequency(spark, sf):
+    """Rare tokens with one list, frequent ones with several."""
+    lists = frequency_lists(_documents(spark, sf), "doc_id", "text", list_ids=POSTING_CHUNK)
+    return lists.select("token", "chunk", render.id_list("doc_ids").alias("doc_ids"))
+
+
 # --- filters ------------------------------------------------------------------
 
 
@@ -384,6 +391,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "median_std_histogram": _median_std_histogram,
         "inverted_index": _inverted_index,
         "inverted_index_lists": _inverted_index_lists,
+        "inverted_index_by_frequency": _inverted_index_by_frequency,
         "distinct_keys": _distinct_keys,
         "distributed_grep": _distributed_grep,
         "distributed_grep_ids": _distributed_grep_ids,
@@ -540,6 +548,19 @@ def oracle_sql() -> dict[str, str]:
           select token, doc_id // {POSTING_CHUNK} as chunk,
             ': ' || string_agg(cast(doc_id as varchar), ' ' order by doc_id) as doc_ids
           from ({_SQL_DOC_TOKENS}) t where token <> '' group by 1, 2""",
+        "inverted_index_by_frequency": f"""
+          with tokens as (select * from ({_SQL_DOC_TOKENS}) t where token <> ''),
+          counts as (
+            select token, count(*) as n, min(doc_id) as low, max(doc_id) as high
+            from tokens group by 1),
+          ranges as (
+            select token, low, case when n > {POSTING_CHUNK} then least(
+              (high - low + (n + {POSTING_CHUNK - 1}) // {POSTING_CHUNK})
+                // ((n + {POSTING_CHUNK - 1}) // {POSTING_CHUNK}), {64 * POSTING_CHUNK}) end as width
+            from counts)
+          select token, coalesce((doc_id - low) // width, 0) as chunk,
+            ': ' || string_agg(cast(doc_id as varchar), ' ' order by doc_id) as doc_ids
+          from tokens join ranges using (token) group by 1, 2""",
         "distinct_keys": "select distinct user_id from events",
         "distributed_grep": f"""
           select doc_id, text from documents where regexp_matches(text, '{GREP_PATTERN}')""",

@@ -3,6 +3,7 @@ from collected import rows
 
 from weftline.operators import (
     distinct_keys,
+    frequency_lists,
     grep,
     hotlist_filter,
     posting_lists,
@@ -10,6 +11,7 @@ from weftline.operators import (
     token_lists,
     top_n,
 )
+from weftline.operators import inverted
 from weftline.sources import parse_docs, parse_words
 
 DOCS = ["3: a b a", "1: c", "3: b", "2: d  e", "1: c", "12: A"]
@@ -103,3 +105,33 @@ def test_posting_lists_are_bounded_and_whole(spark):
     assert len(parts) == 10 and all(len(set(p["doc_ids"])) <= 10 for p in parts)
     joined = [i for p in parts for i in p["doc_ids"]]
     assert joined == sorted(i for i in range(95) for _ in range(2 if i % 5 else 1))
+
+
+@pytest.mark.parametrize("kept", [50_000, 0])
+def test_lists_follow_frequency(spark, monkeypatch, kept):
+    """One list of a rare token, bounded lists of about one size of a hot one."""
+    monkeypatch.setattr(inverted, "MAX_FREQUENT", kept)
+    df = spark.range(3000).selectExpr(
+        "id * 7 + 5 as id",
+        "concat('hot ', if(id % 3 = 0, 'third third ', ''), if(id < 40, 'early ', ''), 'x', id) as body",
+    )
+    found = {}
+    for r in frequency_lists(df, list_ids=50).orderBy("chunk").collect():
+        found.setdefault(r["token"], []).append(r["doc_ids"])
+    assert all(len(found[f"x{i}"]) == 1 for i in range(3000)) and len(found["early"]) == 1
+    assert 55 <= len(found["hot"]) <= 65 and max(map(len, found["hot"])) <= 60
+    assert 35 <= len(found["third"]) <= 45 and max(map(len, found["third"])) <= 60
+    assert sum(found["third"], []) == sorted(i * 7 + 5 for i in range(0, 3000, 3) for _ in range(2))
+    assert sum(found["hot"], []) == [i * 7 + 5 for i in range(3000)]
+
+
+def test_a_far_id_does_not_fill_a_list(spark):
+    df = spark.range(2000).selectExpr("if(id = 0, 100000000, id) as id", "'a' as body")
+    lists = [r["doc_ids"] for r in frequency_lists(df, list_ids=10).collect()]
+    assert max(map(len, lists)) <= 640 and sum(map(len, lists)) == 2000
+
+
+def test_frequency_lists_of_nothing(spark):
+    assert frequency_lists(spark.createDataFrame([(1, ""), (2, None)], "id int, body string")).count() == 0
+    with pytest.raises(ValueError):
+        frequency_lists(spark.createDataFrame([(1, "a")], "id int, body string"), list_ids=0)

@@ -211,3 +211,39 @@ def test_one_line_records(spark, text_files):
     assert n_line_records(spark, str(text_files)).count() == 110
     with pytest.raises(ValueError):
         n_line_records(spark, str(text_files), 0)
+
+
+def test_a_stored_line_index(spark, text_files, tmp_path):
+    """Counted once, used again, and made anew when a file or a setting changes."""
+    index, paths = str(tmp_path / "index"), str(text_files)
+    want = rows(number_lines(spark, paths))
+    assert rows(number_lines(spark, paths, index)) == want
+    assert rows(number_lines(spark, paths, index)) == want
+    # That it is used shows when it is wrong.
+    shifted = [r.asDict() | {"base": r["base"] + 100} for r in spark.read.parquet(f"{index}/splits").collect()]
+    schema = spark.read.parquet(f"{index}/splits").schema
+    spark.createDataFrame([tuple(r[f] for f in schema.names) for r in shifted], schema).write.mode(
+        "overwrite").parquet(f"{index}/splits")
+    assert rows(number_lines(spark, paths, index)) == sorted(
+        ((f, n + 100, v) for f, n, v in want), key=repr)
+    some = sorted(text_files.iterdir())[0]
+    some.write_text(some.read_text() + "one more\n")
+    again = rows(number_lines(spark, paths, index))
+    assert again == rows(number_lines(spark, paths)) and len(again) == len(want) + 1
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    try:
+        assert rows(number_lines(spark, paths, index)) == again
+        assert rows(number_lines(spark, paths, index)) == again
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_a_file_that_changes_under_the_index_stops_the_job(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.txt").write_text("aaaa\nbbbb\n")
+    numbered = number_lines(spark, str(folder), str(tmp_path / "index"))
+    (folder / "a.txt").write_text("a\na\na\na\nb\n")
+    with pytest.raises(Exception, match="no line count"):
+        numbered.collect()

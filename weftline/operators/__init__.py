@@ -1,7 +1,7 @@
 from weftline.operators.bloom import BloomFilter, bloom_filter
 from weftline.operators.counting import chain_word_count, word_count
 from weftline.operators.filtering import distinct_keys, grep, hotlist_filter, top_n
-from weftline.operators.inverted import posting_lists, postings, token_lists
+from weftline.operators.inverted import frequency_lists, posting_lists, postings, token_lists
 from weftline.operators.joins import (
     cartesian,
     grid_join,
@@ -20,7 +20,7 @@ from weftline.operators.summarize import (
 
 __all__ = [
     "BloomFilter", "avg_count", "bloom_filter", "cartesian", "chain_word_count", "distinct_keys",
-    "grep", "grid_join", "hotlist_filter", "keyed_join", "last_per_key", "median_std",
+    "frequency_lists", "grep", "grid_join", "hotlist_filter", "keyed_join", "last_per_key", "median_std",
     "median_std_histogram", "merge_averages", "min_max_count", "posting_lists",
     "postings", "replicated_join", "token_lists", "top_n", "value_histogram", "word_count",
 ]

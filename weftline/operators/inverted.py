@@ -11,6 +11,9 @@ from weftline.functions.blocks import block_number
 from weftline.functions.tokens import split_trimmed
 
 CHUNK_DOCS = 1000
+#: Ids that a range of a frequent token spans, at most, per id of an even list.
+MOST_WIDE = 64
+MAX_FREQUENT = 50_000
 
 
 def postings(
@@ -74,3 +77,46 @@ def token_lists(
         .groupBy("token", block_number("doc_id", chunk_docs).alias("chunk"))
         .agg(F.array_sort(F.collect_list("doc_id")).alias("doc_ids"))
     )
+
+
+def frequency_lists(
+    df: DataFrame,
+    doc_id: str = "id",
+    text: str = "body",
+    split: Callable[[Column], Column] = split_trimmed,
+    list_ids: int = CHUNK_DOCS,
+) -> DataFrame:
+    """``token, chunk, doc_ids``: sorted id lists whose borders follow a token's frequency.
+
+    A token of up to ``list_ids`` occurrences has one list. The ids of a more frequent one, from
+    its least to its largest, are cut in equal ranges, one for each ``list_ids`` occurrences, but
+    never wider than ``MOST_WIDE * list_ids`` ids; so a list of ids that are spread evenly has about
+    ``list_ids`` of them, and no list more documents than the widest range. All lists of a
+    token, in chunk order, are its full list.
+
+    Occurrences are counted first, combined per task. Frequent tokens are few: up to
+    ``MAX_FREQUENT`` are kept and sent to every task, else counted again and joined by a shuffle.
+    """
+    if list_ids < 1:
+        raise ValueError("a list must hold at least 1 id")
+    tokens = _tokens(df, doc_id, text, split)
+    number = F.col("doc_id").cast("bigint")
+    counts = tokens.groupBy("token").agg(
+        F.count("*").alias("n"), F.min(number).alias("low"), F.max(number).alias("high")
+    )
+    pieces = f"((n + {list_ids - 1}) div {list_ids})"
+    frequent = counts.where(F.col("n") > list_ids).select(
+        F.col("token").alias("f_token"), "low",
+        F.expr(f"least((high - low + {pieces}) div {pieces}, {MOST_WIDE * list_ids})").alias("width"),
+    )
+    found = frequent.limit(MAX_FREQUENT + 1).collect()
+    if len(found) <= MAX_FREQUENT:
+        frequent = F.broadcast(df.sparkSession.createDataFrame(found, frequent.schema))
+    chunk = F.when(F.col("width").isNull(), F.lit(0).cast("bigint")).otherwise(
+        F.call_function("div", number - F.col("low"), F.col("width"))
+    )
+    return (
+        tokens.join(frequent, F.col("token") == F.col("f_token"), "left")
+        .groupBy("token", chunk.alias("chunk"))
+        .agg(F.array_sort(F.collect_list("doc_id")).alias("doc_ids"))
+    )

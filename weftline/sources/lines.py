@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -28,7 +29,9 @@ def read_ordered_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataF
     return spark.read.text(paths).select("value", position.alias("position"))
 
 
-def number_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+def number_lines(
+    spark: SparkSession, paths: str | Sequence[str], index: str | None = None
+) -> DataFrame:
     """Lines with ``file``, ``line_no`` (0-based in the file) and ``value``.
 
     Splits are read in parallel. Each split counts its lines, the counts of a
@@ -38,6 +41,12 @@ def number_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     The text is scanned twice, once to count: text files have no index of lines. The
     first scan runs when this is called; its result, one row per split, is kept if there
     are at most ``_MAX_SPLIT_ROWS``, else it is computed again and joined by a shuffle.
+
+    With ``index``, a folder, the counts are stored there, with the lengths and modification times
+    of the files and the settings that say how files are split. A later call with the same
+    files and settings takes them from there and scans the text once. If anything differs, lines
+    are counted and stored again. A file that changes between the call and the scan, so that a
+    line has no place among the counted ones, stops the job.
     """
     lines = spark.read.text(paths).select(
         F.col("_metadata.file_path").alias("file"),
@@ -56,19 +65,53 @@ def number_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
         lines.groupBy(*split)
         .agg(F.count("*").alias("n"), F.min("mid").alias("first_mid"))
         .withColumn("base", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
-        .drop("n")
     )
+    if index is not None:
+        splits = _indexed_splits(spark, paths, splits, index)
     found = splits.limit(_MAX_SPLIT_ROWS + 1).collect()
     if len(found) <= _MAX_SPLIT_ROWS:
         splits = F.broadcast(spark.createDataFrame(found, splits.schema))
-    line_no = F.col("base") + F.col("mid") - F.col("first_mid")
-    # A line without its split would mean that the two scans differ.
+    place = F.col("mid") - F.col("first_mid")
+    counted = (place >= 0) & (place < F.col("n"))
+    # A line without its split, or beyond its end, would mean that the two scans differ.
     lost = F.raise_error(F.concat(F.lit("no line count for a split of "), F.col("file")))
     return lines.join(splits, split, "left").select(
-        "file", F.coalesce(line_no, lost.cast("bigint")).alias("line_no"), "value"
+        "file",
+        F.when(counted, F.col("base") + place).otherwise(lost.cast("bigint")).alias("line_no"),
+        "value",
     )
 
 
+def _indexed_splits(
+    spark: SparkSession, paths: str | Sequence[str], splits: DataFrame, index: str
+) -> DataFrame:
+    """The stored splits if files and settings are those they were counted for, else new ones, stored.
+
+    Files are listed, not read, to see whether they changed.
+    """
+    tasks = str(spark.sparkContext.defaultParallelism)
+    settings = ",".join([
+        *(spark.conf.get(f"spark.sql.files.{name}") for name in ("maxPartitionBytes", "openCostInBytes")),
+        spark.conf.get("spark.sql.files.minPartitionNum", tasks),
+        tasks,
+    ])
+    files = spark.read.format("binaryFile").load(paths).select(
+        F.col("path").alias("f_path"), "length", "modificationTime", F.lit(settings).alias("settings")
+    )
+    known = ["f_path", "length", "modificationTime", "settings"]
+    try:
+        stored = spark.read.parquet(f"{index}/files"), spark.read.parquet(f"{index}/splits")
+        same = files.exceptAll(stored[0]).isEmpty() and stored[0].exceptAll(files).isEmpty()
+    except AnalysisException:
+        same = False
+    if not same:
+        # Splits first: files without their splits would be taken for whole.
+        spark.createDataFrame([], files.schema).write.mode("overwrite").parquet(f"{index}/files")
+        splits.write.mode("overwrite").parquet(f"{index}/splits")
+        files.select(*known).write.mode("overwrite").parquet(f"{index}/files")
+    return spark.read.parquet(f"{index}/splits")
+
+
 def blocks_of_rows(
     df: DataFrame, n: int, *, order: str, line: str, within: Sequence[str] = ()
 ) -> DataFrame:
@@ -96,8 +139,11 @@ def blocks_of_rows(
 
 
 def n_line_records(
-    spark: SparkSession, paths: str | Sequence[str], n: int = 1
+    spark: SparkSession, paths: str | Sequence[str], n: int = 1, index: str | None = None
 ) -> DataFrame:
-    """Blocks of ``n`` consecutive lines; a block never crosses files."""
-    numbered = number_lines(spark, paths)
+    """Blocks of ``n`` consecutive lines; a block never crosses files.
+
+    ``index`` as in :func:`number_lines`.
+    """
+    numbered = number_lines(spark, paths, index)
     return blocks_of_rows(numbered, n, order="line_no", line="value", within=["file"])
