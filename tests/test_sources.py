@@ -84,7 +84,8 @@ def test_a_measured_list_takes_one_action(spark, lines):
     assert listed.size == 40
     measured = len(tracker.getJobIdsForGroup(None)) - before
     posts = random_posts(row_numbers(spark, 8, 20), listed, 3)
-    assert len(tracker.getJobIdsForGroup(None)) - before == measured <= 2
+    # Each shuffle of the action is a job of its own.
+    assert len(tracker.getJobIdsForGroup(None)) - before == measured <= 3
     assert rows(posts) == rows(random_posts(row_numbers(spark, 8, 20), index_words(some), 3))
 
 
