@@ -21,9 +21,9 @@ are verified where they meet, the best first, as classes grow with each link. So
 gives a link for each class that it joins, not its pairs; the time for unlike texts of
 one bucket does grow with the square of their number. Nothing is capped or dropped. The chance that two
 texts which share the part j of their k-mers have no equal sketch is at most about
-``(1 - j**2) ** SKETCHES``: 1e-5 for j = 0.34, which long texts with two words in ten replaced
+``(1 - j**2) ** SKETCHES``: 2e-5 for j = 0.34, which long texts with two words in ten replaced
 have, less for short texts and fewer changes. As many words left out and put in at other places
-break more k-mers: j is about 0.18, the chance 0.05. The README has measured shares.
+break more k-mers: j is about 0.18, the chance 0.06. The README has measured shares.
 
 Verification: the longest common subsequence of the words by bits of a long number, with
 matches only in the band of diagonals that an alignment of enough words can reach.
@@ -53,13 +53,13 @@ from weftline.llm.word_ids import chunks
 LENGTHS = ((16, 1), (60, 2), (None, 3))
 SIMILARITY = 0.8
 _ROUNDING = 1e-9
-SKETCHES = 96
+SKETCHES = 88
 #: Buckets of up to so many texts give all pairs.
 ALL_PAIRS = 16
 #: Texts of a bucket that are held at once.
 _BLOCK = 1 << 16
 #: Texts of a large bucket, and words of theirs, on one side of a comparison of word counts.
-_TEXTS = 512
+_TEXTS = 2048
 _WORDS = 1 << 20
 _LINKS_A_TASK = 50_000
 _SEED = 20240607
