@@ -19,11 +19,13 @@ intersected, as sorted arrays.
 First each set is compared with the centre of its tile, among those of like size, which links most
 of a large group at once. Tiles that still hold several classes are gone through in full: a
 tile is cut by size into blocks of ``_BLOCK`` sets (or ``_BLOCK_BYTES``), and each two blocks
-whose sizes allow a link are a task's work. By signatures alone it tells which sets
-may link to another class there; of these the sets are brought in and intersected, the best
-bound first, as classes grow with each link. So a block gives a link for each two classes
-that it joins, not its pairs, and nothing is capped or dropped. The time for unlike sets
-that share a part grows with the square of their number.
+whose sizes allow a link are a task's work. By signatures alone it tells which sets may link to
+another class there; such sets are intersected pair by pair, the best bound first, as classes grow
+with each link, so a block gives fewer links than it has sets. As a pair meets in many tiles, sets
+are not brought to all of them at once: first each set goes to one block, its largest; then the
+pairs that small blocks still name are intersected, once each, and struck out if they do not
+link; last, sets go to all blocks that still have a pair. Nothing is capped or dropped. The
+time for unlike sets that share a part grows with the square of their number.
 
 Elements are 64-bit hashes: two different runs of words with one hash would count as one.
 Null texts read as empty; texts without words have an empty set and link with nothing, not with
@@ -50,8 +52,10 @@ PERCENT = 90
 #: A band reaches from a size to this many times it.
 _BAND = 1.5
 #: Sets, or bytes of sets, in a block of a tile.
-_BLOCK = 512
+_BLOCK = 1024
 _BLOCK_BYTES = 16 << 20
+#: Blocks of up to so many sets name pairs, instead of having their sets brought to them.
+_FEW = 16
 #: Rows of a tile that are held at once when centres are chosen.
 _HELD = 1 << 16
 _SEED = 20250211
@@ -385,12 +389,13 @@ def _find(of: dict[int, int], x: int) -> int:
 
 
 def _bounded_pairs(
-    sizes: np.ndarray, roots: np.ndarray, sides: np.ndarray, bitmaps: list[np.ndarray], percent: int
+    sizes: np.ndarray, roots: np.ndarray, sides: np.ndarray, bitmaps: list[np.ndarray], percent: int,
+    tids: np.ndarray, apart: list[list[int] | None],
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """For each place i of a block the places after it that may link, and by how much.
 
     Sets come by ascending size. Pairs are those of different roots and of different sides, or
-    both of side 2.
+    both of side 2, but for the ``tids`` that each is known to be apart from.
     """
     widths = np.array([len(b) for b in bitmaps])
     tops = np.searchsorted(sizes, linked_sizes(sizes, percent), "right")
@@ -407,36 +412,77 @@ def _bounded_pairs(
                 continue
             most = most_common(sizes[i], sizes[others], table[i - start], table[others - start])
             spare = most - least_common(sizes[i], sizes[others], percent)
-            if (spare >= 0).any():
-                yield i, others[spare >= 0], spare[spare >= 0]
+            fit = spare >= 0
+            if apart[i]:
+                fit &= ~np.isin(tids[others], apart[i])
+            if fit.any():
+                yield i, others[fit], spare[fit]
+
+
+def _signed(table: pa.Table, percent: int) -> tuple[list[np.ndarray], Iterator]:
+    """The columns of a block's rows (work, size, tid, root, side, ...) and its pairs that may link."""
+    columns = [c.to_numpy() for c in table.columns[:5]]
+    _, size, tid, root, side = columns
+    apart, bitmaps = table.column(5).to_pylist(), [_bitmap(b) for b in table.column(6).to_pylist()]
+    return columns, _bounded_pairs(size, root, side, bitmaps, percent, tid, apart)
 
 
 def _may_link(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Rows of a block whose signatures allow a link to another class there."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _groups(batches):
-            block, size, tid, root, side = (c.to_numpy() for c in table.columns[:-1])
-            bitmaps = [_bitmap(b) for b in table.column(5).to_pylist()]
+            (work, size, tid, _, side), pairs = _signed(table, percent)
             met = np.zeros(len(tid), bool)
-            for i, others, _spare in _bounded_pairs(size, root, side, bitmaps, percent):
+            for i, others, _spare in pairs:
                 met[i] = True
                 met[others] = True
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c[met], pa.int64()) for c in (block, tid, side)], ["block", "tid", "side"]
+                [pa.array(c[met], pa.int64()) for c in (work, size, tid, side)],
+                ["work", "size", "tid", "side"],
             )
 
     return run
 
 
+def _forest(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Of the pairs that may link in a block the best that join all classes they could join."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _groups(batches):
+            (_, _, tid, root, _), pairs = _signed(table, percent)
+            found = [
+                (-spare, i, j) for i, others, spares in pairs
+                for j, spare in zip(others.tolist(), spares.tolist(), strict=True)
+            ]
+            of: dict[int, int] = {}
+            links = []
+            for _, i, j in sorted(found):
+                x, y = _find(of, int(root[i])), _find(of, int(root[j]))
+                if x != y:
+                    of[max(x, y)] = min(x, y)
+                    links.append((int(tid[i]), int(tid[j])))
+            yield _pairs_batch(links)
+
+    return run
+
+
+def _pairs_batch(links: list[tuple[int, int]]) -> pa.RecordBatch:
+    pairs = np.array(links, np.int64).reshape(-1, 2)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(pairs.min(1), pa.int64()), pa.array(pairs.max(1), pa.int64())], ["a", "b"]
+    )
+
+
 def block_links(
-    tids: np.ndarray, roots: np.ndarray, sides: np.ndarray, sets: list[np.ndarray], percent: int
+    tids: np.ndarray, roots: np.ndarray, sides: np.ndarray, sets: list[np.ndarray], percent: int,
+    apart: list[list[int] | None] | None = None,
 ) -> list[tuple[int, int]]:
     """Links that join the classes of a block as far as any pair of it does."""
     sizes = np.array([len(s) for s in sets], np.int64)
     bitmaps = [signature(s) for s in sets]
     of: dict[int, int] = {}
     found = []
-    for i, others, spare in _bounded_pairs(sizes, roots, sides, bitmaps, percent):
+    apart = apart or [None] * len(sets)
+    for i, others, spare in _bounded_pairs(sizes, roots, sides, bitmaps, percent, tids, apart):
         for j in others[np.argsort(-spare, kind="stable")].tolist():
             x, y = _find(of, int(roots[i])), _find(of, int(roots[j]))
             if x != y and common(sets[i], sets[j]) >= least_common(sizes[i], sizes[j], percent):
@@ -449,12 +495,9 @@ def _block_links(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _groups(batches):
             tid, root, side = (table.column(i).to_numpy() for i in (2, 3, 4))
-            sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in table.column(5)]
-            links = block_links(tid, root, side, sets, percent)
-            pairs = np.array(links, np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(pairs.min(1), pa.int64()), pa.array(pairs.max(1), pa.int64())], ["a", "b"]
-            )
+            sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in table.column(6)]
+            apart = table.column(5).to_pylist()
+            yield _pairs_batch(block_links(tid, root, side, sets, percent, apart))
 
     return run
 
@@ -532,41 +575,78 @@ def _block_pairs(apart: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _links_in_tiles(
+def _star(roots: DataFrame) -> DataFrame:
+    return roots.where("id <> root").select(F.col("root").alias("a"), F.col("id").alias("b"))
+
+
+def _with_roots(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    return rows.join(broadcast_if_few(roots), F.col("tid") == F.col("id"), "left").withColumn(
+        "root", F.coalesce("root", "tid")
+    ).drop("id")
+
+
+def _joined_in_tiles(
     met: DataFrame, roots: DataFrame, entries: DataFrame, sets: _Sets, percent: int
-) -> DataFrame | None:
-    """Links between classes that the centres left apart."""
-    rooted = met.join(roots, F.col("tid") == F.col("id"), "left").select(
-        "tile", "size", "tid", "block", F.coalesce("root", "tid").alias("root")
-    )
+) -> DataFrame:
+    """The roots after all links between classes that the centres left apart."""
+    rooted = _with_roots(met.drop("centre"), roots)
     several = rooted.groupBy("tile").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r < s")
     apart = saved(rooted.join(broadcast_if_few(saved(several.select("tile"))), "tile", "left_semi"))
     if apart.isEmpty():
-        return None
+        return roots
     pairs = saved(_block_pairs(apart, percent))
-    here = ["work", "size", "tid", "root"]
-    work = apart.join(pairs, "tile")
+    work = apart.drop("root").join(pairs, "tile")
+    here = ["work", "size", "tid"]
     sided = work.where("block = low and low = high").select(*here, F.lit(2).cast("bigint").alias("side"))
     for column, number in (("low", 0), ("high", 1)):
         one = work.where(f"block = {column} and low < high")
         sided = sided.unionByName(one.select(*here, F.lit(number).cast("bigint").alias("side")))
-    sided = sided.join(entries.select("tid", "bitmap"), "tid").select(*here, "side", "bitmap")
-    near = saved(
-        _dealt(sided, "work", "size", "tid")
-        .mapInArrow(_may_link(percent), "work long, tid long, side long")
-    )
-    if near.isEmpty():
-        return None
-    whole = sets.of(near.select("tid"))
-    classes = near.join(roots, F.col("tid") == F.col("id"), "left").select(
-        "work", "tid", F.coalesce("root", "tid").alias("root"), "side"
-    )
-    full = classes.join(whole, "tid").select(
-        "work", (F.octet_length("elements") / 8).cast("bigint").alias("size"),
-        "tid", "root", "side", "elements",
-    )
-    found = _dealt(full, "work", "size", "tid").mapInArrow(_block_links(percent), "a long, b long")
-    return saved(found.distinct())
+    struck = roots.select(F.col("id").alias("s_tid"), F.array("id").alias("apart")).limit(0)
+
+    def dealt(rows: DataFrame, last: DataFrame) -> DataFrame:
+        """Rows of blocks with their roots, what they are known to be apart from, and ``last``."""
+        full = (
+            _with_roots(rows, roots)
+            .join(broadcast_if_few(struck), F.col("tid") == F.col("s_tid"), "left")
+            .join(last, "tid")
+            .select("work", "size", "tid", "root", "side", "apart", last.columns[1])
+        )
+        return _dealt(full, "work", "size", "tid")
+
+    bitmaps, kept = entries.select("tid", "bitmap"), "work long, size long, tid long, side long"
+
+    def near(rows: DataFrame) -> DataFrame:
+        return saved(dealt(rows, bitmaps).mapInArrow(_may_link(percent), kept))
+
+    def joined(rows: DataFrame) -> DataFrame:
+        """The roots after the links that blocks of these rows find among their sets."""
+        full = dealt(rows, sets.of(rows.select("tid")))
+        links = saved(full.mapInArrow(_block_links(percent), "a long, b long").distinct())
+        return saved(components(_star(roots).unionByName(links)))
+
+    sided = near(sided)
+    if sided.isEmpty():
+        return roots
+    roots = joined(saved(_largest(sided)))
+    sided = near(sided)
+    few = sided.groupBy("work").agg(F.count("*").alias("n")).where(F.col("n") <= _FEW)
+    named = dealt(sided.join(few.select("work"), "work", "left_semi"), bitmaps)
+    named = saved(named.mapInArrow(_forest(percent), "a long, b long").distinct())
+    if not named.isEmpty():
+        links = _pairs_linked(named, entries, sets, percent)
+        refuted = named.join(links, ["a", "b"], "left_anti")
+        refuted = refuted.unionByName(refuted.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        struck = saved(refuted.groupBy(F.col("a").alias("s_tid")).agg(F.collect_list("b").alias("apart")))
+        roots = saved(components(_star(roots).unionByName(links)))
+        sided = near(sided)
+    return roots if sided.isEmpty() else joined(sided)
+
+
+def _largest(sided: DataFrame) -> DataFrame:
+    """Of each set's rows the one of the work with most sets."""
+    sizes = sided.groupBy("work").agg(F.count("*").alias("n"))
+    best = sided.join(sizes, "work").groupBy("tid").agg(F.max(F.struct("n", "work")).alias("best"))
+    return sided.join(best.select("tid", "best.work"), ["tid", "work"], "left_semi").select(*sided.columns)
 
 
 def jaccard_classes(
@@ -600,10 +680,7 @@ def jaccard_classes(
         F.least("tid", "centre").alias("a"), F.greatest("tid", "centre").alias("b")
     ).distinct())
     roots = saved(components(_pairs_linked(stars, entries, sets, percent)))
-    more = _links_in_tiles(met, broadcast_if_few(roots), entries, sets, percent)
-    if more is not None:
-        star = roots.where("id <> root").select(F.col("root").alias("a"), F.col("id").alias("b"))
-        roots = saved(components(star.unionByName(more)))
+    roots = _joined_in_tiles(met, roots, entries, sets, percent)
     rooted = entries.join(roots, F.col("tid") == F.col("id"), "left").select(
         "key", "doc_id", F.coalesce("root", "tid").alias("root")
     )
