@@ -132,6 +132,14 @@ def test_posts_do_not_depend_on_tasks_or_join(spark, words, monkeypatch):
     assert one != rows(random_posts(row_numbers(spark, 3, 20), words, 7))
 
 
+def test_a_long_list_is_joined_by_a_shuffle(spark, words, monkeypatch):
+    """However small the estimate of the drawn words is: they are exploded from the rows."""
+    monkeypatch.setattr("weftline.sources.synthetic.MAX_BROADCAST_BYTES", 0)
+    posts = random_posts(row_numbers(spark, 3, 20), words)
+    plan = posts._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_posts_need_words(spark, words):
     with pytest.raises(ValueError):
         random_posts(row_numbers(spark), words.limit(0))

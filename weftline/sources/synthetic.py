@@ -123,7 +123,10 @@ def random_posts(rows: DataFrame, words: DataFrame | WordList, seed: int = 42) -
     size = words.size
     if size == 0:
         raise ValueError("the word list is empty")
-    lookup = F.broadcast(words.rows) if words.size_bytes <= MAX_BROADCAST_BYTES else words.rows
+    # Beyond the limit the join is a shuffle by name: Spark's estimate of the drawn words is that
+    # of the row numbers, from which they are exploded, and would send them all to every task.
+    small = words.size_bytes <= MAX_BROADCAST_BYTES
+    lookup = F.broadcast(words.rows) if small else words.rows.hint("merge")
     # A digest serves four words. The coalesce tells the join that no index is
     # NULL, else a filter for that would hash everything a second time.
     i = F.col("i")
