@@ -131,6 +131,26 @@ def test_a_far_id_does_not_fill_a_list(spark):
     assert max(map(len, lists)) <= 640 and sum(map(len, lists)) == 2000
 
 
+def test_frequency_lists_hold_few_texts_a_task(spark, monkeypatch):
+    """Texts are dealt by their bytes; the rows of a token are never shuffled for a join."""
+    df = spark.range(0, 400, 1, 2).selectExpr(
+        "if(id % 50 = 0, null, id) as id", "concat('hot hot w', id % 3, ' x', id % 90) as body"
+    )
+    whole = rows(frequency_lists(df, list_ids=20))
+    assert inverted._dealt(df, "id", "body").rdd.getNumPartitions() == 2
+    monkeypatch.setattr(inverted, "TASK_BYTES", 500)
+    dealt = inverted._dealt(df, "id", "body")
+    assert dealt.rdd.getNumPartitions() > 8 and rows(dealt) == rows(df)
+    assert any(r[1] is None for r in whole)
+    for most in (1, 0):
+        monkeypatch.setattr(inverted, "MAX_FREQUENT", most)
+        lists = frequency_lists(df, list_ids=20)
+        assert rows(lists) == whole
+        plan = lists._jdf.queryExecution().optimizedPlan().toString()
+        joins = [x for x in plan.splitlines() if "Join " in x]
+        assert all("strategy=broadcast" in x for x in joins)
+
+
 def test_frequency_lists_of_nothing(spark):
     assert frequency_lists(spark.createDataFrame([(1, ""), (2, None)], "id int, body string")).count() == 0
     with pytest.raises(ValueError):
