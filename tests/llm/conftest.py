@@ -1,4 +1,6 @@
 import random
+from collections import Counter
+from pathlib import Path
 
 import pytest
 
@@ -63,3 +65,27 @@ def odd(spark):
 @pytest.fixture
 def empty(odd):
     return odd.limit(0)
+
+
+@pytest.fixture
+def files_written(spark):
+    """Runs a function with 40 partitions a shuffle, none merged: its result, files of each table it saves."""
+    def run(of):
+        wanted = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+        before = {k: spark.conf.get(k) for k in wanted}
+        known = _part_files(spark)
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        try:
+            result = of()
+        finally:
+            for k, v in before.items():
+                spark.conf.set(k, v)
+        return result, Counter(f.parent for f in _part_files(spark) - known)
+
+    return run
+
+
+def _part_files(spark):
+    folder = spark.sparkContext.getCheckpointDir()
+    return set(Path(folder.removeprefix("file:")).glob("rdd-*/part-*")) if folder else set()

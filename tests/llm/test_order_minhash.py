@@ -283,3 +283,14 @@ def test_sketches_tell_order():
     same = M.sketch(a)
     assert len(same) == M.SKETCHES and (M.sketch(a.copy()) == same).all()
     assert (M.sketch(np.concatenate([a[50:], a[:50]])) == same).mean() < 0.75
+
+
+def test_small_tables_have_few_files(spark, documents, files_written):
+    df = documents.limit(150).localCheckpoint()
+    got, files = files_written(lambda: M.near_duplicates(df).collect())
+    assert sorted(map(tuple, got), key=repr) == brute([(r.doc_id, r.text) for r in df.collect()])
+    assert files and max(files.values()) <= 4 * spark.sparkContext.defaultParallelism
+    assert sum(files.values()) < 20 * len(files)
+    kept, files = files_written(lambda: M.deduplicated(df).count())
+    assert kept == len({r.class_id for r in got})
+    assert files and sum(files.values()) < 20 * len(files)

@@ -185,3 +185,10 @@ def test_telling_terms_go_without_the_entity_too(spark):
 def test_overlapping_spans_are_one():
     text = "call +1 4111 1111 1111 now"
     assert pii.replaced(text, [(5, 22, "phone"), (6, 22, "card")]) == "call [PHONE] now"
+
+
+def test_small_tables_have_few_files(spark, documents, files_written):
+    want = sorted(map(repr, pii.found(documents).collect()))
+    got, files = files_written(lambda: pii.found(documents).collect())
+    assert sorted(map(repr, got)) == want
+    assert files and max(files.values()) <= 2 * spark.sparkContext.defaultParallelism

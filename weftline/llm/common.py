@@ -51,12 +51,21 @@ def ready(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def saved(df: DataFrame) -> DataFrame:
-    """``df`` written once to the shared folder; cuts lineage, survives lost executors."""
+def saved(df: DataFrame, tasks: int | None = None) -> DataFrame:
+    """``df`` written once to the shared folder; cuts lineage, survives lost executors.
+
+    With ``tasks``, see ``tasks_for``, the last stage runs in at most so many, each of which
+    writes a file: on a local disk Hadoop starts two processes for each file, in a store it is a request.
+    """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+    return (df.coalesce(tasks) if tasks else df).checkpoint()
+
+
+def tasks_for(spark: SparkSession, rows: int, a_task: int) -> int:
+    """A task for each ``a_task`` of the rows, but at least two a core."""
+    return max(2 * spark.sparkContext.defaultParallelism, -(-rows // a_task))
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

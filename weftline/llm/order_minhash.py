@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.common import broadcast_if_few, saved, text_of
+from weftline.llm.common import broadcast_if_few, saved, tasks_for, text_of
 from weftline.llm.word_ids import chunks
 
 #: Words of a k-mer in texts of up to so many words; without bound for the last.
@@ -62,6 +62,8 @@ _BLOCK = 1 << 16
 _TEXTS = 2048
 _WORDS = 1 << 20
 _LINKS_A_TASK = 50_000
+#: Texts whose rows, or pairs of texts to verify, are worth a task that writes a file.
+_TEXTS_A_TASK = 4_000
 _SEED = 20240607
 
 _random = np.random.default_rng(_SEED)
@@ -435,16 +437,17 @@ def _in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 # --- classes ---------------------------------------------------------------------------
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, tasks: int | None = None) -> DataFrame:
     """(id, root) of every id in the (a, b) links; root is the least id of its component.
 
     Alternating large and small stars: every id is linked to the least of its
     neighbourhood until each component is a star. Each round is written, so lineage stays
     short; what comes to the driver is one count and one checksum a round. A round runs in
-    tasks of at least ``_LINKS_A_TASK`` links, as a small graph is not worth more.
+    tasks of at least ``_LINKS_A_TASK`` links, as a small graph is not worth more; ``tasks``
+    bounds those that write the links themselves.
     """
     edges = links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    edges = saved(edges.distinct())
+    edges = saved(edges.distinct(), tasks)
     before, tasks = None, max(8, edges.count() // _LINKS_A_TASK)
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -465,7 +468,7 @@ def components(links: DataFrame) -> DataFrame:
             break
         before = now
     return edges.select(F.col("b").alias("id"), F.col("a").alias("root")).unionByName(
-        edges.select(F.col("a").alias("id"), F.col("a").alias("root")).distinct()
+        edges.select(F.col("a").alias("id"), F.col("a").alias("root")).distinct().coalesce(tasks)
     )
 
 
@@ -480,29 +483,31 @@ def _dealt(rows: DataFrame) -> DataFrame:
     return rows.repartition(spread, "bucket").sortWithinPartitions("bucket", "n_words", "tid")
 
 
-def _whole(ids: DataFrame, texts: DataFrame, documents: DataFrame) -> DataFrame:
-    """(tid, text) of the tids; ``documents`` are (doc_id, key, text)."""
+def _whole(ids: DataFrame, texts: DataFrame, documents: DataFrame, tasks: int) -> DataFrame:
+    """(tid, text) of the tids, written; ``documents`` are (doc_id, key, text)."""
     wanted = broadcast_if_few(
-        saved(texts.select("tid", "key", "doc_id").join(ids.distinct(), "tid", "left_semi"))
+        saved(texts.select("tid", "key", "doc_id").join(ids.distinct(), "tid", "left_semi"), tasks)
     )
     same = (F.col("d.key") == F.col("w.key")) & F.col("d.doc_id").eqNullSafe(F.col("w.doc_id"))
-    return (
+    whole = (
         documents.alias("d").join(wanted.alias("w"), same)
         .select("tid", "text")
         .dropDuplicates(["tid"])
     )
+    return saved(whole, tasks)
 
 
-def _links(pairs: DataFrame, texts: DataFrame, documents: DataFrame) -> DataFrame:
+def _links(pairs: DataFrame, texts: DataFrame, documents: DataFrame, tasks: int) -> DataFrame:
     """The pairs of tids, already written, whose texts are near."""
     ids = pairs.select(F.col("a").alias("tid")).unionByName(pairs.select(F.col("b").alias("tid")))
-    whole = saved(_whole(ids, texts, documents))
+    whole = _whole(ids, texts, documents, tasks)
     compared = (
         pairs.join(whole.select(F.col("tid").alias("a"), F.col("text").alias("left")), "a")
         .join(whole.select(F.col("tid").alias("b"), F.col("text").alias("right")), "b")
         .select("a", "b", "left", "right")
     )
-    return saved(compared.mapInArrow(_verified, "a long, b long"))
+    verified = compared.mapInArrow(_verified, "a long, b long")
+    return saved(verified, tasks_for(pairs.sparkSession, pairs.count(), _TEXTS_A_TASK))
 
 
 def _rooted(met: DataFrame, roots: DataFrame) -> DataFrame:
@@ -516,10 +521,10 @@ def _stars(roots: DataFrame) -> DataFrame:
 
 
 def _rest_of_large_buckets(
-    met: DataFrame, links: DataFrame, texts: DataFrame, documents: DataFrame
+    met: DataFrame, links: DataFrame, texts: DataFrame, documents: DataFrame, tasks: int
 ) -> DataFrame:
     """``links`` and those between texts of large buckets that they leave apart."""
-    apart = _rooted(met, broadcast_if_few(saved(components(links)))).distinct()
+    apart = _rooted(met, broadcast_if_few(saved(components(links, tasks)))).distinct()
     large = (
         apart.groupBy("bucket")
         .agg(
@@ -531,10 +536,10 @@ def _rest_of_large_buckets(
             F.col("n") / _TEXTS, F.col("words") / _WORDS
         )).cast("int").alias("blocks"))
     )
-    rows = saved(apart.join(broadcast_if_few(saved(large)), "bucket"))
+    rows = saved(apart.join(broadcast_if_few(saved(large, tasks)), "bucket"), tasks)
     if rows.isEmpty():
         return links
-    whole = saved(_whole(rows.select("tid"), texts, documents))
+    whole = _whole(rows.select("tid"), texts, documents, tasks)
     own = F.pmod(F.xxhash64("tid"), "blocks").cast("int")
     dealt = rows.select(
         "*", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
@@ -553,10 +558,16 @@ def _rest_of_large_buckets(
         .mapInArrow(_in_blocks, "a long, b long")
         .distinct()
     )
-    return links.unionByName(saved(more))
+    return links.unionByName(saved(more, tasks))
 
 
-def near_links(documents: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _tasks(documents: DataFrame) -> int:
+    return tasks_for(documents.sparkSession, documents.count(), _TEXTS_A_TASK)
+
+
+def near_links(
+    documents: DataFrame, doc_id: str, text: str, tasks: int
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(doc_id, key) of all documents, (tid, key, doc_id) of different texts, (a, b) links.
 
     Links between the texts of a class that the first round found are those to its root.
@@ -572,41 +583,44 @@ def near_links(documents: DataFrame, doc_id: str, text: str) -> tuple[DataFrame,
     # Equal texts have equal sketches: one row of each key stands for all.
     texts = saved(
         rows.dropDuplicates(["key"]).drop("doc_id").join(first, "key")
-        .withColumn("tid", F.monotonically_increasing_id())
+        .withColumn("tid", F.monotonically_increasing_id()),
+        tasks,
     )
     buckets = texts.select(F.explode("sketch").alias("bucket"), "n_words", "tid")
     met = saved(
-        _dealt(buckets).mapInArrow(_met, "bucket long, n_words long, tid long, centre long")
+        _dealt(buckets).mapInArrow(_met, "bucket long, n_words long, tid long, centre long"), tasks
     )
     stars = met.where("tid <> centre").select(
         F.least("tid", "centre").alias("a"), F.greatest("tid", "centre").alias("b")
     )
-    stars = saved(stars.distinct())
-    links = _links(stars, texts, keyed)
-    roots = broadcast_if_few(saved(components(links)))
+    stars = saved(stars.distinct(), tasks)
+    links = _links(stars, texts, keyed, tasks)
+    roots = broadcast_if_few(saved(components(links, tasks)))
     apart = _rooted(met, roots)
     pairs = _dealt(apart).mapInArrow(_paired, "a long, b long").distinct()
-    pairs = saved(pairs.join(stars, ["a", "b"], "left_anti"))
-    more = _links(pairs, texts, keyed)
-    found = _rest_of_large_buckets(met, _stars(roots).unionByName(more), texts, keyed)
+    pairs = saved(pairs.join(stars, ["a", "b"], "left_anti"), tasks)
+    more = _links(pairs, texts, keyed, tasks)
+    found = _rest_of_large_buckets(met, _stars(roots).unionByName(more), texts, keyed, tasks)
     return rows.select("doc_id", "key"), texts.select("tid", "key", "doc_id"), found
 
 
-def _classes(documents: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
+def _classes(
+    documents: DataFrame, doc_id: str, text: str, tasks: int
+) -> tuple[DataFrame, DataFrame]:
     """(doc_id, key) of all documents, and (key, class_id) of all keys."""
-    rows, texts, links = near_links(documents, doc_id, text)
-    roots = components(links)
+    rows, texts, links = near_links(documents, doc_id, text, tasks)
+    roots = components(links, tasks)
     rooted = texts.join(roots, texts["tid"] == roots["id"], "left").select(
         "key", "doc_id", F.coalesce("root", "tid").alias("root")
     )
     names = rooted.groupBy("root").agg(F.min("doc_id").alias("class_id"))
     keys = rooted.join(names, "root").select(F.col("key").alias("c_key"), "class_id")
-    return rows, saved(keys)
+    return rows, saved(keys, tasks)
 
 
 def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id and class_id of every document."""
-    rows, keys = _classes(documents, doc_id, text)
+    rows, keys = _classes(documents, doc_id, text, _tasks(documents))
     return rows.join(keys, rows["key"] == keys["c_key"]).select("doc_id", "class_id")
 
 
@@ -616,11 +630,12 @@ def deduplicated(documents: DataFrame, doc_id: str = "doc_id", text: str = "text
     Of rows with that doc_id in the class, the least text by hash stays, and of
     rows equal in both any one.
     """
-    rows, keys = _classes(documents, doc_id, text)
+    tasks = _tasks(documents)
+    rows, keys = _classes(documents, doc_id, text, tasks)
     members = rows.groupBy("key", "doc_id").agg(F.count("*").alias("n")).join(
         keys, F.col("key") == F.col("c_key")
     ).select("key", "doc_id", "n", "class_id", F.xxhash64("key", "class_id").alias("order"))
-    members = saved(members)
+    members = saved(members, tasks)
     # A class without any id is known by its keys alone.
     group = F.when(F.col("class_id").isNull(), F.col("key"))
     first = members.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy(
@@ -642,7 +657,7 @@ def deduplicated(documents: DataFrame, doc_id: str = "doc_id", text: str = "text
         return (key == other["r_key"]) & documents[doc_id].eqNullSafe(other["r_doc"])
 
     key = F.md5(text_of(text))
-    removed, repeated = broadcast_if_few(saved(removed)), broadcast_if_few(saved(repeated))
+    removed, repeated = (broadcast_if_few(saved(x, tasks)) for x in (removed, repeated))
     left = documents.join(removed, same(removed), "left_anti")
     once = left.join(repeated, same(repeated), "left_anti")
     several = left.join(repeated, same(repeated), "left_semi").dropDuplicates([doc_id, text])

@@ -41,7 +41,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.llm.common import broadcast_if_few, free_name, replaced_column, saved, text_of
+from weftline.llm.common import (
+    broadcast_if_few, free_name, replaced_column, saved, tasks_for, text_of,
+)
 from weftline.llm.word_ids import chunks
 from weftline.operators.bloom import bloom_filter
 
@@ -55,6 +57,8 @@ SHARE_LEFT = 0.2
 #: What an entity needs at least one of; other texts are not sent to Python.
 MAY_HOLD = "[0-9@]"
 _TERMS = r"(\p{L}{3,})"
+#: Texts whose rows are worth a task that writes a file.
+_TEXTS_A_TASK = 4_000
 
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -224,24 +228,27 @@ def disclosing_terms(documents: DataFrame, text: str = "text") -> DataFrame:
     """
     key = F.xxhash64(text_of(text)).alias("text_key")
     rows = documents.select(key, text_of(text).alias("text"))
+    tasks = tasks_for(documents.sparkSession, documents.count(), _TEXTS_A_TASK)
     mentions = saved(
         rows.withColumn("text", _suspects("text")).where("text <> ''")
-        .mapInArrow(_mentions, "text_key long, entity string").distinct()
+        .mapInArrow(_mentions, "text_key long, entity string").distinct(),
+        tasks,
     )
     nothing = rows.limit(0).select("text_key", F.array("text").alias("terms"))
-    counted = saved(rows.groupBy("text_key").agg(F.count("*").alias("copies")))
+    counted = saved(rows.groupBy("text_key").agg(F.count("*").alias("copies")), tasks)
     n = counted.count()
     entities = mentions.groupBy("entity").agg(F.count("*").alias("n_entity"))
     best = F.col("n_entity")
-    entities = saved(entities.where(_tells(best, best, best, n)))
+    entities = saved(entities.where(_tells(best, best, best, n)), tasks)
     held = saved(
         mentions.join(broadcast_if_few(entities), "entity")
-        .groupBy("text_key").agg(F.collect_list(F.struct("entity", "n_entity")).alias("held"))
+        .groupBy("text_key").agg(F.collect_list(F.struct("entity", "n_entity")).alias("held")),
+        tasks,
     )
     if held.isEmpty():
         return nothing
     # A copy of a text weighs its share, so that each different text counts once.
-    copied = broadcast_if_few(saved(counted.where("copies > 1")))
+    copied = broadcast_if_few(saved(counted.where("copies > 1"), tasks))
     weight = (1 / F.coalesce("copies", F.lit(1))).alias("weight")
     of = "weight double, held array<struct<entity:string,n_entity:bigint>>, text string"
     spoken = (
@@ -266,7 +273,8 @@ def disclosing_terms(documents: DataFrame, text: str = "text") -> DataFrame:
         spoken.join(n_term.where(F.col("n_term") <= most), "term")
         .where(_tells(F.col("n_both"), F.col("n_term"), F.col("n_entity"), n))
         .select("term")
-        .distinct()
+        .distinct(),
+        tasks,
     )
     if told.isEmpty():
         return nothing
@@ -275,6 +283,7 @@ def disclosing_terms(documents: DataFrame, text: str = "text") -> DataFrame:
         _listed(terms, told, "term")
         .groupBy("text_key")
         .agg(F.array_sort(F.collect_set("term")).alias("terms"))
+        .coalesce(tasks)
     )
 
 
