@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import math
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -84,6 +86,20 @@ def broadcast_if_few(
     return F.broadcast(df) if found[0] <= rows and found[1] <= size else df
 
 
+def freeing(run: Callable) -> Callable:
+    """``run`` for ``mapInArrow``; after its last batch the worker gives unused memory back.
+
+    Workers live on between tasks, and allocators keep what a task has freed.
+    """
+    def freed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        # Only the C library of GNU has it.
+        getattr(ctypes.CDLL(None), "malloc_trim", int)(0)
+
+    return freed
+
+
 def text_of(name: str) -> Column:
     """The text column, null read as empty."""
     return F.coalesce(F.col(name), F.lit(""))

@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.common import broadcast_if_few, saved, tasks_for, text_of
+from weftline.llm.common import broadcast_if_few, freeing, saved, tasks_for, text_of
 from weftline.llm.word_ids import chunks
 
 #: Words of a k-mer in texts of up to so many words; without bound for the last.
@@ -506,7 +506,7 @@ def _links(pairs: DataFrame, texts: DataFrame, documents: DataFrame, tasks: int)
         .join(whole.select(F.col("tid").alias("b"), F.col("text").alias("right")), "b")
         .select("a", "b", "left", "right")
     )
-    verified = compared.mapInArrow(_verified, "a long, b long")
+    verified = compared.mapInArrow(freeing(_verified), "a long, b long")
     return saved(verified, tasks_for(pairs.sparkSession, pairs.count(), _TEXTS_A_TASK))
 
 
@@ -555,7 +555,7 @@ def _rest_of_large_buckets(
         .select("block", "n_words", "tid", "root", "side", "text")
         .repartition(spread, "block")
         .sortWithinPartitions("block", "n_words", "tid")
-        .mapInArrow(_in_blocks, "a long, b long")
+        .mapInArrow(freeing(_in_blocks), "a long, b long")
         .distinct()
     )
     return links.unionByName(saved(more, tasks))
@@ -576,7 +576,7 @@ def near_links(
     keyed = _keyed(documents, doc_id, text)
     rows = saved(
         keyed.mapInArrow(
-            _sketched, f"doc_id {of}, key string, n_words long, sketch array<long>"
+            freeing(_sketched), f"doc_id {of}, key string, n_words long, sketch array<long>"
         )
     )
     first = rows.groupBy("key").agg(F.min("doc_id").alias("doc_id"))
@@ -588,7 +588,7 @@ def near_links(
     )
     buckets = texts.select(F.explode("sketch").alias("bucket"), "n_words", "tid")
     met = saved(
-        _dealt(buckets).mapInArrow(_met, "bucket long, n_words long, tid long, centre long"), tasks
+        _dealt(buckets).mapInArrow(freeing(_met), "bucket long, n_words long, tid long, centre long"), tasks
     )
     stars = met.where("tid <> centre").select(
         F.least("tid", "centre").alias("a"), F.greatest("tid", "centre").alias("b")
@@ -597,7 +597,7 @@ def near_links(
     links = _links(stars, texts, keyed, tasks)
     roots = broadcast_if_few(saved(components(links, tasks)))
     apart = _rooted(met, roots)
-    pairs = _dealt(apart).mapInArrow(_paired, "a long, b long").distinct()
+    pairs = _dealt(apart).mapInArrow(freeing(_paired), "a long, b long").distinct()
     pairs = saved(pairs.join(stars, ["a", "b"], "left_anti"), tasks)
     more = _links(pairs, texts, keyed, tasks)
     found = _rest_of_large_buckets(met, _stars(roots).unionByName(more), texts, keyed, tasks)

@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weftline.llm.common import (
-    broadcast_if_few, free_name, replaced_column, saved, tasks_for, text_of,
+    broadcast_if_few, free_name, freeing, replaced_column, saved, tasks_for, text_of,
 )
 from weftline.llm.word_ids import chunks
 from weftline.operators.bloom import bloom_filter
@@ -231,7 +231,7 @@ def disclosing_terms(documents: DataFrame, text: str = "text") -> DataFrame:
     tasks = tasks_for(documents.sparkSession, documents.count(), _TEXTS_A_TASK)
     mentions = saved(
         rows.withColumn("text", _suspects("text")).where("text <> ''")
-        .mapInArrow(_mentions, "text_key long, entity string").distinct(),
+        .mapInArrow(freeing(_mentions), "text_key long, entity string").distinct(),
         tasks,
     )
     nothing = rows.limit(0).select("text_key", F.array("text").alias("terms"))
@@ -255,7 +255,7 @@ def disclosing_terms(documents: DataFrame, text: str = "text") -> DataFrame:
         rows.join(broadcast_if_few(held), "text_key")
         .join(copied, "text_key", "left")
         .select(weight, "held", "text")
-        .mapInArrow(_blanking, of)
+        .mapInArrow(freeing(_blanking), of)
         .select("weight", "held", F.explode(_terms_of(F.col("text"))).alias("term"))
         .select("weight", "term", F.inline("held"))
         .groupBy("entity", "n_entity", "term")
@@ -356,7 +356,7 @@ def found(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     rows = rows.withColumn("text", needed)
     counts = ", ".join(f"n_{k} long" for k in KINDS)
     schema = f"doc_id {documents.schema[doc_id].dataType.simpleString()}, {counts}"
-    return rows.mapInArrow(_counting, f"{schema}, base_sha256 string, spans string")
+    return rows.mapInArrow(freeing(_counting), f"{schema}, base_sha256 string, spans string")
 
 
 def _replacing(text: str, terms: str) -> Callable:
@@ -382,4 +382,4 @@ def sanitised(documents: DataFrame, text: str = "text") -> DataFrame:
     telling = disclosing_terms(documents, text)
     terms = free_name(documents, "terms")
     rows = _with_terms(documents, telling, text, terms)
-    return rows.mapInArrow(_replacing(text, terms), T.StructType(list(documents.schema)))
+    return rows.mapInArrow(freeing(_replacing(text, terms)), T.StructType(list(documents.schema)))

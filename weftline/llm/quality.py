@@ -45,7 +45,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.llm.common import free_name, replaced_column, text_of
+from weftline.llm.common import free_name, freeing, replaced_column, text_of
 from weftline.llm.word_ids import chunks
 
 MAX_POSITIVES = 8_000
@@ -238,8 +238,8 @@ def total(texts: DataFrame, of: Callable[[np.ndarray], np.ndarray]) -> np.ndarra
         if found is not None:
             yield pa.RecordBatch.from_arrays([pa.array([found.tobytes()], pa.binary())], ["sums"])
 
-    parts = texts.select("text").mapInArrow(run, "sums binary").repartition(_SUMS)
-    rows = parts.mapInArrow(_summed, "sums binary").collect()
+    parts = texts.select("text").mapInArrow(freeing(run), "sums binary").repartition(_SUMS)
+    rows = parts.mapInArrow(freeing(_summed), "sums binary").collect()
     return sum(np.frombuffer(r["sums"], np.int64) for r in rows) if rows else None
 
 
@@ -264,7 +264,7 @@ def trained(
     n_good = good.count()
     trusted = F.broadcast(good.where(_share(MAX_POSITIVES, n_good, 1, "doc_id")))
     pool = documents.where(training(F.col("doc_id"))).select("doc_id", text_of("text").alias("text"))
-    rows = pool.join(trusted, "doc_id", "left_semi").select("text").mapInArrow(_featured, "numbers binary")
+    rows = pool.join(trusted, "doc_id", "left_semi").select("text").mapInArrow(freeing(_featured), "numbers binary")
     raw = sorted(bytes(r["numbers"]) for r in rows.collect()) if n_good else []
     if not raw:
         return None
@@ -298,7 +298,7 @@ def with_score(
             scores = scorer.score(features(texts).astype(np.float64)) if scorer else np.full(len(texts), 0.5)
             yield replaced_column(batch, to, pa.array(scores, pa.float64()))
 
-    return documents.mapInArrow(run, schema)
+    return documents.mapInArrow(freeing(run), schema)
 
 
 #: Rows whose id has this remainder are held out.

@@ -42,7 +42,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from weftline.llm.common import replaced_column
+from weftline.llm.common import freeing, replaced_column
 from weftline.llm.word_ids import WordIds, halves, ranges_of, slices
 
 SPACE = "▁"
@@ -335,7 +335,7 @@ def _with_column(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
 def encoded(df: DataFrame, path: str, text: str = "text", to: str = "ids") -> DataFrame:
     """``df`` with the ids of the column ``text`` in ``to``, which replaces one of that name."""
     schema = _with_column(df, to, T.ArrayType(T.IntegerType()))
-    return df.mapInArrow(_encoding(path, text, to), schema)
+    return df.mapInArrow(freeing(_encoding(path, text, to)), schema)
 
 
 def _decoding(path: str, ids: str, to: str) -> Callable:
@@ -353,7 +353,7 @@ def _decoding(path: str, ids: str, to: str) -> Callable:
 def decoded(df: DataFrame, path: str, ids: str = "ids", to: str = "decoded") -> DataFrame:
     """``df`` with the text of the ids in ``to``, which replaces a column of that name."""
     schema = _with_column(df, to, T.StringType())
-    return df.mapInArrow(_decoding(path, ids, to), schema)
+    return df.mapInArrow(freeing(_decoding(path, ids, to)), schema)
 
 
 def _both_ways(path: str) -> Callable:
@@ -384,4 +384,4 @@ def encoded_and_decoded(documents: DataFrame, path: str) -> DataFrame:
     """doc_id, ids, n_tokens, decoded_sha256 and whether the text came back, per document."""
     of = documents.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {of}, ids array<int>, n_tokens long, decoded_sha256 string, same boolean"
-    return documents.select("doc_id", "text").mapInArrow(_both_ways(path), schema)
+    return documents.select("doc_id", "text").mapInArrow(freeing(_both_ways(path)), schema)
